@@ -29,8 +29,12 @@ CONFIG_EVENTS = [
 ]
 
 
-def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark, sf_dir, name, key=None):
+    """A test table. One of fewer files than cores is spread by ``key``, so that the derivations
+    run on all cores as they would on a table of many files."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if key and len(df.inputFiles()) < cores else df
 
 
 def dictionary(spark):
@@ -48,7 +52,7 @@ def config_changes(spark):
 
 def config_changes_from_events(spark, sf_dir):
     """A large configuration log: each event puts, renames or deletes the entry of its user."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", "event_id")
     source = F.concat(F.lit("t"), F.col("user_id").cast("string"))
 
     def row(sink):
@@ -85,7 +89,7 @@ def _log_struct(split):
 
 
 def _events(spark, sf_dir):
-    return table(spark, sf_dir, "events").withColumn("ts_ms", ntz_millis(F.col("ts")))
+    return table(spark, sf_dir, "events", "event_id").withColumn("ts_ms", ntz_millis(F.col("ts")))
 
 
 def log_text(spark, sf_dir, dirt=False):
@@ -135,7 +139,7 @@ def change_log(spark, sf_dir):
     """The shop's change log: orders, order lines, carts, payments and refunds."""
     t0 = F.expr(f"timestampdiff(SECOND, {EPOCH}, cast(o_orderdate as timestamp_ntz))")
     orders = table(spark, sf_dir, "orders").withColumn("t0", t0)
-    items = table(spark, sf_dir, "lineitem").withColumn(
+    items = table(spark, sf_dir, "lineitem", "l_orderkey").withColumn(
         "line", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     dated = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")

@@ -5,23 +5,16 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from millrace.operators.bounds import MAX_BYTES, MAX_ROWS, broadcast_if_small
+from millrace.operators.selection import EVENT_TIME, with_event_time
 
-EVENT_TIME = "event_time"
 BUCKET_SPANS = 10   # one time bucket covers this many retention spans
+RIGHT_TIME = "_right_time"
 
 
 def _seconds(name):
     return F.col(name).try_cast("bigint")
 
 
-def with_event_time(df, ts, delay):
-    """Add the watermarked event time from epoch seconds, unless an earlier join left one."""
-    if EVENT_TIME in df.columns:
-        return df
-    return (df.withColumn(EVENT_TIME, F.timestamp_seconds(_seconds(ts)))
-              .withWatermark(EVENT_TIME, delay))
-
-
 def retained_join(left, right, on, how="inner", ttl=None, left_ts=None, right_ts=None,
                   delay="0 seconds"):
     """Equi-join of two change streams whose rows wait ``ttl`` seconds for their partner.
@@ -34,8 +27,9 @@ def retained_join(left, right, on, how="inner", ttl=None, left_ts=None, right_ts
     * ``ttl`` given: pairs at most ``ttl`` seconds apart join. The condition is on event time, so
       it equals a processing-time retention only while arrival keeps pace with event time.
     * streams: ``ttl`` is required. The band lets the state be evicted; a left row without partner
-      is emitted once, padded, after the watermark has passed. The result keeps one watermarked
-      column, ``event_time`` of the left side, so that joins can be chained.
+      is emitted once, padded, after the watermark has passed. A side that has no ``event_time``
+      gets it here, ``delay`` late. The result keeps one watermarked column, ``event_time`` of the
+      left side, so that joins can be chained.
 
     With a band, time buckets become part of the join key: a right row is repeated in the one or
     two buckets its band touches, a left row stays in one. Rows of a key far apart in time are
@@ -69,13 +63,15 @@ def retained_join(left, right, on, how="inner", ttl=None, left_ts=None, right_ts
         match = [F.col(l) == F.col(renamed[r]) for l, r in on]
         match.append(F.col("_left_bucket") == F.col("_right_bucket"))
         if streaming:
-            left = with_event_time(left, left_ts, delay)
-            right = (right.withColumn("_right_time", F.timestamp_seconds("_right_at"))
-                          .withWatermark("_right_time", delay))
-            dropped.append("_right_time")
+            if EVENT_TIME not in left.columns:
+                left = with_event_time(left, left_ts, delay)
+            if EVENT_TIME not in right.columns:
+                right = with_event_time(right, "_right_at", delay)
+            right = right.withColumnRenamed(EVENT_TIME, RIGHT_TIME)
+            dropped.append(RIGHT_TIME)
             band = F.expr(f"interval {int(ttl)} seconds")
-            match += [F.col(EVENT_TIME) >= F.col("_right_time") - band,
-                      F.col(EVENT_TIME) <= F.col("_right_time") + band]
+            match += [F.col(EVENT_TIME) >= F.col(RIGHT_TIME) - band,
+                      F.col(EVENT_TIME) <= F.col(RIGHT_TIME) + band]
         else:
             match.append(F.col("_left_at").between(F.col("_right_at") - ttl, F.col("_right_at") + ttl))
 

@@ -4,22 +4,28 @@ from pyspark.sql import functions as F
 
 from millrace.functions import records as R
 
+PARSED = ["record", "mid", "is_new", "page_id", "last_page_id", "ts"]
+
 
 def parse_log(df, value="value"):
     """Parse log text once: the whole record, plus the members the operators work on as columns.
 
     ``record`` is NULL for text that is no JSON object. Other columns of ``df`` are kept.
+
+    The parsed members come out of an ``explode`` of one element. Filters on them would otherwise be
+    moved below the parse and repeat it for every condition; they stop at an explode.
     """
-    return (
-        df.withColumn("_json", F.try_parse_json(value))
-        .withColumn("record", R.as_record(F.col("_json")))
-        .withColumn("mid", R.get_text(F.col("_json"), "$.common.mid"))
-        .withColumn("is_new", R.get_text(F.col("_json"), "$.common.is_new"))
-        .withColumn("page_id", R.get_text(F.col("_json"), "$.page.page_id"))
-        .withColumn("last_page_id", R.get_text(F.col("_json"), "$.page.last_page_id"))
-        .withColumn("ts", R.get_long(F.col("_json"), "$.ts"))
-        .drop("_json")
+    members = F.struct(
+        R.as_record(F.col("_json")).alias("record"),
+        R.get_text(F.col("_json"), "$.common.mid").alias("mid"),
+        R.get_text(F.col("_json"), "$.common.is_new").alias("is_new"),
+        R.get_text(F.col("_json"), "$.page.page_id").alias("page_id"),
+        R.get_text(F.col("_json"), "$.page.last_page_id").alias("last_page_id"),
+        R.get_long(F.col("_json"), "$.ts").alias("ts"),
     )
+    return (df.withColumn("_json", F.try_parse_json(value))
+              .select(*df.columns, F.explode(F.array(members)).alias("_log"))
+              .select(*df.columns, "_log.*"))
 
 
 def split_dirty(parsed, required=("mid", "ts")):
@@ -31,6 +37,5 @@ def split_dirty(parsed, required=("mid", "ts")):
     usable = F.col("record").isNotNull()
     for name in required:
         usable = usable & F.col(name).isNotNull()
-    new_columns = {"record", "mid", "is_new", "page_id", "last_page_id", "ts"}
-    dirty = parsed.filter(~usable).select(*[c for c in parsed.columns if c not in new_columns])
+    dirty = parsed.filter(~usable).select(*[c for c in parsed.columns if c not in PARSED])
     return parsed.filter(usable), dirty

@@ -15,7 +15,7 @@ from millrace.operators.joins import lookup_join, retained_join, two_role_lookup
 from millrace.operators.logsplit import route_log, write_flag
 from millrace.operators.quality import parse_log, split_dirty
 from millrace.operators.routing import current_config, route_by_config
-from millrace.operators.selection import keep_types, select_table
+from millrace.operators.selection import keep_types, select_table, with_event_time
 from millrace.operators.upsert import latest_by_key
 from millrace.operators.visitors import detect_bounce, first_visit_per_day, repair_new_flag
 
@@ -26,6 +26,11 @@ def _stamped(df, columns, source=None):
     return df.withColumn("row_op_ts", stamp).select(*columns)
 
 
+def _timed(changes, delay):
+    """A streamed change log with event time; a batch as it is."""
+    return with_event_time(changes, delay=delay) if changes.isStreaming else changes
+
+
 def dimensions(changes, config_changes, order=("change_ts",)):
     """Current rows of every configured dimension table: (sink_table, pk, data, change_ts)."""
     routed = route_by_config(keep_types(changes), current_config(config_changes))
@@ -39,6 +44,7 @@ def order_wide(changes, dictionary, ttl=None, delay="0 seconds"):
     Activity and coupon are joined before the order: both share the line id, and the lines have
     not yet been multiplied by the changes of their order.
     """
+    changes = _timed(changes, delay)
     lines = select_table(changes, "order_detail", S.ORDER_DETAIL_FIELDS, ["insert"], keep={"ts": "od_ts"})
     lines = lookup_join(lines, dictionary, "source_type", {"dic_name": "source_type_name"})
     orders = (
@@ -90,6 +96,7 @@ def cart_add(changes, dictionary):
 
 def payment_success(changes, detail, dictionary, ttl=None, delay="0 seconds"):
     """Paid order lines. ``detail`` is the output of ``order_detail``, read back where it landed."""
+    changes = _timed(changes, delay)
     payments = select_table(changes, "payment_info", S.PAYMENT_FIELDS, ["update"],
                             where=cdc.data("payment_status") == S.PAYMENT_PAID, keep=["ts"])
     payments = lookup_join(payments, dictionary, "payment_type", {"dic_name": "payment_type_name"})
@@ -104,6 +111,7 @@ def payment_success(changes, detail, dictionary, ttl=None, delay="0 seconds"):
 
 def order_refund(changes, dictionary, ttl=None, delay="0 seconds"):
     """Refund requests with the province of their order and the names of type and reason."""
+    changes = _timed(changes, delay)
     requests = select_table(changes, "order_refund_info", S.REFUND_REQUEST_FIELDS, ["insert"], keep=["ts"])
     requests = two_role_lookup(requests, dictionary, {
         "refund_type": "refund_type_name", "refund_reason_type": "refund_reason_type_name"})
@@ -123,6 +131,7 @@ def refund_success(changes, dictionary, ttl=None, delay="0 seconds", types=None)
     By default every change of a refund and of its request counts, so several changes of one refund
     give several rows; ``types`` restricts both to some change types.
     """
+    changes = _timed(changes, delay)
     refunds = select_table(changes, "refund_payment", S.REFUND_PAYMENT_FIELDS, types,
                            where=cdc.data("refund_status") == S.REFUND_PAID, keep=["ts"])
     refunds = lookup_join(refunds, dictionary, "payment_type", {"dic_name": "payment_type_name"})

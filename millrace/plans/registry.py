@@ -47,7 +47,7 @@ def cart_add(spark, sf):
 
 
 def cart_add_from_text(spark, sf):
-    changes = read_changes(feeds.as_text(_changes(spark, sf)))
+    changes = read_changes(feeds.as_text(_changes(spark, sf)), tables=["cart_info"])
     return flows.cart_add(changes, feeds.dictionary(spark))
 
 
