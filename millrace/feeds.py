@@ -1,8 +1,7 @@
 """Behaviour log and change log derived from the test tables.
 
 Test inputs only: the library never imports this module. Every feed is a lazy Spark plan over whole
-tables. Change-log branches carry literal table names and literal map keys, so a filter on the table
-drops the other branches and a map lookup reduces to the column behind it.
+tables. Change-log branches carry literal table names, so a filter on the table drops the others.
 """
 
 from functools import reduce

@@ -19,13 +19,16 @@ INFO = """info AS (
   SELECT o_orderkey, o_custkey, '1006', o_orderdate + INTERVAL 1 HOUR, 'update', t0 + 7200
   FROM ord WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 0)"""
 
-WIDE = f"""wide AS (
+ACT = """act AS (SELECT line AS act_line, CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) AS activity
+  FROM item WHERE l_discount >= 0.05)"""
+
+COU = "cou AS (SELECT line AS cou_line, CAST(l_linenumber AS VARCHAR) AS coupon FROM item WHERE l_tax >= 0.06)"
+
+WIDE = f"""{ACT}, {COU}, wide AS (
   SELECT line AS id, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(info.o_custkey AS VARCHAR) AS user_id,
     status AS order_status, CAST(l_partkey AS VARCHAR) AS sku_id, p_name AS sku_name,
     CAST(info.o_custkey % 34 + 1 AS VARCHAR) AS province_id,
-    CASE WHEN l_discount >= 0.05 THEN CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) END AS activity_id,
-    CASE WHEN l_discount >= 0.05 THEN CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) END AS activity_rule_id,
-    CASE WHEN l_tax >= 0.06 THEN CAST(l_linenumber AS VARCHAR) END AS coupon_id,
+    activity AS activity_id, activity AS activity_rule_id, coupon AS coupon_id,
     strftime(o_orderdate, '%Y-%m-%d') AS date_id, {CLOCK.format('o_orderdate')} AS create_time,
     strftime(operated, '%Y-%m-%d') AS operate_date_id, {CLOCK.format('operated')} AS operate_time,
     CAST(l_suppkey AS VARCHAR) AS source_id, l_returnflag AS source_type, name AS source_type_name,
@@ -35,7 +38,8 @@ WIDE = f"""wide AS (
     {MONEY.format('l_extendedprice')} AS split_total_amount, type,
     CAST(t0 AS VARCHAR) AS od_ts, CAST(sec AS VARCHAR) AS oi_ts
   FROM item JOIN info ON l_orderkey = info.o_orderkey JOIN part ON l_partkey = p_partkey
-  JOIN dic ON l_returnflag = code)"""
+  JOIN dic ON l_returnflag = code
+  LEFT JOIN act ON line = act_line LEFT JOIN cou ON line = cou_line)"""
 
 ORDER = f"WITH {DIC}, {ITEMS}, {INFO}, {WIDE}"
 
@@ -188,8 +192,7 @@ WHERE event_type = 'view' QUALIFY row_number() OVER (PARTITION BY mid, day ORDER
 SELECT line AS id, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(t0 AS VARCHAR) AS od_ts, status AS order_status,
   CAST(sec AS VARCHAR) AS oi_ts
 FROM item JOIN info ON l_orderkey = info.o_orderkey WHERE abs(t0 - sec) <= 5""",
-    "left_join_pad": f"""WITH {ITEMS}, act AS (
-  SELECT line AS act_line, CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) AS activity FROM item WHERE l_discount >= 0.05)
+    "left_join_pad": f"""WITH {ITEMS}, {ACT}
 SELECT line AS id, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(t0 AS VARCHAR) AS od_ts, activity AS activity_id,
   activity AS activity_rule_id
 FROM item LEFT JOIN act ON line = act_line""",
@@ -211,7 +214,8 @@ FROM master WHERE type <> 'delete' AND tab IN ('customer','part')""",
     "unrouted": f"""WITH {MASTER} SELECT tab AS "table", id FROM master WHERE tab = 'supplier'""",
     "current_config": CONFIG,
     "latest_by_key": f"""{ORDER} SELECT * FROM wide
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY CAST(oi_ts AS BIGINT) DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY CAST(oi_ts AS BIGINT) DESC, split_total_amount DESC,
+  sku_num DESC, coalesce(activity_id, '') DESC, coalesce(coupon_id, '') DESC) = 1""",
     "first_visit_per_day": f"""WITH {EVENT} SELECT {PAGE_ROW.format('flag')} FROM ev WHERE last_page_id IS NULL
 QUALIFY row_number() OVER (PARTITION BY mid, day ORDER BY ms, event_id) = 1""",
     "detect_bounce": _bounce("true", PAGE_ROW.format("flag")),

@@ -266,7 +266,8 @@ def union_of_streams(spark, sf):
 
 def latest(spark, sf):
     wide = flows.order_wide(_changes(spark, sf), feeds.dictionary(spark))
-    return _plain(latest_by_key(wide, ["id"], [cdc.change_seconds("oi_ts")]))
+    ties = [F.coalesce(c, F.lit("")) for c in ("split_total_amount", "sku_num", "activity_id", "coupon_id")]
+    return _plain(latest_by_key(wide, ["id"], [cdc.change_seconds("oi_ts"), *ties]))
 
 
 def config_in_force(spark, sf):
