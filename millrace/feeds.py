@@ -111,112 +111,101 @@ def page_rows(spark, sf_dir):
     return record.select("r.common.mid", "r.common.is_new", "r.page.page_id", "r.page.last_page_id", "r.ts", "arrival")
 
 
-def _text(name):
-    return F.col(name).cast("string")
-
-
 def _money(name):
-    return F.col(name).cast("decimal(16,2)").cast("string")
+    return f"cast({name} as decimal(16,2))"
 
 
 def _clock(seconds):
-    return F.timestamp_add("SECOND", seconds, F.expr(EPOCH)).cast("string")
+    return f"timestampadd(SECOND, {seconds}, {EPOCH})"
 
 
-def _branch(df, name, kind, ts, data, old=None):
+def _branch(df, name, kind, ts, data, old=None, where=None):
+    """Change rows of one table and type; ``data`` and ``old`` map members to SQL expressions."""
     def as_map(members):
-        pairs = [x for k, v in members.items() for x in (F.lit(k), v.cast("string"))]
-        return F.create_map(*pairs)
+        if not members:
+            return "cast(null as map<string,string>)"
+        return "map(" + ", ".join(f"'{k}', cast({v} as string)" for k, v in members.items()) + ")"
 
-    nothing = F.lit(None).cast("map<string,string>")
-    return df.select(F.lit(DATABASE).alias("database"), F.lit(name).alias("table"), F.lit(kind).alias("type"),
-                     as_map(data).alias("data"), (as_map(old) if old else nothing).alias("old"),
-                     ts.cast("string").alias("ts"))
+    rows = df.filter(where) if where else df
+    return rows.selectExpr(f"'{DATABASE}' as database", f"'{name}' as table", f"'{kind}' as type",
+                           f"{as_map(data)} as data", f"{as_map(old)} as old", f"cast({ts} as string) as ts")
 
 
 def change_log(spark, sf_dir):
     """The shop's change log: orders, order lines, carts, payments and refunds."""
-    t0 = F.expr(f"timestampdiff(SECOND, {EPOCH}, cast(o_orderdate as timestamp_ntz))")
-    orders = table(spark, sf_dir, "orders").withColumn("t0", t0)
-    items = table(spark, sf_dir, "lineitem", "l_orderkey").withColumn(
-        "line", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "*", f"timestampdiff(SECOND, {EPOCH}, cast(o_orderdate as timestamp_ntz)) as t0")
+    items = table(spark, sf_dir, "lineitem", "l_orderkey").selectExpr(
+        "*", "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as line", "cast(l_quantity as int) as quantity")
     dated = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     lines = dated.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-    nothing = F.lit(None)
-    quantity = F.col("l_quantity").cast("int")
 
     def order(status, operated):
-        return {"id": F.col("o_orderkey"), "user_id": F.col("o_custkey"), "province_id": F.col("o_custkey") % 34 + 1,
+        return {"id": "o_orderkey", "user_id": "o_custkey", "province_id": "o_custkey % 34 + 1",
                 "order_status": status, "operate_time": operated}
 
     def payment(status):
-        return {"order_id": F.col("o_orderkey"), "user_id": F.col("o_custkey"), "payment_type": F.col("o_orderpriority"),
-                "payment_status": F.lit(status), "callback_time": _clock(F.col("t0") + F.col("o_orderkey") % 1800)}
-
-    first_status = F.when(F.col("o_orderstatus") == "F", "1003").otherwise("1005")
-    partial = F.col("o_orderstatus") == "P"
-    returned = dated.filter(partial & (F.col("l_returnflag") == "R"))
-    request = {"id": F.col("line"), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
-               "user_id": F.col("o_custkey"), "refund_type": F.col("l_linestatus"),
-               "refund_reason_type": F.col("l_returnflag"), "refund_num": quantity,
-               "refund_amount": _money("l_extendedprice"), "refund_reason_txt": nothing,
-               "create_time": _clock(F.col("t0") + 3600)}
-    cart = {"id": F.col("line"), "user_id": F.col("o_custkey"), "sku_id": F.col("l_partkey"),
-            "source_id": F.col("l_suppkey"), "source_type": F.col("l_returnflag"), "sku_num": quantity}
-    discount = F.round(F.col("l_discount") * 100).cast("int")
+        return {"order_id": "o_orderkey", "user_id": "o_custkey", "payment_type": "o_orderpriority",
+                "payment_status": status, "callback_time": _clock("t0 + o_orderkey % 1800")}
+
+    hour_later = _clock("t0 + 3600")
+    request = {"id": "line", "order_id": "l_orderkey", "sku_id": "l_partkey", "user_id": "o_custkey",
+               "refund_type": "l_linestatus", "refund_reason_type": "l_returnflag", "refund_num": "quantity",
+               "refund_amount": _money("l_extendedprice"), "refund_reason_txt": "null", "create_time": hour_later}
+    cart = {"id": "line", "user_id": "o_custkey", "sku_id": "l_partkey", "source_id": "l_suppkey",
+            "source_type": "l_returnflag", "sku_num": "quantity"}
+    discount = "cast(round(l_discount * 100) as int)"
+    returned = "o_orderstatus = 'P' and l_returnflag = 'R'"
+    settled = "o_orderstatus in ('F', 'P')"
 
     branches = [
-        _branch(lines, "order_detail", "insert", F.col("t0"), {
-            "id": F.col("line"), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
-            "sku_name": F.col("p_name"), "create_time": _clock(F.col("t0")), "source_id": F.col("l_suppkey"),
-            "source_type": F.col("l_returnflag"), "sku_num": quantity, "order_price": _money("p_retailprice"),
-            "split_total_amount": _money("l_extendedprice"), "split_activity_amount": nothing,
-            "split_coupon_amount": nothing}),
-        _branch(orders, "order_info", "insert", F.col("t0") + F.col("o_orderkey") % 10, order(F.lit("1001"), nothing)),
-        _branch(orders.filter(F.col("o_orderstatus").isin("F", "P")), "order_info", "update", F.col("t0") + 3600,
-                order(first_status, _clock(F.col("t0") + 3600)), {"order_status": F.lit("1001")}),
-        _branch(orders.filter(partial & (F.col("o_orderkey") % 2 == 0)), "order_info", "update", F.col("t0") + 7200,
-                order(F.lit("1006"), _clock(F.col("t0") + 3600)), {"order_status": F.lit("1005")}),
-        _branch(dated.filter(F.col("l_discount") >= 0.05), "order_detail_activity", "insert", F.col("t0"),
-                {"order_detail_id": F.col("line"), "activity_id": discount, "activity_rule_id": discount}),
-        _branch(dated.filter(F.col("l_tax") >= 0.06), "order_detail_coupon", "insert", F.col("t0"),
-                {"order_detail_id": F.col("line"), "coupon_id": F.col("l_linenumber")}),
-        _branch(orders.filter(F.col("o_orderstatus").isin("F", "P")), "payment_info", "update",
-                F.col("t0") + F.col("o_orderkey") % 1800, payment("1602"), {"payment_status": F.lit("1601")}),
-        _branch(orders.filter(F.col("o_orderstatus") == "O"), "payment_info", "insert", F.col("t0"), payment("1601")),
-        _branch(returned, "order_refund_info", "insert", F.col("t0") + 3600, request),
-        _branch(returned.filter(F.col("l_linenumber") == 1), "order_refund_info", "update", F.col("t0") + 3601,
-                request, {"refund_num": F.lit("0")}),
-        _branch(returned.filter(F.col("l_orderkey") % 2 == 0), "refund_payment", "update", F.col("t0") + 7200,
-                {"id": F.col("line"), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
-                 "payment_type": F.col("o_orderpriority"), "total_amount": _money("l_extendedprice"),
-                 "refund_status": F.lit("0702"), "callback_time": _clock(F.col("t0") + 7200)},
-                {"refund_status": F.lit("0701")}),
-        _branch(dated.filter(F.col("l_linenumber") == 1), "cart_info", "insert", F.col("t0"), cart),
-        _branch(dated.filter(F.col("l_linenumber") > 1), "cart_info", "update", F.col("t0"), cart,
-                {"sku_num": F.col("l_linenumber")}),
+        _branch(lines, "order_detail", "insert", "t0", {
+            "id": "line", "order_id": "l_orderkey", "sku_id": "l_partkey", "sku_name": "p_name",
+            "create_time": _clock("t0"), "source_id": "l_suppkey", "source_type": "l_returnflag", "sku_num": "quantity",
+            "order_price": _money("p_retailprice"), "split_total_amount": _money("l_extendedprice"),
+            "split_activity_amount": "null", "split_coupon_amount": "null"}),
+        _branch(orders, "order_info", "insert", "t0 + o_orderkey % 10", order("1001", "null")),
+        _branch(orders, "order_info", "update", "t0 + 3600",
+                order("if(o_orderstatus = 'F', '1003', '1005')", hour_later), {"order_status": "1001"}, settled),
+        _branch(orders, "order_info", "update", "t0 + 7200", order("1006", hour_later), {"order_status": "1005"},
+                "o_orderstatus = 'P' and o_orderkey % 2 = 0"),
+        _branch(dated, "order_detail_activity", "insert", "t0",
+                {"order_detail_id": "line", "activity_id": discount, "activity_rule_id": discount},
+                where="l_discount >= 0.05"),
+        _branch(dated, "order_detail_coupon", "insert", "t0", {"order_detail_id": "line", "coupon_id": "l_linenumber"},
+                where="l_tax >= 0.06"),
+        _branch(orders, "payment_info", "update", "t0 + o_orderkey % 1800", payment("1602"),
+                {"payment_status": "1601"}, settled),
+        _branch(orders, "payment_info", "insert", "t0", payment("1601"), where="o_orderstatus = 'O'"),
+        _branch(dated, "order_refund_info", "insert", "t0 + 3600", request, where=returned),
+        _branch(dated, "order_refund_info", "update", "t0 + 3601", request, {"refund_num": "0"},
+                f"{returned} and l_linenumber = 1"),
+        _branch(dated, "refund_payment", "update", "t0 + 7200",
+                {"id": "line", "order_id": "l_orderkey", "sku_id": "l_partkey", "payment_type": "o_orderpriority",
+                 "total_amount": _money("l_extendedprice"), "refund_status": "'0702'",
+                 "callback_time": _clock("t0 + 7200")}, {"refund_status": "'0701'"}, f"{returned} and l_orderkey % 2 = 0"),
+        _branch(dated, "cart_info", "insert", "t0", cart, where="l_linenumber = 1"),
+        _branch(dated, "cart_info", "update", "t0", cart, {"sku_num": "l_linenumber"}, "l_linenumber > 1"),
     ]
-    return reduce(lambda a, b: a.unionByName(b), branches)
+    return reduce(lambda a, b: a.union(b), branches)
 
 
 def master_changes(spark, sf_dir):
     """Change log of customers, parts and suppliers: initial rows, renames and deletes."""
-    customers = table(spark, sf_dir, "customer")
-    parts = table(spark, sf_dir, "part")
-    suppliers = table(spark, sf_dir, "supplier")
-    customer = {"id": F.col("c_custkey"), "c_name": F.col("c_name"), "c_mktsegment": F.col("c_mktsegment")}
-    part = {"id": F.col("p_partkey"), "p_name": F.col("p_name"), "p_brand": F.col("p_brand")}
+    customers, parts, suppliers = (table(spark, sf_dir, n) for n in ("customer", "part", "supplier"))
+    customer = {"id": "c_custkey", "c_name": "c_name", "c_mktsegment": "c_mktsegment"}
+    moved = {**customer, "c_name": "concat(c_name, ' (moved)')"}
+    part = {"id": "p_partkey", "p_name": "p_name", "p_brand": "p_brand"}
     branches = [
-        _branch(customers, "customer", "bootstrap-insert", F.lit(100), customer),
-        _branch(customers.filter(F.col("c_mktsegment") == "BUILDING"), "customer", "update", F.lit(200),
-                {**customer, "c_name": F.concat("c_name", F.lit(" (moved)"))}, {"c_name": F.col("c_name")}),
-        _branch(customers.filter(F.col("c_mktsegment") == "FURNITURE"), "customer", "delete", F.lit(300), customer),
-        _branch(parts, "part", "insert", F.lit(100), part),
-        _branch(parts.filter(F.col("p_size") > 25), "part", "update", F.lit(99), {**part, "p_brand": F.lit("stale")}),
-        _branch(suppliers, "supplier", "insert", F.lit(100), {"id": F.col("s_suppkey"), "s_name": F.col("s_name")}),
+        _branch(customers, "customer", "bootstrap-insert", "100", customer),
+        _branch(customers, "customer", "update", "200", moved, {"c_name": "c_name"}, "c_mktsegment = 'BUILDING'"),
+        _branch(customers, "customer", "delete", "300", customer, where="c_mktsegment = 'FURNITURE'"),
+        _branch(parts, "part", "insert", "100", part),
+        _branch(parts, "part", "update", "99", {**part, "p_brand": "'stale'"}, where="p_size > 25"),
+        _branch(suppliers, "supplier", "insert", "100", {"id": "s_suppkey", "s_name": "s_name"}),
     ]
-    return reduce(lambda a, b: a.unionByName(b), branches)
+    return reduce(lambda a, b: a.union(b), branches)
 
 
 def as_text(changes):
