@@ -28,10 +28,14 @@ CONFIG_EVENTS = [
 ]
 
 
-def table(spark, sf_dir, name, key=None):
+def table(spark, sf_dir, name, key=None, stream=False):
     """A test table. One of fewer files than cores is spread by ``key``, so that the derivations
-    run on all cores as they would on a table of many files."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    run on all cores as they would on a table of many files. With ``stream``, a stream of its files."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if stream:
+        # As a pattern, for a stream takes a single file only that way.
+        return spark.readStream.schema(df.schema).parquet(f"{sf_dir}/{name}[.]parquet")
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores, key) if key and len(df.inputFiles()) < cores else df
 
@@ -87,21 +91,21 @@ def _log_struct(split):
     return F.struct(*members)
 
 
-def _events(spark, sf_dir):
-    return table(spark, sf_dir, "events", "event_id").withColumn("ts_ms", ntz_millis(F.col("ts")))
+def _events(spark, sf_dir, stream=False):
+    return table(spark, sf_dir, "events", "event_id", stream).withColumn("ts_ms", ntz_millis(F.col("ts")))
 
 
-def log_text(spark, sf_dir, dirt=False):
+def log_text(spark, sf_dir, dirt=False, stream=False):
     """Behaviour log as JSON text with arrival order; with ``dirt`` some texts are broken."""
     text = F.to_json(_log_struct(split=True))
     if dirt:
         text = F.when(F.col("event_id") % 97 == 0, F.lit("{bad")).otherwise(text)
-    return _events(spark, sf_dir).select(text.alias("value"), F.col("event_id").alias("arrival"))
+    return _events(spark, sf_dir, stream).select(text.alias("value"), F.col("event_id").alias("arrival"))
 
 
-def page_text(spark, sf_dir):
+def page_text(spark, sf_dir, stream=False):
     """Page records as JSON text, one per event."""
-    return _events(spark, sf_dir).select(
+    return _events(spark, sf_dir, stream).select(
         F.to_json(_log_struct(split=False)).alias("value"), F.col("event_id").alias("arrival"))
 
 
@@ -131,13 +135,16 @@ def _branch(df, name, kind, ts, data, old=None, where=None):
                            f"{as_map(data)} as data", f"{as_map(old)} as old", f"cast({ts} as string) as ts")
 
 
-def change_log(spark, sf_dir):
-    """The shop's change log: orders, order lines, carts, payments and refunds."""
-    orders = table(spark, sf_dir, "orders").selectExpr(
-        "*", f"timestampdiff(SECOND, {EPOCH}, cast(o_orderdate as timestamp_ntz)) as t0")
-    items = table(spark, sf_dir, "lineitem", "l_orderkey").selectExpr(
+def change_log(spark, sf_dir, stream=False):
+    """The shop's change log: orders, order lines, carts, payments and refunds.
+
+    As a stream, lines take their order's columns from the orders table at rest."""
+    since = f"timestampdiff(SECOND, {EPOCH}, cast(o_orderdate as timestamp_ntz)) as t0"
+    at_rest = table(spark, sf_dir, "orders").selectExpr("*", since)
+    orders = table(spark, sf_dir, "orders", stream=True).selectExpr("*", since) if stream else at_rest
+    items = table(spark, sf_dir, "lineitem", "l_orderkey", stream).selectExpr(
         "*", "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as line", "cast(l_quantity as int) as quantity")
-    dated = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    dated = items.join(at_rest, F.col("l_orderkey") == F.col("o_orderkey"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     lines = dated.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
 

@@ -244,4 +244,21 @@ FROM master WHERE tab = 'customer'""",
     "read_changes": CHANGE_ROWS,
     "read_config_changes": CONFIG,
     "read_detail": ORDER_DETAIL,
+    "stream_cart_add": CART_ADD,
+    "stream_log_split": f"""{WITH_LOG}
+SELECT event_id AS arrival, 'page' AS target, is_new, ms AS ts FROM rec WHERE event_type <> 'signup'
+UNION ALL SELECT event_id, 'start', is_new, ms FROM rec WHERE event_type = 'signup'
+UNION ALL SELECT event_id, 'display', is_new, ms FROM rec, range(shown) WHERE event_type <> 'signup'
+UNION ALL SELECT event_id, 'action', is_new, ms FROM rec WHERE event_type = 'click'
+UNION ALL SELECT event_id, 'error', is_new, ms FROM rec WHERE event_type = 'error'""",
+    "stream_unique_visitor": f"""WITH {EVENT} SELECT DISTINCT mid, strftime(day, '%Y-%m-%d') AS day
+FROM ev WHERE last_page_id IS NULL""",
+    # What the watermark, two seconds behind the newest record, has not passed is not decided yet.
+    "stream_user_jump": f"""WITH {EVENT}, mark AS (SELECT max(ms) - 2000 AS wm FROM ev),
+n AS (SELECT *, lead(ms) OVER w AS next_ms, lead(last_page_id) OVER w AS next_last
+  FROM ev WINDOW w AS (PARTITION BY mid ORDER BY ms, event_id))
+SELECT mid, ms AS ts, event_id AS arrival, event_type AS page_id FROM n, mark
+WHERE last_page_id IS NULL AND ms <= wm AND CASE WHEN next_ms <= wm
+  THEN next_last IS NULL OR next_ms - ms >= {SIX_HOURS} ELSE ms + {SIX_HOURS} <= wm END""",
 }
+ORACLE["stream_retained_join"] = ORACLE["retained_join_band"]

@@ -15,7 +15,10 @@ from millrace.operators.upsert import latest_by_key
 from millrace.operators.visitors import (
     assign_event_time, detect_bounce, first_visit_per_day, is_session_start, repair_new_flag)
 from millrace.plans import flows
+from millrace.session import streaming_session, work_folder
+from millrace.sinks.writers import write_append
 from millrace.sources.changes import read_changes, read_config_changes, read_detail
+from millrace.streaming import jobs
 
 SIX_HOURS = 6 * 3600 * 1000
 ONE_DAY = 24 * 3600 * 1000
@@ -314,6 +317,51 @@ def detail_from_text(spark, sf):
     return _plain(read_detail(text, schemas.ORDER_DETAIL_COLUMNS))
 
 
+def _run_stream(spark, name, start):
+    """Run one job over what is there, in a session of its own, and read its result back."""
+    session = streaming_session(spark)
+    folder = work_folder(spark, name)
+    query = start(session, f"{folder}/out", f"{folder}/checkpoint")
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+def stream_cart_add(spark, sf):
+    return _run_stream(spark, "cart_add", lambda session, out, ck: jobs.start_cart_add(
+        feeds.change_log(session, sf, stream=True), feeds.dictionary(session), out, ck))
+
+
+def stream_retained_join(spark, sf):
+    def start(session, out, ck):
+        changes = feeds.change_log(session, sf, stream=True)
+        orders = (select_table(changes, "order_info", ["id", "order_status"], ["insert", "update"],
+                               keep={"ts": "oi_ts"}).withColumnRenamed("id", "info_id"))
+        joined = retained_join(_lines(changes), orders, [("order_id", "info_id")], ttl=schemas.ORDER_JOIN_TTL,
+                               left_ts="od_ts", right_ts="oi_ts")
+        return write_append(joined.drop("event_time"), out, ck)
+    return _run_stream(spark, "retained_join", start)
+
+
+def stream_log_split(spark, sf):
+    rows = _run_stream(spark, "log_split", lambda session, out, ck: jobs.start_log_split(
+        feeds.log_text(session, sf, stream=True), out, ck))
+    common = F.get_json_object("value", "$.common")
+    return rows.select("arrival", "target", F.get_json_object(common, "$.is_new").alias("is_new"),
+                       F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+
+
+def stream_unique_visitor(spark, sf):
+    rows = _run_stream(spark, "unique_visitor", lambda session, out, ck: jobs.start_unique_visitor(
+        feeds.page_text(session, sf, stream=True), out, ck))
+    return rows.select("mid", event_day(F.col("ts")).alias("day"))
+
+
+def stream_user_jump(spark, sf):
+    rows = _run_stream(spark, "user_jump", lambda session, out, ck: jobs.start_user_jump(
+        feeds.page_text(session, sf, stream=True), out, ck, within=SIX_HOURS))
+    return rows.select("mid", "ts", "arrival", F.get_json_object("value", "$.page.page_id").alias("page_id"))
+
+
 QUERIES = {
     # flows
     "order_wide": order_wide,
@@ -365,4 +413,10 @@ QUERIES = {
     "read_changes": changes_from_text,
     "read_config_changes": config_from_text,
     "read_detail": detail_from_text,
+    # streaming forms
+    "stream_cart_add": stream_cart_add,
+    "stream_retained_join": stream_retained_join,
+    "stream_log_split": stream_log_split,
+    "stream_unique_visitor": stream_unique_visitor,
+    "stream_user_jump": stream_user_jump,
 }

@@ -40,15 +40,19 @@ def streaming_session(spark, partitions=None):
     return session
 
 
+_own_folder = None
+
+
 def work_folder(spark, name):
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; there a temporary folder is made.
+    Only a local session may do without that setting; there a temporary folder is made once.
     """
+    global _own_folder
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        _own_folder = _own_folder or tempfile.mkdtemp(prefix="millrace-")
+        shared = _own_folder
     return f"{shared.rstrip('/')}/{name}-{os.urandom(6).hex()}"

@@ -27,7 +27,7 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_")])
 def test_no_cross_joins(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text
