@@ -16,6 +16,15 @@ SETTINGS = {
 }
 
 
+def sized_for(input_bytes, cores, partition_bytes=256 * 1024 * 1024, most=50_000):
+    """Settings for a batch over ``input_bytes``: shuffle partitions of about ``partition_bytes``,
+    at least two per core, and no more than the driver can keep track of. Adaptive execution joins
+    what turns out small; it cannot split what was planned too coarse, but for skewed joins."""
+    wanted = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {"spark.sql.shuffle.partitions": str(min(wanted, most)),
+            "spark.sql.files.maxPartitionBytes": str(partition_bytes)}
+
+
 def build_session(app="millrace", master=None, **settings):
     """A session with the settings above; keyword settings win (dots written as ``__``)."""
     builder = SparkSession.builder.appName(app)

@@ -2,15 +2,26 @@
 
 from pyspark.sql import functions as F
 
+# How much one micro-batch takes in at most, unless the caller says otherwise. A backlog is then
+# worked off in bounded steps, and what one key can bring into a task at once is bounded with it.
+BATCH_LIMITS = {
+    "kafka": {"maxOffsetsPerTrigger": "10000000"},
+    "text": {"maxFilesPerTrigger": "1000"},
+    "parquet": {"maxFilesPerTrigger": "1000"},
+}
+
 
 def read_log(spark, fmt="kafka", streaming=True, keep=(), **options):
     """Text records of a topic or folder as ``value`` (a null payload stays a null record).
 
     ``fmt`` is ``kafka`` (the connector must be on the class path), ``text`` or ``parquet``;
     ``options`` go to the reader, ``path`` included. ``keep`` names further source columns, such as
-    Kafka's ``partition`` and ``offset``. A stream resumes where its checkpoint left off.
+    Kafka's ``partition`` and ``offset``. A stream resumes where its checkpoint left off and takes
+    in at most ``BATCH_LIMITS`` per micro-batch.
     """
     reader = spark.readStream if streaming else spark.read
+    if streaming:
+        options = {**BATCH_LIMITS.get(fmt, {}), **options}
     if streaming and fmt == "parquet":
         reader = reader.schema(options.pop("schema", "value string"))
     rows = reader.format(fmt).options(**options).load()

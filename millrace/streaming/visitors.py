@@ -20,7 +20,7 @@ def repair_new_flag(df, key="mid", flag="is_new", ts="ts", order="arrival", tz="
     """
     marked = df.withColumn(DAY, event_date(F.col(ts), tz))
     repaired = marked.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=FirstVisitProcessor(flag, DAY, order),
+        statefulProcessor=FirstVisitProcessor(marked.schema, flag, DAY, order),
         outputStructType=marked.schema, outputMode="Append", timeMode="None")
     return repaired.select(*df.columns)
 

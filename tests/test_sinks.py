@@ -8,7 +8,7 @@ from millrace import schemas as S
 from millrace.operators.logsplit import split_log
 from millrace.operators.quality import parse_log
 from millrace.operators.routing import current_config, route_by_config
-from millrace.session import streaming_session, work_folder
+from millrace.session import sized_for, streaming_session, work_folder
 from millrace.sinks import dimensions as D
 from millrace.sinks import writers as W
 from millrace.sources.changes import read_changes, read_config_changes, read_config_snapshot, read_detail
@@ -176,6 +176,12 @@ def test_dimension_batch_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path)).count() == 1
 
 
+def test_sizing():
+    assert sized_for(10, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert sized_for(10 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "40960"
+    assert sized_for(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "50000"
+
+
 def test_sessions(spark):
     other = streaming_session(spark, 3)
     assert other.conf.get("spark.sql.shuffle.partitions") == "3"

@@ -146,6 +146,24 @@ def test_flag_first_record_is_lowest_arrival(spark, tmp_path):
     assert [json.loads(r.value)["common"]["is_new"] for r in got] == ["1", "0"]
 
 
+def test_flag_of_a_visitor_larger_than_an_arrow_batch(spark, tmp_path):
+    import random
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    day = 86_400_000
+    rows = [(page("1", n * day // 4, flag="1"), n) for n in range(40)] + [(page("2", day, flag="1"), 99)]
+    random.Random(1).shuffle(rows)
+    feed = Feed(spark, tmp_path / "in", LOG)
+    feed.add(*rows)
+    old = spark.conf.get(limit)
+    spark.conf.set(limit, "7")
+    try:
+        finish(jobs.start_log_split(feed.stream(), str(tmp_path / "out"), str(tmp_path / "ck")))
+    finally:
+        spark.conf.set(limit, old)
+    got = {r.arrival: json.loads(r.value)["common"]["is_new"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {**{n: "1" if n < 4 else "0" for n in range(40)}, 99: "1"}
+
+
 def test_unique_visitor(spark, tmp_path):
     day = 86_400_000
     feed = Feed(spark, tmp_path / "in", LOG)
