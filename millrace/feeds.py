@@ -41,7 +41,8 @@ def table(spark, sf_dir, name, key=None, stream=False):
 
 
 def dictionary(spark):
-    return spark.createDataFrame(DICTIONARY, "dic_code string, dic_name string")
+    rows = ", ".join(f"('{code}', '{name}')" for code, name in DICTIONARY)
+    return spark.sql(f"select * from values {rows} as t(dic_code, dic_name)")
 
 
 def config_changes(spark):

@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from millrace.operators.bounds import MAX_BYTES, MAX_ROWS, broadcast_if_small
+from millrace.operators.bounds import MAX_BYTES, MAX_ROWS, fits
 from millrace.operators.selection import EVENT_TIME, with_event_time
 
 BUCKET_SPANS = 10   # one time bucket covers this many retention spans
@@ -79,23 +79,26 @@ def retained_join(left, right, on, how="inner", ttl=None, left_ts=None, right_ts
 
 
 def lookup_join(df, dictionary, on, columns, key="dic_code", how="inner",
-                max_rows=MAX_ROWS, max_bytes=MAX_BYTES):
+                max_rows=MAX_ROWS, max_bytes=MAX_BYTES, small=None):
     """Attach dictionary columns by code.
 
     ``columns`` maps dictionary columns to output names. Inner by default: rows whose code is null
-    or unknown disappear. The dictionary is measured on every call and broadcast when small, in
-    which case the other side is not shuffled. Look the same dictionary up once per role.
+    or unknown disappear. The dictionary is measured on every call (unless ``small`` already says
+    how it came out) and broadcast when small, in which case the other side is not shuffled.
     """
     if dictionary.isStreaming:
         raise ValueError("the dictionary must be a batch frame")
     wanted = dictionary.select(F.col(key).alias("_code"),
                                *[F.col(c).alias(name) for c, name in columns.items()])
-    side = broadcast_if_small(wanted, max_rows, max_bytes)
+    if small is None:
+        small = fits(wanted, max_rows, max_bytes)
+    side = F.broadcast(wanted) if small else wanted
     return df.join(side, F.col(on) == F.col("_code"), how).drop("_code")
 
 
 def two_role_lookup(df, dictionary, roles, column="dic_name", key="dic_code", **bounds):
     """The same dictionary in several roles: ``roles`` maps code columns to output names."""
+    small = fits(dictionary.select(key, column), **bounds)
     for code, name in roles.items():
-        df = lookup_join(df, dictionary, code, {column: name}, key=key, **bounds)
+        df = lookup_join(df, dictionary, code, {column: name}, key=key, small=small)
     return df

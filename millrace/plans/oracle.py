@@ -244,6 +244,12 @@ FROM master WHERE tab = 'customer'""",
     "read_changes": CHANGE_ROWS,
     "read_config_changes": CONFIG,
     "read_detail": ORDER_DETAIL,
+    "upsert_dimensions": f"""WITH {MASTER} SELECT 'dim_' || tab AS sink_table, id, c_name, p_name, p_brand
+FROM master WHERE type <> 'delete' AND tab IN ('customer','part')
+QUALIFY row_number() OVER (PARTITION BY tab, id ORDER BY sec DESC) = 1""",
+    "write_upsert": f"""WITH {ITEMS}, {INFO} SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
+  status AS order_status, CAST(sec AS VARCHAR) AS ts FROM info
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY sec DESC) = 1""",
     "stream_cart_add": CART_ADD,
     "stream_log_split": f"""{WITH_LOG}
 SELECT event_id AS arrival, 'page' AS target, is_new, ms AS ts FROM rec WHERE event_type <> 'signup'
@@ -261,4 +267,5 @@ SELECT mid, ms AS ts, event_id AS arrival, event_type AS page_id FROM n, mark
 WHERE last_page_id IS NULL AND ms <= wm AND CASE WHEN next_ms <= wm
   THEN next_last IS NULL OR next_ms - ms >= {SIX_HOURS} ELSE ms + {SIX_HOURS} <= wm END""",
 }
+ORACLE["fan_out"] = f"SELECT target, ts FROM ({ORACLE['log_split']})"
 ORACLE["stream_retained_join"] = ORACLE["retained_join_band"]

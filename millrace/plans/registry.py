@@ -16,7 +16,8 @@ from millrace.operators.visitors import (
     assign_event_time, detect_bounce, first_visit_per_day, is_session_start, repair_new_flag)
 from millrace.plans import flows
 from millrace.session import streaming_session, work_folder
-from millrace.sinks.writers import write_append
+from millrace.sinks.dimensions import config_rows, read_dimension, upsert_dimensions
+from millrace.sinks.writers import fan_out, read_latest, write_append, write_upsert
 from millrace.sources.changes import read_changes, read_config_changes, read_detail
 from millrace.streaming import jobs
 
@@ -362,6 +363,38 @@ def stream_user_jump(spark, sf):
     return rows.select("mid", "ts", "arrival", F.get_json_object("value", "$.page.page_id").alias("page_id"))
 
 
+def upserted_dimensions(spark, sf):
+    """The dimension sink: written in one pass, then each table's current rows."""
+    root = work_folder(spark, "dimensions")
+    config = _config(spark)
+    rows = config_rows(config)
+    routed = route_by_config(keep_types(feeds.master_changes(spark, sf)), config)
+    upsert_dimensions(routed.withColumn("change_ts", cdc.change_seconds()), rows, root)
+    tables = [read_dimension(spark, row, root).withColumn("sink_table", F.lit(row["sink_table"])) for row in rows]
+    merged = tables[0]
+    for more in tables[1:]:
+        merged = merged.unionByName(more, allowMissingColumns=True)
+    return merged.select("sink_table", "id", "c_name", "p_name", "p_brand")
+
+
+def upserted_orders(spark, sf):
+    """The upsert sink: every version of an order appended, then the current ones."""
+    folder = work_folder(spark, "orders")
+    orders = select_table(_changes(spark, sf), "order_info", ["id", "user_id", "order_status"], keep=["ts"])
+    write_upsert(orders, folder, ["id"])
+    return read_latest(spark, folder, ["id"], [cdc.change_seconds()])
+
+
+def fanned_out_log(spark, sf):
+    """Five outputs of one batch in five folders."""
+    folder = work_folder(spark, "log")
+    targets = {name: f"{folder}/{name}" for name in schemas.LOG_TARGETS}
+    fan_out(_repaired_log(spark, sf), split_log, targets, batch_id=0)
+    outputs = [spark.read.schema("value string").text(path).withColumn("target", F.lit(name))
+               for name, path in targets.items()]
+    return union_all(*outputs).select("target", F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+
+
 QUERIES = {
     # flows
     "order_wide": order_wide,
@@ -413,6 +446,10 @@ QUERIES = {
     "read_changes": changes_from_text,
     "read_config_changes": config_from_text,
     "read_detail": detail_from_text,
+    # sinks
+    "upsert_dimensions": upserted_dimensions,
+    "write_upsert": upserted_orders,
+    "fan_out": fanned_out_log,
     # streaming forms
     "stream_cart_add": stream_cart_add,
     "stream_retained_join": stream_retained_join,

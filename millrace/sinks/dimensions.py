@@ -60,7 +60,8 @@ def upsert_dimensions(routed, rows, root, batch_id=0, writer="main", order=("cha
     columns = sorted({c for row in rows for c in columns_of(row)})
     version = F.array(*[F.col(c).cast("bigint") for c in order]).alias(VERSION)
     typed = last.select("sink_table", version, *[F.col("data")[c].alias(c) for c in columns])
-    write_batch(typed, root, batch_id, writer, partition_by=["sink_table"])
+    # Few files per table, and a table with most of the rows is split over several writers.
+    write_batch(typed.hint("rebalance", F.col("sink_table")), root, batch_id, writer, partition_by=["sink_table"])
 
 
 def read_dimension(spark, row, root):

@@ -18,14 +18,15 @@ def as_messages(df, keys=None):
     return rows if keys else rows.select(key.alias("key"), "value")
 
 
-def write_append(df, target, checkpoint=None, fmt="parquet", partition_by=(), trigger=None, **options):
-    """Append rows to a folder, or to a topic with ``fmt="kafka"``.
+def write_append(df, target, checkpoint=None, fmt="parquet", partition_by=(), trigger=None, keys=None, **options):
+    """Append rows to a folder, or to a topic with ``fmt="kafka"`` (as messages keyed by ``keys``).
 
     A stream returns its started query. Files and checkpoint together give each row exactly once; a
     topic gives at least once. ``trigger`` defaults to one run over what is available.
     """
     if fmt == "kafka":
         options.setdefault("topic", target)
+        df = as_messages(df, keys)
     else:
         options["path"] = target
     if not df.isStreaming:
@@ -43,9 +44,10 @@ def land_changes(changes, target, checkpoint=None, **options):
     return write_append(changes, target, checkpoint, partition_by=["table"], **options)
 
 
-def write_upsert(df, target, checkpoint=None, **options):
-    """Keyed upsert: every version is appended; ``read_latest`` gives the current rows."""
-    return write_append(df, target, checkpoint, **options)
+def write_upsert(df, target, keys, checkpoint=None, **options):
+    """Keyed upsert: every version is appended; ``read_latest`` gives the current rows of a folder.
+    In a topic the messages carry the key, so that the topic can be compacted by it."""
+    return write_append(df, target, checkpoint, keys=keys, **options)
 
 
 def read_latest(spark, target, keys, order, deleted=None):

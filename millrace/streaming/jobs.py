@@ -13,21 +13,25 @@ from millrace.operators.quality import parse_log, split_dirty
 from millrace.operators.routing import current_config, route_by_config
 from millrace.operators.selection import keep_types
 from millrace.plans import flows
-from millrace.sinks.dimensions import config_rows, upsert_dimensions
+from millrace.sinks.dimensions import config_rows, ensure_table, upsert_dimensions
 from millrace.sinks.writers import write_append, write_upsert
 from millrace.streaming import visitors
 
 
 def start_dimensions(changes, read_config, root, checkpoint, writer="main", order=("change_ts",),
-                     config_order=("ts_ms",), trigger=None):
+                     config_order=("ts_ms",), trigger=None, tables=None):
     """Dimension tables, all written to ``root``.
 
     ``read_config`` returns the configuration events known so far; it is called at the start of
-    every micro-batch, so the configuration is always read before the rows it routes.
+    every micro-batch, so the configuration is always read before the rows it routes. With
+    ``tables``, a folder, the configured catalog tables are created there as they appear
+    (``publish_dimension`` fills them).
     """
     def write(batch, batch_id):
         config = current_config(read_config(), order=config_order)
         rows = config_rows(config)
+        for row in rows if tables else ():
+            ensure_table(batch.sparkSession, row, tables)
         if rows:
             settled = batch.sparkSession.createDataFrame(rows, config.schema)
             routed = route_by_config(keep_types(batch), settled).withColumn("change_ts", cdc.change_seconds())
@@ -39,7 +43,7 @@ def start_dimensions(changes, read_config, root, checkpoint, writer="main", orde
 
 def start_order_wide(changes, dictionary, target, checkpoint, ttl=S.ORDER_JOIN_TTL, delay="0 seconds", **options):
     """The wide order table as a changelog; ``read_latest`` by id gives its current rows."""
-    return write_upsert(flows.order_wide(changes, dictionary, ttl, delay), target, checkpoint, **options)
+    return write_upsert(flows.order_wide(changes, dictionary, ttl, delay), target, ["id"], checkpoint, **options)
 
 
 def start_order_detail(wide, target, checkpoint, **options):
@@ -58,7 +62,8 @@ def start_cart_add(changes, dictionary, target, checkpoint, **options):
 def start_payment_success(changes, detail, dictionary, target, checkpoint, ttl=S.PAYMENT_JOIN_TTL,
                           delay="0 seconds", **options):
     """Paid lines; ``detail`` streams the output of ``start_order_detail``."""
-    return write_upsert(flows.payment_success(changes, detail, dictionary, ttl, delay), target, checkpoint, **options)
+    paid = flows.payment_success(changes, detail, dictionary, ttl, delay)
+    return write_upsert(paid, target, ["order_detail_id"], checkpoint, **options)
 
 
 def start_order_refund(changes, dictionary, target, checkpoint, ttl=S.ORDER_JOIN_TTL, delay="0 seconds", **options):

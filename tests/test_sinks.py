@@ -71,7 +71,7 @@ def test_lookup_refresh(spark, tmp_path):
 def test_append_and_latest(spark, tmp_path):
     path = str(tmp_path / "t")
     for rows in ([("k", 1, "insert"), ("g", 1, "insert")], [("k", 2, "update"), ("g", 2, "delete")]):
-        W.write_upsert(spark.createDataFrame(rows, "k string, n int, type string"), path)
+        W.write_upsert(spark.createDataFrame(rows, "k string, n int, type string"), path, ["k"])
     got = W.read_latest(spark, path, ["k"], ["n"], deleted=F.col("type") == "delete").collect()
     assert [tuple(r) for r in got] == [("k", 2, "update")]
 
@@ -149,7 +149,8 @@ def test_dimension_stream(spark, tmp_path):
     feed.add(change("brand", "insert", 1, {"id": "1", "name": "a", "url": "u"}),
              change("brand", "update", 2, {"id": "1", "name": "b"}),
              change("shopper", "insert", 1, {"k1": "1", "k2": "2", "v": None}))
-    finish(jobs.start_dimensions(feed.stream(), read, root, ck))
+    finish(jobs.start_dimensions(feed.stream(), read, root, ck, tables=str(tmp_path / "tables")))
+    assert spark.table("dim_brand").columns == ["id", "name"]
     put(config_event(2, "c", "shopper", "dim_shopper", "k1,k2,v", "k1,k2"))
     feed.add(change("shopper", "bootstrap-insert", 3, {"k1": "1", "k2": "2", "v": None}),
              change("shopper", "delete", 4, {"k1": "1", "k2": "2", "v": "gone"}),
