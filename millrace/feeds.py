@@ -140,9 +140,9 @@ def change_log(spark, sf_dir, stream=False):
     """The shop's change log: orders, order lines, carts, payments and refunds.
 
     As a stream, lines take their order's columns from the orders table at rest."""
-    since = f"timestampdiff(SECOND, {EPOCH}, cast(o_orderdate as timestamp_ntz)) as t0"
-    at_rest = table(spark, sf_dir, "orders").selectExpr("*", since)
-    orders = table(spark, sf_dir, "orders", stream=True).selectExpr("*", since) if stream else at_rest
+    t0 = ntz_millis(F.col("o_orderdate")) / 1000
+    at_rest = table(spark, sf_dir, "orders").withColumn("t0", t0.cast("bigint"))
+    orders = table(spark, sf_dir, "orders", stream=True).withColumn("t0", t0.cast("bigint")) if stream else at_rest
     items = table(spark, sf_dir, "lineitem", "l_orderkey", stream).selectExpr(
         "*", "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as line", "cast(l_quantity as int) as quantity")
     dated = items.join(at_rest, F.col("l_orderkey") == F.col("o_orderkey"))

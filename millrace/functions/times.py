@@ -27,13 +27,18 @@ def event_time_text(ts_ms, tz="UTC"):
     return _local(ts_ms - F.pmod(ts_ms, F.lit(1000)), tz).cast("string")
 
 
+def ntz_millis(ts):
+    """Epoch milliseconds of a TIMESTAMP_NTZ column read as UTC.
+
+    Put together from its fields: differences of timestamps go through the session zone, which has
+    no such hour once a year.
+    """
+    days = F.unix_date(ts.cast("date")).cast("bigint")
+    minutes = F.hour(ts) * 60 + F.minute(ts)
+    return days * 86_400_000 + minutes * 60_000 + (F.extract(F.lit("SECOND"), ts) * 1000).cast("bigint")
+
+
 def to_epoch_ms(text, tz="UTC"):
     """Epoch milliseconds of a date or date-time text; NULL where it is neither."""
     local = text.try_cast("timestamp_ntz")
-    utc = local if tz == "UTC" else F.convert_timezone(F.lit(tz), F.lit("UTC"), local)
-    return F.timestamp_diff("MILLISECOND", F.expr(EPOCH), utc)
-
-
-def ntz_millis(ts):
-    """Epoch milliseconds of a TIMESTAMP_NTZ column read as UTC."""
-    return F.timestamp_diff("MILLISECOND", F.expr(EPOCH), ts.cast("timestamp_ntz"))
+    return ntz_millis(local if tz == "UTC" else F.convert_timezone(F.lit(tz), F.lit("UTC"), local))

@@ -68,6 +68,16 @@ def test_times(spark):
         assert tuple(rows[2])[:3] == ("1969-12-31", "1970-01-01", "1969-12-31 23:59:59")
 
 
+def test_hour_missing_in_the_session_zone(spark):
+    df = spark.createDataFrame([("2024-03-10 02:30:00",)], "t string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ms, text = df.select(to_epoch_ms(F.col("t")), event_time_text(to_epoch_ms(F.col("t")))).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (ms, text) == (1710037800000, "2024-03-10 02:30:00")
+
+
 def test_records(spark):
     df = spark.createDataFrame([('{"a":{"b":1.50,"c":null},"d":[1,"x"],"n":null}',)], "value string")
     rec = R.parse_record(F.col("value"))
