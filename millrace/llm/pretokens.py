@@ -176,3 +176,38 @@ def encode_words(words, path):
     for first in range(0, len(words), 4096):
         out += [e.ids for e in tokenizer.encode_batch_fast(words[first:first + 4096], add_special_tokens=False)]
     return out
+
+
+def expand(codes, at, n, flat):
+    """Ids of coded words one after the other, and how many stand before each word (and after the last).
+
+    ``at`` and ``n`` say where a word's ids lie in ``flat`` and how many they are."""
+    if not len(codes):
+        return np.empty(0, np.int64), np.zeros(1, np.int64)
+    sizes = n[codes]
+    ends = np.cumsum(sizes)
+    # An id's place is its word's start plus its place in the word.
+    place = np.arange(ends[-1]) + np.repeat(at[codes] - (ends - sizes), sizes)
+    return flat[place], np.concatenate(([0], ends))
+
+
+#: Words whose ids a Python worker remembers from one batch and task to the next.
+REMEMBERED = 400_000
+_remembered = {}
+
+
+def encode_texts(strings, path, kind):
+    """All ids of ``strings`` one after the other and the bounds of each text's; each distinct word is encoded once."""
+    words = split(strings, path, kind)
+    known = _remembered.setdefault(path, {})
+    new = [w for w in words.distinct if w not in known]
+    if len(known) + len(new) > REMEMBERED:
+        for w in list(known)[:max(len(known) // 2, len(known) + len(new) - REMEMBERED)]:
+            del known[w]
+        new = [w for w in words.distinct if w not in known]
+    known.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, encode_words(new, path), strict=True))
+    ids = [known[w] for w in words.distinct]
+    n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+    flat = np.frombuffer(b"".join(ids), np.int32).astype(np.int64)
+    out, before = expand(words.codes, np.cumsum(n) - n, n, flat)
+    return out, before[words.first]

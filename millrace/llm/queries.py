@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, line_dedup, quality
+from millrace.llm import bpe, line_dedup, mixing, quality, token_codes
 
 QUERIES = {}
 ORACLE = {}
@@ -56,3 +56,18 @@ def op7_bpe(spark, sf_dir):
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register
+def op4_mixing(spark, sf_dir):
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("picks")).alias("taken"))
+
+
+@register
+def op5_token_codes(spark, sf_dir):
+    import public_tokenizers
+
+    folder = token_codes.token_folder(spark)
+    manifest = token_codes.write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_codes.digests(token_codes.read_tokens(manifest, folder))
