@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, line_dedup, mixing, quality, token_codes
+from millrace.llm import bpe, fixity, line_dedup, mixing, neighbours, page_text, quality, token_codes, toxicity
+from millrace.session import work_folder
 
 QUERIES = {}
 ORACLE = {}
@@ -71,3 +72,39 @@ def op5_token_codes(spark, sf_dir):
     folder = token_codes.token_folder(spark)
     manifest = token_codes.write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
     return token_codes.digests(token_codes.read_tokens(manifest, folder))
+
+
+@register
+def op1_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@register
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@register
+def op6_warc_fixity(spark, sf_dir):
+    """Two replicas of all pages as WARC, one with a changed bit in the pages with id 13 modulo 97, and their audit."""
+    pages = table(spark, sf_dir, "pages")
+    folder = work_folder(spark, "warc")
+    catalogue = fixity.write_warc(pages, f"{folder}/a")
+    fixity.copy_files(catalogue, f"{folder}/a", f"{folder}/b", harm=F.col("page_id") % 97 == 13)
+    found = fixity.audit(catalogue, f"{folder}/a", f"{folder}/b", f"{folder}/trees")
+    return found.select("page_id", F.col("length").alias("n_bytes"))
+
+
+# All of a record but its url, its page and the digits of its length is the same for every page.
+ORACLE["op6_warc_fixity"] = """
+SELECT page_id, strlen(coalesce(html, '')) + strlen(coalesce(url, '')) + HEAD
+       + length(CAST(strlen(coalesce(html, '')) AS VARCHAR)) AS n_bytes
+FROM pages WHERE page_id % 97 = 13
+""".replace("HEAD", str(len(fixity.record(None, "", b"")) - 1))
+
+
+@register
+def op8_page_text(spark, sf_dir):
+    found = page_text.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
