@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, fixity, line_dedup, mixing, neighbours, page_text, quality, token_codes, toxicity
+from millrace.llm import (
+    bpe, fixity, line_dedup, mixing, near_duplicates, neighbours, page_text, quality, token_codes, toxicity)
 from millrace.session import work_folder
 
 QUERIES = {}
@@ -108,3 +109,8 @@ FROM pages WHERE page_id % 97 = 13
 def op8_page_text(spark, sf_dir):
     found = page_text.main_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register
+def op9_ngram_join(spark, sf_dir):
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
