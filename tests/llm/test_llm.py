@@ -1,0 +1,426 @@
+"""The text operators against plain versions, round trips and SQL, with the cases their docstrings name."""
+
+import hashlib
+import io
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+import public_tokenizers
+from millrace.llm import (bpe, components, fixity, line_dedup, mixing, near_duplicates, neighbours, page_text, pretokens,
+                          quality, queries, token_codes, toxicity)
+from millrace.session import work_folder
+
+SF = "/root/testdata/sf0.001"
+SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
+WORD = re.compile(f"[^{SPACE}]+")
+ODD = [None, "", " ", "\n", "a", "a\n\na", "A b\x0bc", "é" * 50, "x " * 400, "\n" * 70 + "a", "’ 漢字 ²½ don't İ", "<|endoftext|> a<|startoftext|>"]
+
+
+def lower(s):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)
+
+
+def frame(spark, rows, extra=True):
+    """Documents with a clashing extra column; texts and ids may be null."""
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, kept string")
+    return df if extra else df.select("doc_id", "text")
+
+
+def prose(seed, n, vocabulary=40, longest=90):
+    r = random.Random(seed)
+    words = [f"W{i}" if i % 5 else f"w{i}é" for i in range(vocabulary)]
+    return [r.choice([" ", "\n"]).join(r.choice(words) for _ in range(r.randrange(longest))) for _ in range(n)]
+
+
+# 3
+
+
+def plain_quality(text):
+    words = WORD.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+
+    def in_runs(n):
+        runs = Counter(tuple(words[i:i + n]) for i in range(len(words) - n + 1))
+        inside = set()
+        for i in range(len(words) - n + 1):
+            if runs[tuple(words[i:i + n])] > 1:
+                inside.update(range(i, i + n))
+        return inside
+
+    seen, again = set(), []
+    for line in lines:
+        again += [line] if line in seen else []
+        seen.add(line)
+    chars = sum(map(len, words))
+    dup = sum(len(w) for x in again for w in WORD.findall(x))
+    repeat = len(in_runs(8))
+    base = len(words) < 20 or 100 * repeat > 30 * len(words)
+    bad = dup > quality.LINE_LIMIT * chars or any(
+        sum(len(words[i]) for i in in_runs(n)) > most * chars for n, most in quality.RUN_LIMITS.items())
+    return len(words), chars, sum(c in "#*$%&|<>" for c in text or ""), len(again), repeat, base, not base and not bad
+
+
+def test_quality_equals_plain(spark):
+    r = random.Random(1)
+    texts = ODD + prose(2, 60) + [" ".join([p] * r.randrange(1, 4)) for p in prose(3, 40, 300)] + ["#a *b " * 9]
+    rows = list(enumerate(texts)) + [(None, "a b"), (3, None)]
+    got = quality.quality_rules(frame(spark, rows)).toPandas()
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    want = Counter(((-1 if i is None else i), *plain_quality(t)) for i, t in rows)
+    assert Counter(zip(got.doc_id.fillna(-1).astype(int), *(got[c] for c in names), strict=True)) == want
+    assert quality.quality_rules(frame(spark, [])).count() == 0
+    kept = quality.keep_good(frame(spark, rows))
+    assert kept.columns == ["doc_id", "text", "kept"] and kept.count() == sum(plain_quality(t)[-1] for _, t in rows)
+
+
+# 10
+
+
+def plain_lines(rows, mode, least):
+    key = lambda x: lower(x.strip(SPACE))
+    documents = sorted({(i is not None, i or 0, t or "") for i, t in rows})
+    where = defaultdict(set)
+    for d in documents:
+        for x in d[2].split("\n"):
+            where[key(x)].add(d)
+    seen, out = set(), {}
+    for d in documents:
+        stay = []
+        for x in d[2].split("\n"):
+            k = key(x)
+            gone = k and (k in seen if mode == "first" else len(where[k]) >= least)
+            seen.add(k)
+            stay += [] if gone else [x]
+        out[d] = stay
+    return out
+
+
+@pytest.mark.parametrize("mode", ["first", "common"])
+def test_line_dedup_equals_plain(spark, mode):
+    r = random.Random(4)
+    lines = [" A b ", "a B", "c", "", "é", "É", "x\t", "long " * 9] + [f"l{i}" for i in range(30)]
+    rows = [(i, "\n".join(r.choice(lines) for _ in range(r.choice([0, 1, 3, 8, 200])))) for i in range(40)]
+    rows += [(100 + i, t) for i, t in enumerate(ODD)] + [(None, "c\nq"), (None, "c\nq")]
+    want = plain_lines(rows, mode, 4)
+    got = line_dedup.drop_lines(frame(spark, rows), mode, 4).collect()
+    expected = Counter((i, len((t or "").split("\n")), len((t or "").split("\n")) - len(want[i is not None, i or 0, t or ""]),
+                        "\n".join(want[i is not None, i or 0, t or ""])) for i, t in rows)
+    assert Counter(map(tuple, got)) == expected
+    same = line_dedup.without_lines(frame(spark, rows), mode, 4)
+    assert same.columns == ["doc_id", "text", "kept"] and same.count() == len(rows)
+    assert line_dedup.drop_lines(frame(spark, []), mode).count() == 0
+
+
+def test_line_dedup_runs_no_python(spark):
+    plan = line_dedup.drop_lines(frame(spark, []), "common")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+# 9
+
+
+def plain_classes(rows):
+    own = {}
+    for i, t in rows:
+        w = WORD.findall(lower(t or ""))
+        own[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set())
+    top = {i: i for i in own}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    ids = sorted(own)
+    for a in ids:
+        for b in ids:
+            both = len(own[a] & own[b])
+            if a < b and both and 100 * both >= 80 * (len(own[a]) + len(own[b]) - both):
+                x, y = sorted((root(a), root(b)))
+                top[y] = x
+    return {(i, len(own[i]), root(i)) for i in own}
+
+
+def test_ngram_join_is_exact(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(2000)]
+    stock, rows = [[r.choice(words) for _ in range(k)] for k in (8, 30, 110)], list(enumerate(ODD))
+    for i in range(330):
+        base = r.choice(stock)
+        change = (lambda: [x if r.random() > .02 else r.choice(words) for x in base],
+                  lambda: base + [r.choice(words) for _ in range(max(1, int(len(base) * r.choice([.08, .12, .3]))))],
+                  lambda: base[r.randrange(4):] + [r.choice(words) for _ in range(r.randrange(4))],
+                  lambda: [x if r.random() > .05 else r.choice(words) for x in base])[i % 4]()
+        rows.append((100 + i, " ".join(change)))
+    got = near_duplicates.near_duplicates(frame(spark, rows)).collect()
+    assert set(map(tuple, got)) == plain_classes(rows)
+    assert len(got) == len(rows)
+
+
+def test_ngram_join_odd_rows(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text), (1, text), (2, text.upper()), (2, "other words"), (None, text), (5, None), (6, "")]
+    got = Counter(map(tuple, near_duplicates.near_duplicates(frame(spark, rows)).collect()))
+    assert got == Counter({(1, 26, 1): 2, (2, 26, 1): 1, (2, 1, 2): 1, (None, 26, None): 1, (5, 0, 5): 1, (6, 0, 6): 1})
+    assert near_duplicates.near_duplicates(frame(spark, [])).count() == 0
+    kept = near_duplicates.one_of_each(frame(spark, rows))
+    assert sorted(map(str, (row.doc_id for row in kept.collect()))) == ["1", "2", "5", "6", "None"]
+
+
+@given(st.sets(st.integers(0, 400), min_size=1, max_size=60), st.sets(st.integers(0, 400), max_size=15))
+@settings(max_examples=50, deadline=None)
+def test_sketch_never_rejects(own, other):
+    a, b = (np.array(sorted(x), np.uint64) for x in (own, own ^ other or own))
+    bits = sum((x ^ y & (2 ** 64 - 1)).bit_count() if x >= 0 and y >= 0 else bin((x ^ y) & (2 ** 64 - 1)).count("1")
+               for x, y in zip(near_duplicates.sketch(a), near_duplicates.sketch(b), strict=True))
+    assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_segments_leave_agreeing_ones():
+    for n in range(4, 3000):
+        for band, _ in near_duplicates.families(n):
+            m, spare = near_duplicates.segments(band)
+            if m:
+                low = int(near_duplicates.bands()[band])
+                for u in (n, near_duplicates.largest_partner(n)):
+                    small = min(n, int(near_duplicates.bands()[band + 1]) - 1)
+                    assert small >= low and m - spare > (small + min(u, small * 5 // 4)) // 9
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (2, 1)]
+    got = components.components(spark.createDataFrame(edges, "a long, b long"), work_folder(spark, "components"))
+    assert set(map(tuple, got.collect())) == {(i, 1) for i in range(1, 41)} | {(i, 100) for i in range(100, 160)}
+
+
+# 4
+
+
+def test_mixing(spark):
+    r = random.Random(5)
+    rows = [(i, " ".join("w" * r.randrange(1, 4) for _ in range(r.randrange(200))), r.choice(["a", "b", "c", "é", None]))
+            for i in range(300)] + [(900, None, "b"), (None, "a b", "a"), (901, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, shards=4, blocks=32).toPandas()
+    again = mixing.mix(docs.repartition(5), shards=4, blocks=32).toPandas()
+    key = lambda f: sorted((str(i), str(p)) for i, p in zip(f.doc_id, f.picks, strict=True))
+    assert key(got) == key(again) and len(got) == len(rows)
+    got["taken"] = got["size"] * got["picks"].map(len)
+    by = got.assign(source=got.source.fillna("~")).groupby("source")
+    sizes, targets, taken = by["size"].sum(), by["target"].first(), by["taken"].sum()
+    order = ["a", "b", "c", "é", "~"]
+    assert np.allclose(targets[order], mixing.fill_targets(sizes[order], [5, 2, 1, 5, 2], 1.5, 2))
+    assert abs(targets.sum() - 1.5 * sizes.sum()) < 1e-6 and (abs(taken - targets) <= 20).all()
+    assert (got["picks"].map(lambda p: len({x["pass"] for x in p}) == len(p) <= 2)).all()
+    rows_out = mixing.mixed_rows(docs, shards=4, blocks=32)
+    assert rows_out.columns == docs.columns and rows_out.count() == got["picks"].map(len).sum()
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_split_tree_is_exact():
+    counts = mixing.split_tree([100, 7, 0, 33], 7, 1)
+    assert counts.sum(axis=0).tolist() == [100, 7, 0, 33] and max(counts.sum(axis=1)) - min(counts.sum(axis=1)) <= 1
+
+
+# 5 and 7
+
+
+@pytest.mark.parametrize(("name", "kind"), [("byte_bpe_50k.json", "gpt"), ("word_bpe_49k.json", "clip")])
+def test_split_equals_library(name, kind):
+    r, path = random.Random(7), public_tokenizers.path(name)
+    signs = [*"abcXYZ éÉßñ  \n\t.,!?123²½'’“–漢字İΣς<|> ́\r\x0b\x1c\u0085ÅŁł_-", "'s", "'re", " ' ", *pretokens.SPECIAL, "  \n\n "]
+    texts = ODD + ["".join(r.choice(signs) for _ in range(r.randrange(50))) for _ in range(800)]
+    words = pretokens.split(texts, path, kind)
+    ids = pretokens.encode_words(words.distinct, path)
+    for i, t in enumerate(texts):
+        assert [x for c in words.of(i) for x in ids[c]] == pretokens.load(path).encode(t or "", add_special_tokens=False).ids
+
+
+def test_bpe_equals_library(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = list(enumerate(ODD + prose(8, 30))) + [(None, "null id"), (0, "again"), (0, "again")]
+    got = Counter((r.doc_id, tuple(r.ids), r.decoded) for r in bpe.encode(frame(spark, rows), path, decode=True).collect())
+    tokenizer, want = pretokens.load(path), Counter()
+    for i, t in rows:
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids
+        want[i, tuple(ids), tokenizer.decode(ids, skip_special_tokens=False)] += 1
+    assert got == want
+    assert bpe.encode(frame(spark, []), path).count() == 0
+
+
+def test_token_codes_round_trip(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = list(enumerate(ODD + prose(9, 30))) + [(None, "null id"), (3, "again")]
+    folder = token_codes.token_folder(spark)
+    manifest = token_codes.write_tokens(frame(spark, rows), folder, path)
+    got = token_codes.digests(token_codes.read_tokens(manifest, folder)).orderBy("start").collect()
+    ids = {}
+    for i, t in rows:
+        ids.setdefault(i, []).append(pretokens.load(path).encode(t or "", add_special_tokens=False).ids + [0])
+    assert [g.doc_id for g in got] == [None, *sorted([i for i, _ in rows if i is not None])]
+    start = 0
+    for g in got:
+        assert g.start == start and (g.n_tokens, g.ids_crc32) in {
+            (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for x in ids[g.doc_id]}
+        start += g.n_tokens
+    assert token_codes.write_tokens(frame(spark, []), token_codes.token_folder(spark), path).count() == 0
+
+
+@given(st.lists(st.integers(0, 2 ** 32 - 1), max_size=1500), st.integers(0, 3))
+@settings(max_examples=40, deadline=None)
+def test_any_token_is_addressable(ids, cut):
+    ids = [x >> (8 * (i % 4)) for i, x in enumerate(ids)]
+    first = [0, min(cut, len(ids)), len(ids)]
+    reader = token_codes.Reader(io.BytesIO(token_codes.encode_ids([5, None], first, ids)))
+    assert reader.documents()[0] == [5, None] and reader.documents()[1].tolist() == first
+    assert [reader.token(i) for i in range(0, len(ids), 37)] == ids[::37]
+    assert reader.tokens(0, len(ids)).tolist() == ids and reader.tokens(first[1], len(ids)).tolist() == ids[first[1]:]
+
+
+# 8
+
+
+@given(st.lists(st.sampled_from("abc"), max_size=12), st.lists(st.sampled_from("abc"), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_common_lines_are_longest(a, b):
+    length = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a)):
+        for j in range(len(b)):
+            length[i + 1][j + 1] = length[i][j] + 1 if a[i] == b[j] else max(length[i][j + 1], length[i + 1][j])
+    found, rest = page_text.common_lines(a, b), iter(b)
+    assert len(found) == length[-1][-1] and all(a[i] in rest for i in found)
+
+
+def test_main_text(spark):
+    frame_of = "<html><head><title>t</title><style>p{}</style></head><body><nav><a>m</a></nav><div class='ad'>buy</div>%s" \
+               "<div id=comments>hey</div><form>f</form><footer>&copy; x</footer></body></html>"
+    marked = frame_of % "<article><h1>A &amp; B</h1><p>one<br> two\n <b>three</b><p>x&nbsp;y<script>if (a<b) '</p>'</script></article>"
+    plain = [f"<div>Top line</div><p>body {i}</p><p>more {i}<!-- no --></p><div>Bottom line</div>" for i in range(3)]
+    rows = [(1, "http://h.org/a/1", marked), (2, "http://h.org/a/2", marked), (3, None, None), (4, "x", ""),
+            *[(10 + i, f"http://g.org/p/{i}", p) for i, p in enumerate(plain)], (20, "http://g.org/p/9", "<p>a < b</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in page_text.main_text(pages).collect()}
+    assert got[1] == got[2] == "A & B\none two three\nx y"
+    assert got[3] == got[4] == "" and got[20] == "a < b"
+    assert [got[10 + i] for i in range(3)] == [f"body {i}\nmore {i}" for i in range(3)]
+    assert page_text.main_text(pages.limit(0)).count() == 0
+
+
+# 1
+
+
+def test_neighbours(spark):
+    r = np.random.Generator(np.random.PCG64(3))
+    x = r.normal(size=(1500, 64)).round(3)
+    x[10:500] = x[5]  # a hot bucket with ties
+    rows = [(i, v.tolist(), "a") for i, v in enumerate(x)]
+    rows += [(2000, None, ""), (2100, [0.0] * 64, ""), (2200, [float("nan")] * 64, ""), (2300, [1.0, None], ""), (None, [1.0] * 64, ""),
+             (2400, [], ""), (2500, [float("inf")] + [1.0] * 63, ""), (2600, [3.0, 4.0, 0.0], ""), (2601, [3.0, 0.0, 0.0], ""), (7, rows[7][1], "")]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")
+    got = neighbours.nearest(vectors, F.col("vec_id") % 100 == 0).toPandas()
+    hit = total = 0
+    for q in range(0, 1500, 100):
+        gap = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        gap[q] = np.inf
+        best = np.lexsort((np.arange(1500), gap))[:10]
+        own = got[got.query_id == q].sort_values("rank")
+        assert own["rank"].tolist() == list(range(1, 11)) and np.allclose(own.score, gap[own.vec_id], rtol=1e-12)
+        hit, total = hit + len({*best} & {*own.vec_id}), total + 10
+        if 10 <= q < 500:
+            assert own.vec_id.tolist() == best.tolist()
+    assert hit >= 0.9 * total
+    assert got[got.query_id == 2600].vec_id.tolist() == [2601] and set(got.query_id) == {*range(0, 1500, 100), 2600}
+
+
+# 2
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    got = toxicity.score(docs, model).join(labels, "doc_id").filter("held_out").toPandas()
+    caught = got[got.predicted == 1]
+    assert (caught.toxic == 1).mean() > 0.85 and (got[got.toxic == 1].predicted == 1).mean() > 0.8
+    odd = toxicity.score(frame(spark, list(enumerate(ODD)) + [(None, "x")]), model).toPandas()
+    assert len(odd) == len(ODD) + 1 and odd.score.between(0, 1).all()
+    assert (odd.predicted == (odd.score >= 0.5)).all()
+    assert odd.held_out.sum() == sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(len(ODD)))
+    one_class = toxicity.train(docs, labels.filter("toxic = 0"))
+    assert len(one_class[0]) == 0 and toxicity.scores(["a"], *one_class)[0] < 0.5
+
+
+# 6
+
+
+def test_fixity(spark):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "é" * i) for i in range(90)] + [(None, None, None)],
+                                  "page_id long, url string, html string").repartition(3)
+    folder = work_folder(spark, "warc")
+    catalogue = fixity.write_warc(pages, f"{folder}/a")
+    assert catalogue.count() == 91
+    fixity.copy_files(catalogue, f"{folder}/a", f"{folder}/b")
+    assert fixity.audit(catalogue, f"{folder}/a", f"{folder}/b", f"{folder}/same").count() == 0
+    fixity.copy_files(catalogue, f"{folder}/a", f"{folder}/c", harm=F.col("page_id").isin(7, 8, 60))
+    found = fixity.audit(catalogue, f"{folder}/a", f"{folder}/c", f"{folder}/differ").collect()
+    assert {r.page_id for r in found} == {7, 8, 60}
+    one = catalogue.filter("page_id = 5").first().file_no
+    fixity.copy_files(catalogue.filter(F.col("file_no") != one), f"{folder}/a", f"{folder}/d")
+    lost = fixity.audit(catalogue, f"{folder}/a", f"{folder}/d", f"{folder}/lost")
+    assert lost.count() == catalogue.filter(F.col("file_no") == one).count()
+    assert fixity.audit(catalogue.limit(0), f"{folder}/a", f"{folder}/b", f"{folder}/none").count() == 0
+
+
+# The queries with SQL, and the pipeline
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    got = queries.QUERIES[name](spark, SF)
+    columns = ", ".join(sorted(got.columns))
+    want = con.sql(f"SELECT {columns} FROM ({queries.ORACLE[name]})").fetchall()
+    assert Counter(map(tuple, got.select(*sorted(got.columns)).collect())) == Counter(want)
+
+
+def test_every_operator_has_a_query():
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+
+
+def test_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_join", "mixing", "bpe"]
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = spark.createDataFrame([(10_000 + i, t, None, None, None) for i, t in enumerate(ODD)], source.schema)
+    source.union(odd).coalesce(3).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r.text for r in source.union(odd).collect()}
+    good = [(i, t) for i, t in rows.items() if plain_quality(t)[-1]]
+    lines = {i: "\n".join(stay) for (_, i, _), stay in plain_lines(good, "first", 0).items()}
+    lines = [(i, t) for i, t in lines.items() if WORD.search(t)]
+    stays = {i for i, _, c in plain_classes(lines) if i == c}
+    texts = {i: t for i, t in lines if i in stays}
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert {r.doc_id for r in got} <= set(texts)
+    for r in got[:60]:
+        assert r.ids == pretokens.load(path).encode(texts[r.doc_id], add_special_tokens=False).ids and r.n_tokens == len(r.ids)
+    size = sum(len(WORD.findall(t)) for t in texts.values())
+    taken = sum(len(WORD.findall(texts[r.doc_id])) for r in got)
+    assert abs(taken - 1.5 * size) < 0.05 * size and max(Counter(r.doc_id for r in got).values()) <= 2
+
+
+def test_digest_columns(spark):
+    row = queries.QUERIES["op7_bpe"](spark, SF).orderBy("doc_id").first()
+    text = spark.read.parquet(f"{SF}/documents.parquet").filter(F.col("doc_id") == row.doc_id).first().text
+    ids = pretokens.load(public_tokenizers.path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
+    assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() and row.n_tokens == len(ids)
