@@ -11,6 +11,7 @@ opens its cheapest skipped buckets again if even that leaves a gap. Candidates a
 
 Sets that are equal are one node. Links inside a bucket are looked for from its most central members first, and
 members that are by then in one component need no further pairs; so a group of copies costs about its size.
+Candidates whose sketches differ in more bits than linked sets can in shingles are not verified.
 """
 
 import functools
@@ -85,7 +86,7 @@ def segments(band):
         return 0, 0
     # A pair differs in at most (l + u) * (1 - s) / (1 + s) shingles.
     differ = (top + largest_partner(top)) * (WHOLE - PART) // (WHOLE + PART)
-    spare = 2 + -(-(differ + 1) * 6 // 100)
+    spare = 3 + -(-(differ + 1) * 12 // 100)
     return differ + 1 + spare, spare
 
 
@@ -115,7 +116,22 @@ def _sign(total, place, band):
     return spans.mix(total + place.astype(_U) * _U(0xD6E8FEB86659FD93) + _U(band * 0xA24BAED4963EE407 % (1 << 64)))
 
 
-SETS = ("doc_id long, n int, h long, m_own int, spare_own int, empty_own int, m_low int, spare_low int, empty_low int")
+SKETCH = [f"s{i}" for i in range(8)]
+SETS = ("doc_id long, n int, h long, m_own int, spare_own int, empty_own int, m_low int, spare_low int, empty_low int, "
+        + ", ".join(f"{s} long" for s in SKETCH))
+
+
+def sketch(own):
+    """Parity of the number of shingles in each of 512 parts: two sketches differ in no more bits than their sets in shingles."""
+    part = (spans.mix(own + _U(0x165667B19E3779F9)) >> _U(55)).astype(np.int64)
+    return np.packbits(np.bincount(part, minlength=512) & 1).view(np.int64).tolist()
+
+
+def may_link(a="a", b="b"):
+    """Whether sizes and sketches (``n``, ``sk`` under the prefixes) leave room for a link; false only where there is none."""
+    na, nb = F.col(f"n{a}"), F.col(f"n{b}")
+    bits = sum(F.bit_count(F.col(f"sk{a}")[s].bitwiseXOR(F.col(f"sk{b}")[s])) for s in SKETCH)
+    return (F.greatest(na, nb) * PART <= F.least(na, nb) * WHOLE) & (bits * (WHOLE + PART) <= (na + nb) * (WHOLE - PART))
 
 
 def _describe(batches):
@@ -128,11 +144,12 @@ def _describe(batches):
                 facts[low] = (m, spare, int(subsets(own, band)[3].sum()))
                 if m == 0:  # linked sets share PART / WHOLE of the larger at least
                     facts[low] = (len(own), -(-len(own) * PART // WHOLE) - 1, 0)
-            out.append((len(own), name_of(own), *facts[False], *facts[True]))
+            out.append((len(own), name_of(own), *facts[False], *facts[True], *sketch(own)))
         columns = list(zip(*out, strict=True))
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
-             *(pa.array(c, pa.int32()) for c in columns[2:])], [c.split()[0] for c in SETS.split(", ")])
+             *(pa.array(c, pa.int32()) for c in columns[2:8]), *(pa.array(c, pa.int64()) for c in columns[8:])],
+            [c.split()[0] for c in SETS.split(", ")])
 
 
 SIGNATURES = "sig long, h long, n int, low boolean"
@@ -160,13 +177,15 @@ def _signatures(batches):
                  pa.array(np.repeat([p[3] for p in parts], sizes), pa.bool_())], ["sig", "h", "n", "low"])
 
 
-NEIGHBOURS = "sig long, full long, kind int, doc long, n int, low boolean"
+NEIGHBOURS = "sig long, kind int, doc long"
 
 
 def _neighbourhoods(batches):
-    """For each segment subset of a text its signature (kind 0) and those of its one-deletion neighbours (kind 1)."""
+    """For each segment subset of a text that is not skipped, its signature (kind 0) and those of its one-deletion
+    neighbours (kind 1)."""
     for batch in batches:
-        for doc, n, h, lows, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "h", "lows", "text")), strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("doc", "n", "h", "lows", "skipped", "text")]
+        for doc, n, h, lows, skipped, text in zip(*columns, strict=True):
             own = sets([text])[0]
             if (name_of(own), len(own)) != (h, n):
                 continue
@@ -177,13 +196,11 @@ def _neighbourhoods(batches):
                 total = np.zeros(len(signs), _U)
                 np.add.at(total, place, mixed)
                 less = _sign(total[place] - mixed, place, band).astype(np.int64)
-                fulls = signs[~empty].astype(np.int64)
-                size = len(fulls) + len(less)
+                shut = empty | np.isin(signs.astype(np.int64), np.array(skipped, np.int64))
+                fulls, less = signs[~shut].astype(np.int64), less[~shut[place]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate((fulls, less))), pa.array(np.concatenate((fulls, signs[place].astype(np.int64)))),
-                     pa.array(np.repeat([0, 1], [len(fulls), len(less)]), pa.int32()), pa.array(np.full(size, doc)),
-                     pa.array(np.full(size, n), pa.int32()), pa.array(np.full(size, low))],
-                    ["sig", "full", "kind", "doc", "n", "low"])
+                    [pa.array(np.concatenate((fulls, less))), pa.array(np.repeat([0, 1], [len(fulls), len(less)]), pa.int32()),
+                     pa.array(np.full(len(fulls) + len(less), doc))], ["sig", "kind", "doc"])
 
 
 def _verify(batches):
@@ -218,7 +235,7 @@ class _Join:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.count = 0
-        self.tested = self.links = None
+        self.tested = self.links = self.known = None
 
     def kept(self, df, name):
         self.count += 1
@@ -232,9 +249,8 @@ class _Join:
         return self.docs.join(F.broadcast(chosen) if few else chosen, F.col("doc_id") == F.col("doc")).drop("doc_id")
 
     def verify(self, pairs):
-        """Verify candidate pairs (``a, na, b, nb``) that were not tested before, and add the links found."""
-        fits = F.greatest("na", "nb") * PART <= F.least("na", "nb") * WHOLE
-        pairs = pairs.filter(fits & (F.col("a") != F.col("b"))).select("a", "b").distinct()
+        """Verify candidate pairs (``a, b``) that were not tested before, and add the links found."""
+        pairs = pairs.filter(F.col("a") != F.col("b")).select("a", "b").distinct()
         if self.tested is not None:
             turned = self.tested.select(F.col("b").alias("a"), F.col("a").alias("b"))
             pairs = pairs.join(self.tested.union(turned), ["a", "b"], "left_anti")
@@ -252,8 +268,11 @@ class _Join:
         self.links = found if self.links is None else self.links.union(found)
 
     def classes(self):
-        self.count += 1
-        return components(self.links, f"{self.folder}/{self.count:02d}-components")
+        """Components of the links found so far."""
+        if self.known is None or self.known[0] is not self.links:
+            self.count += 1
+            self.known = self.links, components(self.links, f"{self.folder}/{self.count:02d}-components")
+        return self.known[1]
 
     def run(self):
         described = self.kept(self.docs.mapInArrow(_describe, SETS), "sets")
@@ -261,6 +280,7 @@ class _Join:
         facts = [c.split()[0] for c in SETS.split(", ")][3:]
         self.nodes = self.kept(whole.groupBy("h", "n").agg(
             F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in facts]), "nodes")
+        self.sketches = self.nodes.select("doc", "n", F.struct(*SKETCH).alias("sk"))
         members = self.members()
         weights = members.groupBy("doc").agg(F.sum(F.col("mult") * F.col("cnt")).alias("weight"))
         members = self.kept(members.join(weights, "doc"), "members")
@@ -295,15 +315,18 @@ class _Join:
     def star(self, members):
         """Pair each bucket's most central member with all others. If components are known, the centre is the most
         central member outside the component of the most central one, and its own component needs no pairs."""
-        best = F.struct("weight", "doc", "n", "component")
+        members = members.join(self.sketches.drop("n"), "doc")
+        best = F.struct("weight", "doc", "n", "component", "sk")
         first = members.groupBy("bucket", "cnt").agg(F.max(best).alias("top"))
-        if "component" in members.columns and not members.filter("component IS NOT NULL").isEmpty():
-            other = members.join(first, ["bucket", "cnt"]).filter(F.col("component") != F.col("top.component"))
-            first = other.groupBy("bucket", "cnt").agg(F.max(best).alias("top"))
-        beside = members.join(first, ["bucket", "cnt"]).filter(
-            F.col("component").isNull() | (F.col("component") != F.col("top.component")))
-        self.verify(beside.select(F.col("top.doc").alias("a"), F.col("top.n").alias("na"), F.col("doc").alias("b"),
-                                  F.col("n").alias("nb")))
+        if not members.filter("component IS NOT NULL").isEmpty():
+            other = members.join(first.select("bucket", "cnt", F.col("top.component").alias("known")), ["bucket", "cnt"])
+            first = other.filter("component <> known").groupBy("bucket", "cnt").agg(F.max(best).alias("top"))
+        centres = first.select("bucket", "cnt", F.col("top.doc").alias("a"), F.col("top.n").alias("na"),
+                               F.col("top.sk").alias("ska"), F.col("top.component").alias("ca"))
+        beside = members.select("bucket", "cnt", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sk").alias("skb"),
+                                F.col("component").alias("cb"))
+        apart = F.col("cb").isNull() | (F.col("ca") != F.col("cb"))
+        self.verify(beside.join(centres, ["bucket", "cnt"]).filter(apart & may_link() & (F.col("a") != F.col("b"))))
 
     def open(self, members):
         """Members of the buckets whose members are not yet all in one component, with their component."""
@@ -317,13 +340,14 @@ class _Join:
     def rest(self, members):
         """What the stars leave open: pairs of small buckets, and for large ones what the skipping rules demand."""
         def paired(probes, among):
-            a = probes.select("bucket", "cnt", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-            b = among.select("bucket", "cnt", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            fits = F.greatest("na", "nb") * PART <= F.least("na", "nb") * WHOLE
-            both = a.join(b, ["bucket", "cnt"]).filter((F.col("ca") != F.col("cb")) & fits)
-            return both.select(F.least("a", "b").alias("a"), F.least("na", "nb").alias("na"),
-                               F.greatest("a", "b").alias("b"), F.greatest("na", "nb").alias("nb"))
-
+            a = probes.select("bucket", "cnt", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sk").alias("ska"),
+                              F.col("component").alias("ca"))
+            b = among.select("bucket", "cnt", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sk").alias("skb"),
+                             F.col("component").alias("cb"))
+            both = a.join(b, ["bucket", "cnt"]).filter((F.col("ca") != F.col("cb")) & may_link())
+            return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+        members = members.join(self.sketches.drop("n"), "doc")
         small = members.filter(F.col("cnt") <= SMALL_BUCKET)
         pairs = paired(small, small)
         large = members.filter(F.col("cnt") > SMALL_BUCKET)
@@ -355,23 +379,28 @@ class _Join:
                                   F.col("empty_low").alias("e"), "n")
         sparse = spared.union(below).filter("e > s AND m <> n").select("doc", "low")
         warm = (sparse if over is None else sparse.union(over)).groupBy("doc").agg(F.collect_set("low").alias("lows"))
-        chosen = self.kept(warm.join(self.nodes.select("doc", "n", "h"), "doc"), "warm")
+        # A set's skipped segments go with it: at most as many as it has shingles.
+        if ranked is None:
+            shut = warm.withColumn("skipped", F.array().cast("array<long>"))
+        else:
+            skips = ranked.filter("skipped AND NOT single").groupBy("doc").agg(F.collect_list("bucket").alias("skipped"))
+            shut = warm.join(skips, "doc", "left").withColumn("skipped", F.coalesce("skipped", F.array().cast("array<long>")))
+        chosen = self.kept(shut.join(self.nodes.select("doc", "n", "h"), "doc"), "warm")
         near = self.texts(chosen).mapInArrow(_neighbourhoods, NEIGHBOURS)
-        if ranked is not None:
-            skipped = ranked.filter("skipped AND NOT single").select(
-                F.col("doc"), "low", F.col("bucket").alias("full"))
-            near = near.join(skipped, ["doc", "low", "full"], "left_anti")
         near = near.repartition(self.parts, "sig")
         # A signature is of use if a subset and a neighbour of another meet in it.
         kinds = Window.partitionBy("sig")
         met = near.withColumns({"lo": F.min("kind").over(kinds), "hi": F.max("kind").over(kinds)}).filter("lo <> hi")
-        met = self.kept(met.select("sig", "kind", "doc", "n"), "neighbours")
-        full = met.filter("kind = 0").select("sig", F.col("doc").alias("a"), F.col("n").alias("na"))
-        less = met.filter("kind = 1").select("sig", F.col("doc").alias("b"), F.col("n").alias("nb"))
-        fits = F.greatest("na", "nb") * PART <= F.least("na", "nb") * WHOLE
-        both = full.join(less, "sig").filter((F.col("a") != F.col("b")) & fits)
-        return both.select(F.least("a", "b").alias("a"), F.least("na", "nb").alias("na"), F.greatest("a", "b").alias("b"),
-                           F.greatest("na", "nb").alias("nb"))
+        classes = self.classes()
+        met = self.kept(met.select("sig", "kind", "doc"), "neighbours").join(self.sketches, "doc").join(
+            classes, F.col("doc") == F.col("node"), "left").withColumn("component", F.coalesce("component", "doc"))
+
+        def side(kind, x):
+            return met.filter(F.col("kind") == kind).select(
+                "sig", F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("sk").alias(f"sk{x}"), F.col("component").alias(f"c{x}"))
+
+        both = side(0, "a").join(side(1, "b"), "sig").filter((F.col("ca") != F.col("cb")) & may_link())
+        return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
