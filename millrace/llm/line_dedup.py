@@ -72,7 +72,7 @@ def keep_bitmaps(docs: DataFrame, mode: str = "first", min_docs: int = 10) -> Da
     """
     if mode not in ("first", "common"):
         raise ValueError(f"unknown mode {mode}")
-    dropped = _dropped_lines(_document(docs), mode, min_docs).distinct()
+    dropped = _dropped_lines(_document(docs), mode, min_docs)
     words = dropped.groupBy("d1", "d2", F.expr("int(pos div 64)").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
     return words.groupBy("d1", "d2").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("drops"))
