@@ -18,6 +18,7 @@ from millrace.llm import pretokens, spans
 from millrace.session import work_folder
 
 BLOCK_CHARS = 16 << 20
+SQUEEZE = pa.Codec("zstd", compression_level=9)
 PARTS = "block long, part int, kind int, seq long, doc_id long, payload binary"
 #: Kinds of rows, in the order in which a block needs them.
 WORDS, IDS, CODES = 0, 1, 2
@@ -31,7 +32,7 @@ def pack(*arrays):
         a = np.ascontiguousarray(a, dtype="<u4")
         planes = a.view(np.uint8).reshape(-1, 4).T
         raw = b"".join(p.tobytes() for p in planes)
-        squeezed = pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
+        squeezed = SQUEEZE.compress(raw, asbytes=True) if raw else b""
         out.append(np.array([len(a), len(squeezed)], dtype="<u4").tobytes() + squeezed)
     return b"".join(out)
 
@@ -51,7 +52,7 @@ def _pack_words(words):
     raw = [w.encode() for w in words]
     joined = b"".join(raw)
     return len(joined).to_bytes(8, "little") + pack(np.array([len(w) for w in raw])) \
-        + (pa.compress(joined, codec="zstd", asbytes=True) if joined else b"")
+        + (SQUEEZE.compress(joined, asbytes=True) if joined else b"")
 
 
 def _unpack_words(payload):
@@ -195,14 +196,9 @@ def _documents(payload, at, n, flat, texts):
     nulls = np.frombuffer(payload, np.uint8, count, 4 + 8 * count).astype(bool)
     sizes, codes = unpack(payload[4 + 9 * count:])
     first = np.concatenate(([0], np.cumsum(sizes)))
-    per_word = n[codes] if len(codes) else codes
-    ends = np.cumsum(per_word)
-    total = int(ends[-1]) if len(ends) else 0
-    # Ids of all words one after the other: each id's place is its word's start plus its place in the word.
-    place = np.arange(total) + np.repeat((at[codes] if len(codes) else codes) - (ends - per_word), per_word)
-    ids = flat[place].astype(np.int32)
-    bounds = np.concatenate(([0], ends))[first].astype(np.int32)
-    columns = [pa.array(doc_ids, pa.int64(), mask=nulls), pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids))]
+    ids, ends = pretokens.expand(codes, at, n, flat)
+    bounds = ends[first].astype(np.int32)
+    columns = [pa.array(doc_ids, pa.int64(), mask=nulls), pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32)))]
     names = ["doc_id", "ids"]
     if texts is not None:
         own = codes.tolist()
