@@ -4,6 +4,7 @@ Records and ordered ranges of records are hashed into a tree per file, and the f
 replicas with equal roots are equal; else only branches that differ are descended, down to the records.
 """
 
+import gzip
 import hashlib
 import uuid
 
@@ -16,7 +17,7 @@ from millrace.llm import shared_files
 FANOUT = 16
 #: Bytes after which a WARC file is closed; a longer record is a file of its own.
 FILE_BYTES = 32 << 20
-CATALOGUE = "file_no long, file string, record long, page_id long, offset long, length long"
+CATALOGUE = "file_no long, file string, record long, page_id long, offset long, length long, n_bytes long"
 LEAVES = "file_no long, node long, digest binary"
 READ_BYTES = 4 << 20
 
@@ -35,7 +36,7 @@ def record(page_id, url, html):
 def _write(batches, folder):
     from pyspark import TaskContext
 
-    files, task = shared_files.Files(folder, ".warc"), TaskContext.get().partitionId()
+    files, task = shared_files.Files(folder, ".warc.gz"), TaskContext.get().partitionId()
     number, held, size, rows = 0, [], 0, []
 
     def flush():
@@ -44,33 +45,31 @@ def _write(batches, folder):
         out = pa.RecordBatch.from_pylist(
             [{"file_no": (task << 32) | number, "file": name, **row} for row in rows],
             pa.schema([("file_no", pa.int64()), ("file", pa.string()), ("record", pa.int64()), ("page_id", pa.int64()),
-                       ("offset", pa.int64()), ("length", pa.int64())]))
+                       ("offset", pa.int64()), ("length", pa.int64()), ("n_bytes", pa.int64())]))
         number, held, size, rows = number + 1, [], 0, []
         return out
 
     for batch in batches:
         for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
             raw = record(page_id, url, html.encode() if html is not None else None)
-            if held and size + len(raw) > FILE_BYTES:
+            member = gzip.compress(raw, mtime=0)
+            if held and size + len(member) > FILE_BYTES:
                 yield flush()
-            rows.append({"record": len(rows), "page_id": page_id, "offset": size, "length": len(raw)})
-            held.append(raw)
-            size += len(raw)
+            rows.append({"record": len(rows), "page_id": page_id, "offset": size, "length": len(member), "n_bytes": len(raw)})
+            held.append(member)
+            size += len(member)
     if held:
         yield flush()
 
 
 def write_warc(pages: DataFrame, folder: str) -> DataFrame:
-    """Write ``pages`` (``page_id``, ``url``, ``html``) in order of id as WARC files to ``folder``; return the catalogue
-    of their records (``file_no, file, record, page_id, offset, length``), also written there.
+    """Write ``pages`` (``page_id``, ``url``, ``html``) as they come as WARC files, each record a gzip member, to ``folder``;
+    return the catalogue of their records (``file_no, file, record, page_id, offset, length, n_bytes``; ``n_bytes`` before
+    compression), also written there. Nothing is shuffled.
 
-    Null ids come first; rows with one id are ordered by a hash of their content and each written, repeated rows too.
-    Other columns are ignored; no pages give no files."""
+    Every row is a record: repeated rows too, and null ids. Other columns are ignored; no pages give no files."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    order = [F.col("page_id"), F.xxhash64("url", "html")]
-    # An id that fills a range is split there by the hash.
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    dealt.mapInArrow(lambda b: _write(b, folder), CATALOGUE).write.parquet(f"{folder}/written")
+    rows.mapInArrow(lambda b: _write(b, folder), CATALOGUE).write.parquet(f"{folder}/written")
     spark = pages.sparkSession
     written = spark.read.schema(CATALOGUE).parquet(f"{folder}/written")
     # Files are numbered without gaps, for the tree above them: one row a file, few enough for one window.
@@ -198,7 +197,7 @@ def _steps(records_per_file, n_files):
 
 
 def audit(catalogue: DataFrame, first: str, second: str, folder: str) -> DataFrame:
-    """``file_no, file, record, page_id, offset, length`` of the catalogued records whose bytes differ between the replicas
+    """The rows of the catalogue whose records' bytes differ between the replicas
     in the folders ``first`` and ``second``; empty if the roots agree.
 
     Trees are written under ``folder``.
