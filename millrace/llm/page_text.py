@@ -216,7 +216,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     split = rows.mapInArrow(_split, SPLIT)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     large = rows.select(host.alias("host")).groupBy("host").agg(F.ceil(F.count("*") / HOST_ROWS).cast("int").alias("slices"))
-    large = large.filter("slices > 1")  # at most one in HOST_ROWS rows
+    # At most one row for each HOST_ROWS pages, so its size is bounded by a small part of the narrowest column.
+    large = F.broadcast(large.filter("slices > 1"))
     part = F.pmod(F.xxhash64("path"), F.coalesce("slices", F.lit(1))).cast("int")
     sliced = split.join(large, "host", "left").withColumn("slice", part).drop("slices")
     dealt = sliced.repartition("host", "slice").sortWithinPartitions("host", "slice", "path", "url", "page_id")
