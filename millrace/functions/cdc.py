@@ -28,7 +28,8 @@ def is_increase(column):
 
 def increase(column):
     """How much ``column`` grew, as text; meaningful where ``is_increase`` holds."""
-    grown = data(column).try_cast("int") - old(column).try_cast("int")
+    # Differences of ints always fit a bigint.
+    grown = data(column).try_cast("int").cast("bigint") - old(column).try_cast("int").cast("bigint")
     return F.when(F.col("type") == "insert", data(column)).otherwise(grown.cast("string"))
 
 

@@ -8,8 +8,22 @@ from pyspark.sql import functions as F
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
+# The first and last millisecond of the years 1 to 9999.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def is_time(ts_ms):
+    """Whether epoch milliseconds name a time of the years 1 to 9999; false for null."""
+    return F.coalesce(ts_ms.between(FIRST_MS, LAST_MS), F.lit(False))
+
+
+def usable_ms(ts_ms):
+    """Epoch milliseconds, NULL where they name no time."""
+    return F.when(is_time(ts_ms), ts_ms)
+
+
 def _local(ts_ms, tz):
-    utc = F.timestamp_add("MILLISECOND", ts_ms, F.expr(EPOCH))
+    utc = F.timestamp_add("MILLISECOND", usable_ms(ts_ms), F.expr(EPOCH))
     return utc if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
@@ -24,6 +38,7 @@ def event_day(ts_ms, tz="UTC"):
 
 def event_time_text(ts_ms, tz="UTC"):
     """yyyy-MM-dd HH:mm:ss of an epoch-millisecond column."""
+    ts_ms = usable_ms(ts_ms)
     return _local(ts_ms - F.pmod(ts_ms, F.lit(1000)), tz).cast("string")
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.functions import records as R
+from millrace.functions.times import is_time
 
 PARSED = ["record", "mid", "is_new", "page_id", "last_page_id", "ts"]
 
@@ -31,11 +32,11 @@ def parse_log(df, value="value"):
 def split_dirty(parsed, required=("mid", "ts")):
     """Usable and dirty records of ``parse_log`` output.
 
-    Dirty is: no text, text that is no JSON object, or a record without a required member (the
-    visitor to group by, the time to order by). Returns ``(good, dirty)``; dirty keeps the text.
+    Dirty is: no text, text that is no JSON object, a record without a required member (the
+    visitor to group by, the time to order by), or one whose ``ts`` names no time of the years 1 to 9999. Returns ``(good, dirty)``; dirty keeps the text.
     """
     usable = F.col("record").isNotNull()
     for name in required:
-        usable = usable & F.col(name).isNotNull()
+        usable = usable & (is_time(F.col(name)) if name == "ts" else F.col(name).isNotNull())
     dirty = parsed.filter(~usable).select(*[c for c in parsed.columns if c not in PARSED])
     return parsed.filter(usable), dirty

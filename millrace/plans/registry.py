@@ -369,7 +369,7 @@ def upserted_dimensions(spark, sf):
     config = _config(spark)
     rows = config_rows(config)
     routed = route_by_config(keep_types(feeds.master_changes(spark, sf)), config)
-    upsert_dimensions(routed.withColumn("change_ts", cdc.change_seconds()), rows, root)
+    upsert_dimensions(routed.withColumn("change_ts", cdc.change_seconds()), root)
     tables = [read_dimension(spark, row, root).withColumn("sink_table", F.lit(row["sink_table"])) for row in rows]
     merged = tables[0]
     for more in tables[1:]:

@@ -16,12 +16,12 @@ SETTINGS = {
 }
 
 
-def sized_for(input_bytes, cores, partition_bytes=256 * 1024 * 1024, most=50_000):
-    """Settings for a batch over ``input_bytes``: shuffle partitions of about ``partition_bytes``,
-    at least two per core, and no more than the driver can keep track of. Adaptive execution joins
+def sized_for(input_bytes, cores, partition_bytes=256 * 1024 * 1024, most=None):
+    """Settings for a batch over ``input_bytes``: shuffle partitions of about ``partition_bytes`` and
+    at least two per core. ``most`` bounds their number, at the price of larger partitions. Adaptive execution joins
     what turns out small; it cannot split what was planned too coarse, but for skewed joins."""
     wanted = max(2 * cores, -(-input_bytes // partition_bytes))
-    return {"spark.sql.shuffle.partitions": str(min(wanted, most)),
+    return {"spark.sql.shuffle.partitions": str(min(wanted, most or wanted)),
             "spark.sql.files.maxPartitionBytes": str(partition_bytes)}
 
 

@@ -1,8 +1,9 @@
 """Dimension tables driven by configuration.
 
 All dimension changes of a batch are written in one pass to one folder tree, partitioned by target
-table; a table's columns are the configured ones, all text. Readers of one table prune to its
-folder and columns. The current rows are the last version of each key.
+table. A row is stored as its key and a map of the configured members, so the tables' columns neither
+meet in one schema nor clash with the batch marks; readers prune to a table's folder and take its
+columns, all text, from the configuration. The current rows are the last version of each key.
 """
 
 from pyspark.errors import AnalysisException
@@ -10,18 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.upsert import latest_by_key
-from millrace.sinks.writers import write_batch
+from millrace.sinks.writers import BATCH, WRITER, write_batch
 
-MAX_TABLES = 10_000
 VERSION = "_version"
+STORED = f"pk array<string>, {VERSION} array<bigint>, data map<string,string>, {WRITER} string, {BATCH} bigint"
 
 
 def config_rows(config):
-    """The configuration as driver-side rows: tens of tables, and refused beyond a bound."""
-    rows = config.limit(MAX_TABLES + 1).collect()
-    if len(rows) > MAX_TABLES:
-        raise ValueError(f"more than {MAX_TABLES} configured tables")
-    return rows
+    """The configured tables one after the other, for a caller that needs their names or columns."""
+    return list(config.toLocalIterator())
 
 
 def columns_of(row):
@@ -50,41 +48,50 @@ def ensure_table(spark, row, root):
     return name
 
 
-def upsert_dimensions(routed, rows, root, batch_id=0, writer="main", order=("change_ts",)):
+def upsert_dimensions(routed, root, batch_id=0, writer="main", order=("change_ts",)):
     """Write the last version of each key of a routed batch, all tables in one pass.
 
     ``routed`` comes from ``route_by_config`` plus the ``order`` columns (whole numbers, oldest to
-    newest). NULL stays NULL.
+    newest). Changes of one second are told apart only by an order with the arrival behind it, such as
+    ``("change_ts", "arrival")``. NULL stays NULL.
     """
     last = latest_by_key(routed, ["sink_table", "pk"], order)
-    columns = sorted({c for row in rows for c in columns_of(row)})
     version = F.array(*[F.col(c).cast("bigint") for c in order]).alias(VERSION)
-    typed = last.select("sink_table", version, *[F.col("data")[c].alias(c) for c in columns])
+    rows = last.select("sink_table", "pk", version, "data")
     # Few files per table, and a table with most of the rows is split over several writers.
-    write_batch(typed.hint("rebalance", F.col("sink_table")), root, batch_id, writer, partition_by=["sink_table"])
+    write_batch(rows.hint("rebalance", F.col("sink_table")), root, batch_id, writer, partition_by=["sink_table"])
 
 
 def read_dimension(spark, row, root):
     """The current rows of one dimension table.
 
-    Reads that table's folder only. The schema comes from the configuration, so no file is opened
-    to find it, and a column added later is NULL in older files.
+    Reads that table's folder only. The columns come from the configuration: one added later is NULL
+    in older rows, and one left out is not read.
     """
-    stored = T.StructType([T.StructField(c, T.StringType()) for c in columns_of(row)]
-                          + [T.StructField(VERSION, T.ArrayType(T.LongType())),
-                             T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())])
     try:
-        versions = spark.read.schema(stored).parquet(f"{root}/sink_table={row['sink_table']}")
+        versions = spark.read.schema(STORED).parquet(f"{root}/sink_table={row['sink_table']}")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        versions = spark.createDataFrame([], stored)
-    last = latest_by_key(versions, keys_of(row), [VERSION, "batch_id"])
-    return last.select(*columns_of(row))
+        versions = spark.createDataFrame([], STORED)
+    last = latest_by_key(versions, ["pk"], [VERSION, BATCH])
+    return last.select(*[F.col("data")[c].alias(c) for c in columns_of(row)])
 
 
 def publish_dimension(spark, row, root, tables):
-    """Replace the rows of a catalog table by the current rows of its dimension."""
+    """Replace the rows of a catalog table by the current rows of its dimension.
+
+    Columns go by name. One that the table lacks is added to it; one that the configuration has
+    dropped stays and becomes NULL.
+    """
     name = ensure_table(spark, row, tables)
-    read_dimension(spark, row, root).write.insertInto(name, overwrite=True)
+    there = [c.lower() for c in spark.table(name).columns]
+    added = [c for c in columns_of(row) if c.lower() not in there]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` STRING' for c in added)})")
+    current = read_dimension(spark, row, root)
+    known = {c.lower(): c for c in current.columns}
+    columns = [F.col(f"`{known[c.lower()]}`") if c.lower() in known else F.lit(None).cast("string").alias(c)
+               for c in spark.table(name).columns]
+    current.select(*columns).write.insertInto(name, overwrite=True)
     return name

@@ -8,11 +8,11 @@ from millrace.operators.upsert import latest_by_key
 def as_messages(df, keys=None):
     """Rows as ``(key, value)`` texts for a topic; rows whose ``value`` is already text keep it.
 
-    The key is made of ``keys``, so a message written twice (a topic sink is at-least-once) carries
-    the same key. Null values are skipped.
+    The key is the JSON array of ``keys`` with nulls kept, so different keys never share a text and a
+    message written twice (a topic sink is at-least-once) carries the same one. Null values are skipped.
     """
     text = F.col("value") if df.columns == ["value"] else F.to_json(F.struct("*"))
-    key = F.concat_ws("-", *keys) if keys else F.xxhash64("value").cast("string")
+    key = F.to_json(F.array(*[F.col(k).cast("string") for k in keys])) if keys else F.xxhash64("value").cast("string")
     rows = df.select(text.alias("value"), *([key.alias("key")] if keys else []))
     rows = rows.filter(F.col("value").isNotNull())
     return rows if keys else rows.select(key.alias("key"), "value")
@@ -55,15 +55,21 @@ def read_latest(spark, target, keys, order, deleted=None):
     return latest_by_key(spark.read.parquet(target), keys, order, deleted)
 
 
+#: Columns that mark who wrote a row and in which batch; no payload may use these names.
+WRITER, BATCH = "millrace_writer", "millrace_batch"
+
+
 def write_batch(df, target, batch_id, writer="main", partition_by=(), fmt="parquet"):
     """Write one micro-batch so that a repeated attempt replaces itself.
 
-    The batch number names the folder. A query started over with a new checkpoint counts from zero
+    The batch number names the folder, under reserved column names; a payload with one of them is refused. A query started over with a new checkpoint counts from zero
     again: give it another ``writer`` name.
     """
-    df = df.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id))
+    if {c.lower() for c in df.columns} & {WRITER, BATCH}:
+        raise ValueError(f"{WRITER} and {BATCH} are reserved column names")
+    df = df.withColumns({WRITER: F.lit(writer), BATCH: F.lit(batch_id).cast("long")})
     (df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by, "writer", "batch_id").save(target))
+       .partitionBy(*partition_by, WRITER, BATCH).save(target))
 
 
 def fan_out(batch, outputs, targets, batch_id, writer="main", fmt="text"):

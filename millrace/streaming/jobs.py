@@ -29,13 +29,10 @@ def start_dimensions(changes, read_config, root, checkpoint, writer="main", orde
     """
     def write(batch, batch_id):
         config = current_config(read_config(), order=config_order)
-        rows = config_rows(config)
-        for row in rows if tables else ():
+        for row in config_rows(config) if tables else ():
             ensure_table(batch.sparkSession, row, tables)
-        if rows:
-            settled = batch.sparkSession.createDataFrame(rows, config.schema)
-            routed = route_by_config(keep_types(batch), settled).withColumn("change_ts", cdc.change_seconds())
-            upsert_dimensions(routed, rows, root, batch_id, writer, order)
+        routed = route_by_config(keep_types(batch), config).withColumn("change_ts", cdc.change_seconds())
+        upsert_dimensions(routed, root, batch_id, writer, order)
 
     return (changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -86,3 +86,21 @@ def test_records(spark):
         R.get_text(rec["a"]), R.get_text(rec["n"]), R.get_long(rec["a"], "$.b"),
         F.size(R.get_items(rec["d"])), R.get_items(rec["a"])).first()
     assert tuple(got) == ('{"d":[1,"x"],"a":"t","z":5}', '{"a":{"b":1.5,"c":null}}', '{"b":1.5,"c":null}', None, 1, 2, None)
+
+
+def test_extreme_values_raise_nothing(spark):
+    from millrace.functions import cdc, times
+    from millrace.operators.quality import parse_log, split_dirty
+    from millrace.operators.selection import with_event_time
+
+    top, low = 2 ** 63 - 1, -2 ** 63
+    texts = [(f'{{"common":{{"mid":"1"}},"ts":{t}}}',) for t in (1592270938000, 1592270938000000000, low, top)]
+    good, dirty = split_dirty(parse_log(spark.createDataFrame(texts, "value string")))
+    assert good.count() == 1 and dirty.count() == 3
+    stamps = spark.createDataFrame([(t,) for t in (0, top, low)], "t long")
+    days = stamps.select(times.event_day(F.col("t")).alias("d"), times.event_time_text(F.col("t")).alias("x")).collect()
+    assert [tuple(r) for r in days] == [("1970-01-01", "1970-01-01 00:00:00"), (None, None), (None, None)]
+    change = "type string, data map<string,string>, old map<string,string>, ts string"
+    rows = spark.createDataFrame([("update", {"n": "2147483647"}, {"n": "-5"}, str(top))], change)
+    assert rows.select(cdc.increase("n").alias("g")).first().g == "2147483652"
+    assert with_event_time(rows).first().event_time is None

@@ -79,8 +79,10 @@ def test_append_and_latest(spark, tmp_path):
 def test_messages(spark):
     df = spark.createDataFrame([("1", None, 5)], "id string, x string, n int")
     (row,) = W.as_messages(df, ["id"]).collect()
-    assert row.key == "1" and json.loads(row.value) == {"id": "1", "n": 5}
+    assert row.key == '["1"]' and json.loads(row.value) == {"id": "1", "n": 5}
     texts = spark.createDataFrame([("t",), (None,)], "value string")
+    pairs = spark.createDataFrame([("a", None), (None, "a"), ("a-b", "c"), ("a", "b-c")], "x string, y string")
+    assert len({r.key for r in W.as_messages(pairs, ["x", "y"]).collect()}) == 4
     first, second = W.as_messages(texts).collect(), W.as_messages(texts).collect()
     assert len(first) == 1 and first == second
 
@@ -169,18 +171,53 @@ def test_dimension_stream(spark, tmp_path):
 
 def test_dimension_batch_is_idempotent(spark, tmp_path):
     config = spark.createDataFrame([("brand", "dim_brand", "id,name", None, None)], CONFIG)
-    rows = D.config_rows(config)
     df = spark.createDataFrame([("shop", "brand", "insert", {"id": "1", "name": "a"}, None, "1")], CHANGE)
     routed = route_by_config(df, config).withColumn("change_ts", F.col("ts").cast("bigint"))
     for _ in range(2):
-        D.upsert_dimensions(routed, rows, str(tmp_path), 0)
+        D.upsert_dimensions(routed, str(tmp_path), 0)
     assert spark.read.parquet(str(tmp_path)).count() == 1
 
 
+def test_dimensions_with_any_column_names(spark, tmp_path):
+    config = spark.createDataFrame([("a", "dim_a", "id,writer,batch_id,_version,data", None, None),
+                                    ("b", "dim_b", "id,Name", None, None), ("c", "dim_c", "id,name", None, None)], CONFIG)
+    rows = [("shop", "a", "insert", {"id": "1", "writer": "Ann", "batch_id": "9", "_version": "v", "data": "d"}, None, "1"),
+            ("shop", "b", "insert", {"id": "1", "Name": "B"}, None, "1"), ("shop", "c", "insert", {"id": "1", "name": "c"}, None, "1")]
+    routed = route_by_config(spark.createDataFrame(rows, CHANGE), config).withColumn("change_ts", F.col("ts").cast("bigint"))
+    D.upsert_dimensions(routed, str(tmp_path))
+    got = {r["sink_table"]: [tuple(x) for x in D.read_dimension(spark, r, str(tmp_path)).collect()] for r in D.config_rows(config)}
+    assert got == {"dim_a": [("1", "Ann", "9", "v", "d")], "dim_b": [("1", "B")], "dim_c": [("1", "c")]}
+    with pytest.raises(ValueError, match="reserved"):
+        W.write_batch(spark.createDataFrame([("x",)], "millrace_writer string"), str(tmp_path / "w"), 0)
+
+
+def test_changes_of_one_second_go_by_arrival(spark, tmp_path):
+    config = spark.createDataFrame([("brand", "dim_brand2", "id,name", None, None)], CONFIG)
+    rows = [("shop", "brand", "update", {"id": "1", "name": "new"}, None, "1"), ("shop", "brand", "insert", {"id": "1", "name": "old"}, None, "1")]
+    routed = route_by_config(spark.createDataFrame(rows, CHANGE), config).withColumns(
+        {"change_ts": F.col("ts").cast("bigint"), "arrival": F.when(F.col("type") == "insert", 1).otherwise(2)})
+    D.upsert_dimensions(routed, str(tmp_path), order=("change_ts", "arrival"))
+    assert [r.name for r in D.read_dimension(spark, D.config_rows(config)[0], str(tmp_path)).collect()] == ["new"]
+
+
+def test_publish_goes_by_name(spark, tmp_path):
+    root, tables = str(tmp_path / "dims"), str(tmp_path / "tables")
+    change = [("shop", "s", "insert", {"id": "1", "name": "Ann", "url": "u", "later": "l"}, None, "1")]
+    for columns in ("id,name,url", "id,url,name", "id,later,name"):
+        config = spark.createDataFrame([("s", "dim_named", columns, None, None)], CONFIG)
+        routed = route_by_config(spark.createDataFrame(change, CHANGE), config).withColumn("change_ts", F.col("ts").cast("bigint"))
+        D.upsert_dimensions(routed, root)
+        D.publish_dimension(spark, D.config_rows(config)[0], root, tables)
+        row = spark.table("dim_named").first().asDict()
+        assert row["name"] == "Ann" and row["id"] == "1"
+    assert row == {"id": "1", "name": "Ann", "url": None, "later": "l"}
+
+
 def test_sizing():
     assert sized_for(10, 8)["spark.sql.shuffle.partitions"] == "16"
     assert sized_for(10 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "40960"
-    assert sized_for(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "50000"
+    assert sized_for(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "409600"
+    assert sized_for(100 * 2**40, 4000, most=50_000)["spark.sql.shuffle.partitions"] == "50000"
 
 
 def test_sessions(spark):
