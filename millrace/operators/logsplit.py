@@ -43,9 +43,12 @@ def _outputs():
     }
 
 
-def split_log(parsed):
-    """The five outputs as ``{target: DataFrame(value)}``, each lazily derived from ``parsed``."""
-    return {target: parsed.filter(condition).select(F.explode(texts).alias("value"))
+def split_log(parsed, keep=()):
+    """The five outputs as ``{target: DataFrame(value)}``, each lazily derived from ``parsed``.
+
+    An output that is used alone serialises nothing of the others. ``keep`` names columns to carry along.
+    """
+    return {target: parsed.filter(condition).select(*keep, F.explode(texts).alias("value"))
             for target, (condition, texts) in _outputs().items()}
 
 

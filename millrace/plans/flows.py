@@ -26,9 +26,15 @@ def _stamped(df, columns, source=None):
     return df.withColumn("row_op_ts", stamp).select(*columns)
 
 
-def _timed(changes, delay):
-    """A streamed change log with event time; a batch as it is."""
-    return with_event_time(changes, delay=delay) if changes.isStreaming else changes
+def _timed(changes, delay, *tables):
+    """A streamed change log of ``tables`` with event time; a batch as it is.
+
+    The tables are chosen below the watermark, so that a log stored by table is pruned to their folders,
+    while any of them still moves the watermark on.
+    """
+    if not changes.isStreaming:
+        return changes
+    return with_event_time(changes.filter(F.col("table").isin(*tables)), delay=delay)
 
 
 def dimensions(changes, config_changes, order=("change_ts",)):
@@ -44,7 +50,7 @@ def order_wide(changes, dictionary, ttl=None, delay="0 seconds"):
     Activity and coupon are joined before the order: both share the line id, and the lines have
     not yet been multiplied by the changes of their order.
     """
-    changes = _timed(changes, delay)
+    changes = _timed(changes, delay, "order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
     lines = select_table(changes, "order_detail", S.ORDER_DETAIL_FIELDS, ["insert"], keep={"ts": "od_ts"})
     lines = lookup_join(lines, dictionary, "source_type", {"dic_name": "source_type_name"})
     orders = (
@@ -96,7 +102,7 @@ def cart_add(changes, dictionary):
 
 def payment_success(changes, detail, dictionary, ttl=None, delay="0 seconds"):
     """Paid order lines. ``detail`` is the output of ``order_detail``, read back where it landed."""
-    changes = _timed(changes, delay)
+    changes = _timed(changes, delay, "payment_info")
     payments = select_table(changes, "payment_info", S.PAYMENT_FIELDS, ["update"],
                             where=cdc.data("payment_status") == S.PAYMENT_PAID, keep=["ts"])
     payments = lookup_join(payments, dictionary, "payment_type", {"dic_name": "payment_type_name"})
@@ -111,7 +117,7 @@ def payment_success(changes, detail, dictionary, ttl=None, delay="0 seconds"):
 
 def order_refund(changes, dictionary, ttl=None, delay="0 seconds"):
     """Refund requests with the province of their order and the names of type and reason."""
-    changes = _timed(changes, delay)
+    changes = _timed(changes, delay, "order_refund_info", "order_info")
     requests = select_table(changes, "order_refund_info", S.REFUND_REQUEST_FIELDS, ["insert"], keep=["ts"])
     requests = two_role_lookup(requests, dictionary, {
         "refund_type": "refund_type_name", "refund_reason_type": "refund_reason_type_name"})
@@ -131,7 +137,7 @@ def refund_success(changes, dictionary, ttl=None, delay="0 seconds", types=None)
     By default every change of a refund and of its request counts, so several changes of one refund
     give several rows; ``types`` restricts both to some change types.
     """
-    changes = _timed(changes, delay)
+    changes = _timed(changes, delay, "refund_payment", "order_info", "order_refund_info")
     refunds = select_table(changes, "refund_payment", S.REFUND_PAYMENT_FIELDS, types,
                            where=cdc.data("refund_status") == S.REFUND_PAID, keep=["ts"])
     refunds = lookup_join(refunds, dictionary, "payment_type", {"dic_name": "payment_type_name"})

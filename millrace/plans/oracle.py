@@ -269,3 +269,6 @@ WHERE last_page_id IS NULL AND ms <= wm AND CASE WHEN next_ms <= wm
 }
 ORACLE["fan_out"] = f"SELECT target, ts FROM ({ORACLE['log_split']})"
 ORACLE["stream_retained_join"] = ORACLE["retained_join_band"]
+ORACLE |= {f"stream_{name}": ORACLE[name] for name in ("order_refund", "refund_success")}
+ORACLE["stream_log_dirty"] = ORACLE["dirty_bad"]
+ORACLE["stream_dimensions"] = ORACLE["upsert_dimensions"]

@@ -17,7 +17,7 @@ from millrace.operators.visitors import (
 from millrace.plans import flows
 from millrace.session import streaming_session, work_folder
 from millrace.sinks.dimensions import config_rows, read_dimension, upsert_dimensions
-from millrace.sinks.writers import fan_out, read_latest, write_append, write_upsert
+from millrace.sinks.writers import fan_out, land_changes, read_latest, write_append, write_upsert
 from millrace.sources.changes import read_changes, read_config_changes, read_detail
 from millrace.streaming import jobs
 
@@ -215,8 +215,7 @@ def dirty_bad(spark, sf):
 
 def _page_target(spark, sf):
     """The page output of the log split, as the visitor flows read it."""
-    return (route_log(_repaired_log(spark, sf), keep=["arrival"])
-            .filter(F.col("target") == "page").drop("target"))
+    return split_log(_repaired_log(spark, sf), keep=["arrival"])["page"]
 
 
 def unique_visitor(spark, sf):
@@ -351,6 +350,42 @@ def stream_log_split(spark, sf):
                        F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
 
 
+def stream_log_dirty(spark, sf):
+    """The dirty output of the log split; its other outputs hold the rest of the records."""
+    rows = _run_stream(spark, "log_dirty", lambda session, out, ck: jobs.start_log_split(
+        feeds.log_text(session, sf, dirt=True, stream=True), out, ck))
+    return rows.filter(F.col("target") == "dirty").select("value", "arrival")
+
+
+def _landed(spark, session, changes, files=8):
+    """A change log landed by table, as a stream of several micro-batches."""
+    folder = work_folder(spark, "changes")
+    land_changes(changes, folder)
+    return session.readStream.schema(changes.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+# Long enough for every row of the test tables to meet its partners, in whatever order the files come.
+ALL_TIME = {"ttl": 20 * 365 * 24 * 3600, "delay": "7300 days"}
+
+
+def stream_order_refund(spark, sf):
+    return _plain(_run_stream(spark, "order_refund", lambda session, out, ck: jobs.start_order_refund(
+        _landed(spark, session, _changes(spark, sf)), feeds.dictionary(session), out, ck, **ALL_TIME)))
+
+
+def stream_refund_success(spark, sf):
+    return _plain(_run_stream(spark, "refund_success", lambda session, out, ck: jobs.start_refund_success(
+        _landed(spark, session, _changes(spark, sf)), feeds.dictionary(session), out, ck, **ALL_TIME)))
+
+
+def stream_dimensions(spark, sf):
+    session = streaming_session(spark)
+    root, checkpoint = work_folder(spark, "dimensions"), work_folder(spark, "checkpoint")
+    changes = _landed(spark, session, feeds.master_changes(spark, sf), files=4)
+    jobs.start_dimensions(changes, lambda: feeds.config_changes(session), root, checkpoint).awaitTermination()
+    return _dimension_rows(spark, _config(spark), root)
+
+
 def stream_unique_visitor(spark, sf):
     rows = _run_stream(spark, "unique_visitor", lambda session, out, ck: jobs.start_unique_visitor(
         feeds.page_text(session, sf, stream=True), out, ck))
@@ -367,10 +402,14 @@ def upserted_dimensions(spark, sf):
     """The dimension sink: written in one pass, then each table's current rows."""
     root = work_folder(spark, "dimensions")
     config = _config(spark)
-    rows = config_rows(config)
     routed = route_by_config(keep_types(feeds.master_changes(spark, sf)), config)
     upsert_dimensions(routed.withColumn("change_ts", cdc.change_seconds()), root)
-    tables = [read_dimension(spark, row, root).withColumn("sink_table", F.lit(row["sink_table"])) for row in rows]
+    return _dimension_rows(spark, config, root)
+
+
+def _dimension_rows(spark, config, root):
+    tables = [read_dimension(spark, row, root).withColumn("sink_table", F.lit(row["sink_table"]))
+              for row in config_rows(config)]
     merged = tables[0]
     for more in tables[1:]:
         merged = merged.unionByName(more, allowMissingColumns=True)
@@ -454,6 +493,10 @@ QUERIES = {
     "stream_cart_add": stream_cart_add,
     "stream_retained_join": stream_retained_join,
     "stream_log_split": stream_log_split,
+    "stream_log_dirty": stream_log_dirty,
+    "stream_order_refund": stream_order_refund,
+    "stream_refund_success": stream_refund_success,
+    "stream_dimensions": stream_dimensions,
     "stream_unique_visitor": stream_unique_visitor,
     "stream_user_jump": stream_user_jump,
 }

@@ -35,7 +35,6 @@ ORDER_JOIN_TTL = 5        # seconds
 PAYMENT_JOIN_TTL = 905    # seconds
 BOUNCE_WITHIN_MS = 10_000
 BOUNCE_DELAY = "2 seconds"
-VISIT_RETENTION = "1 day"
 
 LOG_TARGETS = ["page", "start", "display", "action", "error"]
 

@@ -14,7 +14,7 @@ from millrace.operators.routing import current_config, route_by_config
 from millrace.operators.selection import keep_types
 from millrace.plans import flows
 from millrace.sinks.dimensions import config_rows, ensure_table, upsert_dimensions
-from millrace.sinks.writers import write_append, write_upsert
+from millrace.sinks.writers import write_append, write_batch, write_upsert
 from millrace.streaming import visitors
 
 
@@ -52,8 +52,18 @@ def start_order_cancel(wide, target, checkpoint, **options):
     return write_append(flows.order_cancel(wide), target, checkpoint, **options)
 
 
-def start_cart_add(changes, dictionary, target, checkpoint, **options):
-    return write_append(flows.cart_add(changes, dictionary), target, checkpoint, **options)
+def start_cart_add(changes, dictionary, target, checkpoint, writer="main", trigger=None, **options):
+    """Additions to the cart. ``dictionary`` is a frame, fixed for the life of the query, or a function that returns
+    one (``RefreshingLookup``): it is then asked, and measured, in every micro-batch, and a batch's rows go to a folder of
+    their own under ``target`` (``write_batch``)."""
+    if not callable(dictionary):
+        return write_append(flows.cart_add(changes, dictionary), target, checkpoint, trigger=trigger, **options)
+
+    def write(batch, batch_id):
+        write_batch(flows.cart_add(batch, dictionary()), target, batch_id, writer, **options)
+
+    return (changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def start_payment_success(changes, detail, dictionary, target, checkpoint, ttl=S.PAYMENT_JOIN_TTL,
@@ -81,20 +91,40 @@ def stream_log_records(log, order="arrival", tz="UTC"):
     return write_flag(again.drop("is_new").withColumnRenamed("_flag", "is_new"))
 
 
+def log_outputs(log, order="arrival", tz="UTC"):
+    """Rows ``(order, mid, target, value)`` of the five log outputs and, as ``dirty``, of the records that have none."""
+    routed = route_log(stream_log_records(log, order, tz), keep=[order, "mid"])
+    _, dirty = split_dirty(parse_log(log))
+    return routed.unionByName(dirty.select(
+        order, F.lit(None).cast("string").alias("mid"), F.lit("dirty").alias("target"), "value"))
+
+
+def as_topics(outputs):
+    """The outputs as messages to topics of their names, keyed by visitor, so that a visitor's records keep their order.
+    A topic has no place for a dirty record without text."""
+    return outputs.filter(F.col("value").isNotNull()).select(
+        F.col("target").alias("topic"), F.col("mid").alias("key"), "value")
+
+
 def start_log_split(log, target, checkpoint, order="arrival", tz="UTC", fmt="parquet", **options):
-    """The five log outputs, in one pass, as folders ``target=<name>`` (``fmt="kafka"``: as topics
-    named after the outputs). ``order`` travels along for the jobs that read the pages."""
-    routed = route_log(stream_log_records(log, order, tz), keep=[order])
+    """The five log outputs and the dirty records, in one query, as folders ``target=<name>`` (``fmt="kafka"``: as
+    topics named after them). ``order`` travels along for the jobs that read the pages."""
+    outputs = log_outputs(log, order, tz)
     if fmt == "kafka":
-        rows = routed.select(F.col("target").alias("topic"), "value")
-        return (rows.writeStream.format("kafka").options(**options)
+        return (as_topics(outputs).writeStream.format("kafka").options(**options)
                 .option("checkpointLocation", checkpoint).start())
-    return write_append(routed, target, checkpoint, fmt=fmt, partition_by=["target"], **options)
+    return write_append(outputs.drop("mid"), target, checkpoint, fmt=fmt, partition_by=["target"], **options)
+
+
+def start_log_dirty(log, target, checkpoint, **options):
+    """The dirty records of a log. The visitor jobs read pages, which ``start_log_split`` has cleaned; over another
+    source this job keeps what they leave out."""
+    return write_append(split_dirty(parse_log(log))[1], target, checkpoint, **options)
 
 
-def start_unique_visitor(pages, target, checkpoint, tz="UTC", **options):
+def start_unique_visitor(pages, target, checkpoint, order="arrival", tz="UTC", **options):
     good, _ = split_dirty(parse_log(pages))
-    rows = visitors.first_visit_per_day(good.select("value", "mid", "ts", "last_page_id"), tz=tz)
+    rows = visitors.first_visit_per_day(good.select("value", "mid", "ts", "last_page_id", order), order=order, tz=tz)
     return write_append(rows.select("value", "mid", "ts"), target, checkpoint, **options)
 
 

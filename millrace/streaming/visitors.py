@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.functions.times import event_date
 from millrace.operators.visitors import assign_event_time, is_session_start
-from millrace.streaming.processors import BounceProcessor, FirstVisitProcessor
+from millrace.streaming.processors import BounceProcessor, DailyFirstProcessor, FirstVisitProcessor
 
 # State processors see columns by name only where the name is a public identifier.
 DAY, START, EVENT_TIME = "visit_day", "session_start", "visit_time"
@@ -25,16 +25,18 @@ def repair_new_flag(df, key="mid", flag="is_new", ts="ts", order="arrival", tz="
     return repaired.select(*df.columns)
 
 
-def first_visit_per_day(df, key="mid", ts="ts", starts=None, tz="UTC", retention=schemas.VISIT_RETENTION):
+def first_visit_per_day(df, key="mid", ts="ts", order="arrival", starts=None, tz="UTC"):
     """Streaming form of the daily first visit.
 
-    Visitor and day are remembered until the watermark is ``retention`` past them. A day seen again
-    within that time is not emitted again, even if another day came in between.
+    A visitor's last day is kept without expiry and without a watermark: no clock, however wrong, makes another visitor's
+    rows late. A micro-batch gives a visitor's day once. A day comes out again if a later micro-batch returns to it after
+    another day came in between (days d1, d2, d1).
     """
     starts = is_session_start() if starts is None else starts
     dated = df.filter(starts).withColumn(DAY, event_date(F.col(ts), tz))
-    timed = assign_event_time(dated, ts, retention, EVENT_TIME)
-    return timed.dropDuplicatesWithinWatermark([key, DAY]).drop(DAY, EVENT_TIME)
+    return dated.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=DailyFirstProcessor(DAY, ts, order), outputStructType=dated.schema, outputMode="Append",
+        timeMode="None").drop(DAY)
 
 
 def detect_bounce(df, key="mid", ts="ts", order="arrival", starts=None, value="value",

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import compare, open_oracle
+from millrace.plans.oracle import ORACLE
+from millrace.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,6 +16,7 @@ def oracle():
 
 
 def test_every_query_has_its_sql():
+    assert set(ORACLE) == set(QUERIES)
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 

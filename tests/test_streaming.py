@@ -176,6 +176,81 @@ def test_unique_visitor(spark, tmp_path):
     assert got == [("1", 0), ("1", 1), ("2", 1)]
 
 
+def test_unique_visitor_with_a_clock_ahead(spark, tmp_path):
+    day = 86_400_000
+    feed = Feed(spark, tmp_path / "in", LOG)
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    feed.add((page("a", 1000), 0))
+    feed.add((page("bad", 4 * day), 1))
+    feed.add((page("b", 2000), 2), (page("b", 1500), 3))
+    finish(jobs.start_unique_visitor(feed.stream(), out, ck))
+    feed.add((page("c", 3000), 4), (page("bad", 5000), 5))
+    feed.add((page("bad", 4 * day + 1), 6), (page("a", 1001), 7))
+    finish(jobs.start_unique_visitor(feed.stream(), out, ck))
+    got = sorted((r.mid, r.ts) for r in spark.read.parquet(out).collect())
+    # Each file is a micro-batch: the clock that runs ahead returns to its first day after another.
+    assert got == [("a", 1000), ("b", 1500), ("bad", 5000), ("bad", 4 * day), ("bad", 4 * day + 1), ("c", 3000)]
+
+
+def test_log_split_leaves_no_record_out(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in", LOG)
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    dirty = [("{bad", 1), (None, 2), (json.dumps({"ts": 5}), 3), (page("1", 1 << 62), 4)]
+    feed.add((page("1", 1000), 0), *dirty[:2])
+    feed.add(*dirty[2:], (page("2", 1000), 5))
+    finish(jobs.start_log_split(feed.stream(), out, ck))
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.arrival, r.value) for r in rows if r.target == "dirty") == sorted((n, t) for t, n in dirty)
+    assert sorted(r.arrival for r in rows if r.target == "page") == [0, 5]
+
+
+def test_topics_are_keyed_by_visitor(spark):
+    from millrace.sources.topics import as_log
+
+    rows = spark.createDataFrame([("m", "page", "{}", 1), (None, "dirty", None, 2)],
+                                 "mid string, target string, value string, arrival bigint")
+    assert [tuple(r) for r in jobs.as_topics(rows).collect()] == [("page", "m", "{}")]
+    taken = spark.createDataFrame([(bytearray(b"{}"), 7, 1)], "value binary, offset bigint, partition int")
+    assert [tuple(r) for r in as_log(taken, "kafka").collect()] == [("{}", 7)]
+
+
+def test_cart_add_sees_a_code_added_between_batches(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in", CHANGE)
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    names = [("a", "A")]
+
+    def dictionary():
+        return spark.createDataFrame(names, "dic_code string, dic_name string")
+
+    def add(n, code):
+        feed.add(change("cart_info", "insert", 10 + n, {"id": str(n), "sku_num": "1", "source_type": code}))
+
+    add(1, "a")
+    finish(jobs.start_cart_add(feed.stream(), dictionary, out, ck))
+    names.append(("b", "B"))
+    add(2, "b")
+    finish(jobs.start_cart_add(feed.stream(), dictionary, out, ck))
+    got = sorted((r.id, r.source_type_name) for r in spark.read.parquet(out).collect())
+    assert got == [("1", "A"), ("2", "B")]
+
+
+def test_streamed_flows_prune_to_their_tables(spark, tmp_path):
+    from millrace.plans import flows
+
+    folder = str(tmp_path / "landed")
+    rows = spark.createDataFrame([change("order_info", "insert", 1, {"id": "1"})], CHANGE)
+    rows.write.partitionBy("table").parquet(folder)
+    stream = spark.readStream.schema(rows.schema).parquet(folder)
+    wide = flows.order_wide(stream, spark.createDataFrame(DIC, "dic_code string, dic_name string"), 900)
+    plan = wide._jdf.queryExecution().analyzed().toString().splitlines()
+    marks = [i for i, text in enumerate(plan) if "EventTimeWatermark" in text]
+    assert len(marks) >= 4
+    # The choice of tables stands below every watermark, next to the source.
+    for at in marks:
+        below = plan[at + 1:at + 4]
+        assert any("Filter table#" in text and " IN (" in text and "order_detail_coupon" in text for text in below)
+
+
 CHANGE = "table string, type string, data map<string,string>, old map<string,string>, ts string"
 DIC = [("2401", "search"), ("1101", "card")]
 
