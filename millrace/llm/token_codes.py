@@ -156,9 +156,12 @@ def write_tokens(docs: DataFrame, folder: str, path: str, kind: str = "gpt", end
     manifest = f"{folder}/manifest"
     dealt.mapInArrow(lambda b: _write(b, folder, path, kind, end_id), MANIFEST).write.parquet(manifest)
     files = spark.read.schema(MANIFEST).parquet(manifest)
-    # One row per file: few enough for one window.
-    before = Window.orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)
-    return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    # One window over a row per writing task, then one per task over its files.
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = files.groupBy("task").agg(F.sum("n_ids").alias("all")).select("task", F.sum("all").over(before).alias("base"))
+    within = Window.partitionBy("task").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce("base", F.lit(0)) + F.coalesce(F.sum("n_ids").over(within), F.lit(0))
+    return files.join(tasks, "task").withColumn("start", start).select(*files.columns, "start")
 
 
 def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
@@ -178,7 +181,9 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
                              pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)), pa.array(ids))],
                             ["doc_id", "start", "ids"])
 
-    spread = manifest.select("file", "start").repartition(F.col("file"))
+    # A manifest is small, and without a number adaptive execution would give all its files to one task.
+    parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = manifest.select("file", "start").repartition(parts, "file")
     return spread.mapInArrow(read, "doc_id long, start long, ids array<long>")
 
 
