@@ -34,8 +34,8 @@ BAND_RATIO = 1.4
 SMALL_BUCKET = 32
 #: Pairs of one set that a task verifies at a time.
 SLICE_PAIRS = 256
-#: Ids up to which the choice of texts to read is broadcast (16 MB); beyond it is a shuffled join.
-BROADCAST_IDS = 1_000_000
+#: Longs up to which the choice of texts to read is broadcast (24 MB); beyond it is a shuffled join.
+BROADCAST_LONGS = 3_000_000
 
 _U = np.uint64
 
@@ -127,11 +127,17 @@ def sketch(own):
     return np.packbits(np.bincount(part, minlength=512) & 1).view(np.int64).tolist()
 
 
+def sizes_fit(a="a", b="b"):
+    """Whether sizes (``n`` under the prefixes) leave room for a link."""
+    na, nb = F.col(f"n{a}"), F.col(f"n{b}")
+    return F.greatest(na, nb) * PART <= F.least(na, nb) * WHOLE
+
+
 def may_link(a="a", b="b"):
     """Whether sizes and sketches (``n``, ``sk`` under the prefixes) leave room for a link; false only where there is none."""
     na, nb = F.col(f"n{a}"), F.col(f"n{b}")
     bits = sum(F.bit_count(F.col(f"sk{a}")[s].bitwiseXOR(F.col(f"sk{b}")[s])) for s in SKETCH)
-    return (F.greatest(na, nb) * PART <= F.least(na, nb) * WHOLE) & (bits * (WHOLE + PART) <= (na + nb) * (WHOLE - PART))
+    return sizes_fit(a, b) & (bits * (WHOLE + PART) <= (na + nb) * (WHOLE - PART))
 
 
 def _describe(batches):
@@ -245,7 +251,8 @@ class _Join:
 
     def texts(self, chosen):
         """``doc, n, h, text`` of the chosen nodes (``doc, n, h`` and more)."""
-        few = chosen.count() <= BROADCAST_IDS
+        longs = F.lit(5) + (F.size("skipped") if "skipped" in chosen.columns else 0)
+        few = (chosen.agg(F.sum(longs)).first()[0] or 0) <= BROADCAST_LONGS
         return self.docs.join(F.broadcast(chosen) if few else chosen, F.col("doc_id") == F.col("doc")).drop("doc_id")
 
     def verify(self, pairs):
@@ -315,18 +322,21 @@ class _Join:
     def star(self, members):
         """Pair each bucket's most central member with all others. If components are known, the centre is the most
         central member outside the component of the most central one, and its own component needs no pairs."""
-        members = members.join(self.sketches.drop("n"), "doc")
-        best = F.struct("weight", "doc", "n", "component", "sk")
+        best = F.struct("weight", "doc", "n", "component")
         first = members.groupBy("bucket", "cnt").agg(F.max(best).alias("top"))
         if not members.filter("component IS NOT NULL").isEmpty():
             other = members.join(first.select("bucket", "cnt", F.col("top.component").alias("known")), ["bucket", "cnt"])
             first = other.filter("component <> known").groupBy("bucket", "cnt").agg(F.max(best).alias("top"))
         centres = first.select("bucket", "cnt", F.col("top.doc").alias("a"), F.col("top.n").alias("na"),
-                               F.col("top.sk").alias("ska"), F.col("top.component").alias("ca"))
-        beside = members.select("bucket", "cnt", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sk").alias("skb"),
-                                F.col("component").alias("cb"))
+                               F.col("top.component").alias("ca"))
+        beside = members.select("bucket", "cnt", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
         apart = F.col("cb").isNull() | (F.col("ca") != F.col("cb"))
-        self.verify(beside.join(centres, ["bucket", "cnt"]).filter(apart & may_link() & (F.col("a") != F.col("b"))))
+        pairs = beside.join(centres, ["bucket", "cnt"]).filter(apart & sizes_fit() & (F.col("a") != F.col("b")))
+        # Sketches are wider than pairs: they join a pair once, not its members in every bucket.
+        for x in "ab":
+            pairs = (pairs.select("a", "b").distinct() if x == "a" else pairs).join(self.sketches.select(
+                F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("sk").alias(f"sk{x}")), x)
+        self.verify(pairs.filter(may_link()))
 
     def open(self, members):
         """Members of the buckets whose members are not yet all in one component, with their component."""
