@@ -154,7 +154,9 @@ def _hash_records(batches, folder):
 def leaves(catalogue: DataFrame, folder: str) -> DataFrame:
     """``file_no, node, digest`` (sha256) of every catalogued range, read from a replica's folder in bounded pieces. What
     is missing is hashed as far as it is there; records of a missing file have the empty digest."""
-    spread = catalogue.select("file_no", "file", "record", "offset", "length").repartitionByRange("file_no", "record")
+    # A catalogue is small beside its files: without a number adaptive execution would give them to few tasks.
+    parts = int(catalogue.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = catalogue.select("file_no", "file", "record", "offset", "length").repartitionByRange(parts, "file_no", "record")
     return spread.sortWithinPartitions("file_no", "record").mapInArrow(lambda b: _hash_records(b, folder), LEAVES)
 
 
