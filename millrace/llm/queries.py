@@ -72,7 +72,7 @@ def op5_token_codes(spark, sf_dir):
 
     folder = token_codes.token_folder(spark)
     manifest = token_codes.write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
-    return token_codes.digests(token_codes.read_tokens(manifest, folder))
+    return token_codes.read_digests(manifest, folder)
 
 
 @register

@@ -33,13 +33,16 @@ def _bitmap(flags):
 
 def encode_ids(doc_ids, first, ids):
     """The bytes of a file of some documents; a document id of None is written as the smallest long."""
-    levels, rest = [], np.asarray(ids, dtype=np.uint64)
+    levels, rest = [], np.asarray(ids)
+    if rest.dtype != np.uint32:
+        rest = rest.astype(np.uint64)
     while True:
         more = rest > 0xFF
-        levels.append((rest & np.uint64(0xFF)).astype(np.uint8).tobytes())
-        set_bits = np.concatenate(([0], np.cumsum(more)))[np.arange(0, len(rest) + 1, RANK_BITS)]
-        levels[-1] = [len(rest), levels[-1], _bitmap(more), set_bits.astype("<u8").tobytes()]
-        rest = rest[more] >> np.uint64(8)
+        blocks = np.add.reduceat(more, np.arange(0, len(more), RANK_BITS), dtype=np.int64) if len(more) else more
+        set_bits = np.concatenate(([0], np.cumsum(blocks)))[:len(rest) // RANK_BITS + 1]
+        # A cast to bytes keeps the lowest chunk.
+        levels.append([len(rest), rest.astype(np.uint8).tobytes(), _bitmap(more), set_bits.astype("<u8").tobytes()])
+        rest = rest[more] >> rest.dtype.type(8)
         if not len(rest):
             break
     names = np.array([NO_ID if d is None else d for d in doc_ids], dtype="<i8")
@@ -132,7 +135,7 @@ def _write(batches, folder, path, kind, end_id):
 
     for rows, strings in spans.chunks(batches):
         ids, bounds = pretokens.encode_texts(strings, path, kind)
-        ended = np.insert(ids, bounds[1:], end_id)  # one end id behind each text
+        ended = np.insert(ids.astype(np.uint32), bounds[1:], end_id)  # one end id behind each text
         if count and count + len(ended) > FILE_IDS:
             yield flush()
         held.append((rows.column("doc_id").to_pylist(), np.diff(bounds) + 1, ended))
@@ -164,33 +167,37 @@ def write_tokens(docs: DataFrame, folder: str, path: str, kind: str = "gpt", end
     return files.join(tasks, "task").withColumn("start", start).select(*files.columns, "start")
 
 
-def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
-    """``doc_id, start, ids`` of every document in the files of a manifest; ``start`` counts all ids before it."""
-    def read(batches):
-        for batch in batches:
-            for name, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                with shared_files.open_file(folder, name) as source:
-                    reader = Reader(source)
-                    doc_ids, first = reader.documents()
-                    step = 512
-                    for i in range(0, len(doc_ids), step):
-                        bounds = first[i:i + step + 1]
-                        ids = reader.tokens(int(bounds[0]), int(bounds[-1])).astype(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(doc_ids[i:i + step], pa.int64()), pa.array(start + bounds[:-1], pa.int64()),
-                             pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)), pa.array(ids))],
-                            ["doc_id", "start", "ids"])
+def _read(batches, folder):
+    for batch in batches:
+        for name, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
+            with shared_files.open_file(folder, name) as source:
+                reader = Reader(source)
+                doc_ids, first = reader.documents()
+                step = 512
+                for i in range(0, len(doc_ids), step):
+                    bounds = first[i:i + step + 1]
+                    ids = reader.tokens(int(bounds[0]), int(bounds[-1])).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(doc_ids[i:i + step], pa.int64()), pa.array(start + bounds[:-1], pa.int64()),
+                         pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)), pa.array(ids))],
+                        ["doc_id", "start", "ids"])
 
+
+def _spread(manifest):
     # A manifest is small, and without a number adaptive execution would give all its files to one task.
     parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = manifest.select("file", "start").repartition(parts, "file")
-    return spread.mapInArrow(read, "doc_id long, start long, ids array<long>")
+    return manifest.select("file", "start").repartition(parts, "file")
+
+
+def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
+    """``doc_id, start, ids`` of every document in the files of a manifest; ``start`` counts all ids before it."""
+    return _spread(manifest).mapInArrow(lambda b: _read(b, folder), "doc_id long, start long, ids array<long>")
 
 
-def digests(tokens: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of :func:`read_tokens`: the unsigned crc32 of the ids as uint32."""
+def read_digests(manifest: DataFrame, folder: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of what :func:`read_tokens` reads: the unsigned crc32 of the ids as uint32."""
     def crc(batches):
-        for batch in batches:
+        for batch in _read(batches, folder):
             ids = batch.column("ids")
             flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
             bounds = np.concatenate(([0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))))
@@ -199,7 +206,7 @@ def digests(tokens: DataFrame) -> DataFrame:
                                               pa.array(np.diff(bounds), pa.int64()), pa.array(sums, pa.int64())],
                                              ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return tokens.mapInArrow(crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _spread(manifest).mapInArrow(crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_folder(spark):
