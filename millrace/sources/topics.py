@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 # left out. A file larger than the limit is taken alone.
 BATCH_LIMITS = {
     "kafka": {"maxOffsetsPerTrigger": "10000000"},
-    "text": {"maxBytesPerTrigger": "64g"},
-    "parquet": {"maxBytesPerTrigger": "64g"},
+    "text": {"maxBytesPerTrigger": str(64 << 30)},  # digits only: the reader knows no units
+    "parquet": {"maxBytesPerTrigger": str(64 << 30)},
 }
 
 

@@ -52,6 +52,16 @@ def test_read_detail_and_log(spark, tmp_path):
     assert stream.isStreaming and stream.columns == ["value"]
 
 
+@pytest.mark.parametrize("fmt", ["text", "parquet"])
+def test_read_log_streams_with_its_own_limits(spark, tmp_path, fmt):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(str(i),) for i in range(5)], "value string").write.format(fmt).save(source)
+    stream = read_log(spark, fmt, path=source)
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "check"))
+    writer.trigger(availableNow=True).start(target).awaitTermination()
+    assert sorted(r.value for r in spark.read.parquet(target).collect()) == [str(i) for i in range(5)]
+
+
 def test_lookup_refresh(spark, tmp_path):
     path = str(tmp_path / "dic")
     write = lambda row, to: spark.createDataFrame([row], "dic_code string, dic_name string").coalesce(1).write.parquet(to)
