@@ -2,7 +2,7 @@
 
 A page is cut into block lines. Lines in elements that never hold the article go. Pages of a host are then paired by
 URL path; lines that a page shares with its neighbours, by longest common subsequence, are what the site repeats, and
-go too, unless they stand in the element that the page itself marks as its article.
+go too. In the element that the page itself marks as its article, it takes several neighbours that are no versions of it.
 """
 
 import html as entities
@@ -15,6 +15,13 @@ from pyspark.sql import DataFrame, functions as F
 #: Pages of a host that are paired with each other at most; a larger host is dealt to slices of about this size.
 HOST_ROWS = 20_000
 
+#: Pages before and after a page in URL order that it is compared with.
+REACH = 2
+#: Different pages near a page that must share a line of its article for the line to go.
+REPEATS = 2
+#: Share of a page's article, in lines and in words, from which on another page is a version of it.
+COPY = 0.8
+
 # Element names of HTML.
 SKIPPED = {"script", "style", "template", "noscript", "iframe", "svg", "canvas", "object", "math", "audio", "video", "head",
            "title", "textarea", "select"}
@@ -159,27 +166,42 @@ def _split(batches):
                 ["page_id", "url", "host", "path", "lines", "main"])
 
 
-def without_shared(lines, main, neighbours):
-    """The lines of a page that are in its article or shared with no neighbour. A neighbour that holds all lines of the
-    page is a copy of it and says nothing about what the site repeats."""
-    if all(main):
-        return lines
-    gone = set()
-    for other in neighbours:
+def _is_version(lines, main, shared):
+    """Whether a page that shares these places holds most of the article: a copy or another version of it."""
+    own = [i for i, m in enumerate(main) if m]
+    both = [i for i in shared if main[i]]
+    words = lambda places: sum(len(lines[i].split()) for i in places)
+    return len(both) >= COPY * len(own) and words(both) >= COPY * words(own)
+
+
+def without_shared(lines, main, nearest, further=()):
+    """The lines of a page that the site does not repeat. Outside the article a line goes if one of the ``nearest`` pages
+    shares it; inside, if ``REPEATS`` different pages among these and the ``further`` ones do. A page that holds all lines
+    is a copy and says nothing about what the site repeats; nor does one with most of the article about the article."""
+    gone, repeats, met = set(), {}, set()
+    for k, other in enumerate((*nearest, *further)):
         shared = common_lines(lines, other)
-        if len(shared) < len(lines):
-            gone.update(shared)
-    return [t for i, (t, m) in enumerate(zip(lines, main, strict=True)) if m or i not in gone]
+        if len(shared) == len(lines):
+            continue
+        if k < len(nearest):
+            gone.update(i for i in shared if not main[i])
+        if tuple(other) not in met and not _is_version(lines, main, shared):
+            met.add(tuple(other))
+            for i in shared:
+                repeats[i] = repeats.get(i, 0) + main[i]
+    return [t for i, t in enumerate(lines) if i not in gone and repeats.get(i, 0) < REPEATS]
 
 
 def _difference(batches):
-    previous = current = None
-    out = []
+    # Up to REACH settled pages, the page to settle next, and the pages that follow it.
+    held, at, out = [], 0, []
 
-    def settle(following):
-        page_id, url, key, lines, main = current
-        near = [p[3] for p in (previous, following) if p is not None and p[2] == key]
-        out.append((page_id, url, "\n".join(without_shared(lines, main, near))))
+    def settle():
+        page_id, url, key, lines, main = held[at]
+        near = [[p[3] for p in held[max(at - REACH, 0):at] if p[2] == key][::-1],
+                [p[3] for p in held[at + 1:at + 1 + REACH] if p[2] == key]]
+        text = without_shared(lines, main, [p for side in near for p in side[:1]], [p for side in near for p in side[1:]])
+        out.append((page_id, url, "\n".join(text)))
 
     def flush():
         ids, urls, texts = zip(*out, strict=True)
@@ -190,14 +212,18 @@ def _difference(batches):
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "host", "slice", "lines", "main")]
         for page_id, url, host, part, lines, main in zip(*columns, strict=True):
-            page = (page_id, url, (host, part), lines, main)
-            if current is not None:
-                settle(page)
-            previous, current = current, page
+            held.append((page_id, url, (host, part), lines, main))
+            if len(held) > at + REACH:
+                settle()
+                at += 1
+                if at > REACH:
+                    del held[0]
+                    at -= 1
             if len(out) >= 256:
                 yield flush()
-    if current is not None:
-        settle(None)
+    while at < len(held):
+        settle()
+        at += 1
     if out:
         yield flush()
 
@@ -206,7 +232,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text`` of every page of ``pages`` (``page_id``, ``url``, ``html``), blocks in page order joined by
     one ``\\n``; empty if none.
 
-    Pages of a host lie in order of their path (then url and id); each is compared with the page before and after it.
+    Pages of a host lie in order of their path (then url and id); each is compared with the pages before and after it,
+    the nearest for lines outside its article and two on each side for lines inside (see :func:`without_shared`).
     A host of many pages is dealt to slices by a hash of the path, whose number follows its count of pages, so a host
     with a third of all pages is many groups; its nearest page is then the nearest of its slice. Null and empty pages
     have the empty text; a page without a usable url has the host ``""``; repeated rows are pages of their own (and

@@ -314,6 +314,24 @@ def test_main_text(spark):
     assert page_text.main_text(pages.limit(0)).count() == 0
 
 
+def test_main_text_drops_what_articles_repeat(spark):
+    page = "<body><article><h1>Title {0}</h1><p>Read our terms first</p><p>body {0}</p><p>more {0}</p></article></body>"
+    told = [f"the {n} paragraph that every version tells" for n in ("first", "second", "third", "fourth")]
+    same = "<body><main>" + "".join(f"<p>{t}</p>" for t in told) + "<p>{0}</p></main></body>"
+    rows = [(i, f"http://h.org/{i}", page.format(i)) for i in range(5)]
+    rows += [(10 + i, f"http://copies.org/{i}", page.format(7)) for i in range(4)]
+    rows += [(20 + i, f"http://two.org/{i}", page.format(i)) for i in range(2)]
+    rows += [(30 + i, f"http://versions.org/{i}", same.format(f"version {i}")) for i in range(4)]
+    rows += [(40 + i, f"http://fetched.org/{i}", page.format(max(i, 1))) for i in range(3)]
+    got = {r.page_id: r.text for r in page_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    whole = "Title {0}\nRead our terms first\nbody {0}\nmore {0}"
+    assert [got[i] for i in range(5)] == [f"Title {i}\nbody {i}\nmore {i}" for i in range(5)]
+    assert [got[10 + i] for i in range(4)] == [whole.format(7)] * 4
+    assert [got[20 + i] for i in range(2)] == [whole.format(i) for i in range(2)]
+    assert [got[30 + i] for i in range(4)] == ["\n".join([*told, f"version {i}"]) for i in range(4)]
+    assert got[42] == whole.format(2)  # its two neighbours are one page
+
+
 # 1
 
 
