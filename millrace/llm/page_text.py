@@ -7,14 +7,12 @@ go too. In the element that the page itself marks as its article, it takes sever
 
 import html as entities
 import re
+from bisect import bisect_right
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-#: Pages of a host that are paired with each other at most; a larger host is dealt to slices of about this size.
-HOST_ROWS = 20_000
-
 #: Pages before and after a page in URL order that it is compared with.
 REACH = 2
 #: Different pages near a page that must share a line of its article for the line to go.
@@ -149,21 +147,62 @@ def _host_path(url):
         return "", url or ""
 
 
-SPLIT = "page_id long, url string, host string, path string, lines array<string>, main array<boolean>"
+def _place(url, page_id):
+    """The order of pages: host, path, url, id (null first). As bytes, so that Spark's order and Python's agree."""
+    return "\0".join((*_host_path(url), url or "", "" if page_id is None else f"{page_id + 2 ** 63:020d}")).encode()
+
+
+def _places(batches):
+    for batch in batches:
+        places = [_place(*row) for row in zip(batch.column("url").to_pylist(), batch.column("page_id").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.binary())], ["place"])
 
 
-def _split(batches):
+def _ends(batches):
+    """The first and last ``REACH`` of a partition's sorted places."""
+    first, last = [], []
     for batch in batches:
-        ids, urls, pages = (batch.column(c).to_pylist() for c in ("page_id", "url", "html"))
-        for first in range(0, len(ids), 256):
-            span = slice(first, first + 256)
-            hosts, paths = zip(*map(_host_path, urls[span]), strict=True)
-            blocks = [block_lines(p or "") for p in pages[span]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[span], pa.int64()), pa.array(urls[span], pa.string()), pa.array(hosts), pa.array(paths),
-                 pa.array([[t for t, _ in b] for b in blocks], pa.list_(pa.string())),
-                 pa.array([[m for _, m in b] for b in blocks], pa.list_(pa.bool_()))],
-                ["page_id", "url", "host", "path", "lines", "main"])
+        places = batch.column("place")
+        first += places[:REACH - len(first)].to_pylist()
+        last = [*last, *places[max(len(places) - REACH, 0):].to_pylist()][-REACH:]
+    if first:
+        yield pa.RecordBatch.from_arrays([pa.array([first], pa.list_(pa.binary())), pa.array([last], pa.list_(pa.binary()))],
+                                         ["first", "last"])
+
+
+def _ranges(ends):
+    """First place of each range, and the ranges that a place beside a border belongs to as a neighbour only."""
+    ends = sorted(ends)
+    beside = {}
+    for k in range(len(ends)):
+        # A range of fewer than REACH pages is looked across. Equal places are in one range.
+        before = [p for _, last in ends[max(k - REACH, 0):k] for p in last][-REACH:]
+        after = [p for first, _ in ends[k + 1:k + 1 + REACH] for p in first][:REACH]
+        for place in {*before, *after}:
+            beside.setdefault(place, []).append(k)
+    return [first[0] for first, _ in ends], beside
+
+
+SPLIT = "page_id long, url string, place binary, part int, own boolean, lines array<string>, main array<boolean>"
+
+
+def _split(shared):
+    def split(batches):
+        starts, beside = shared.value
+        for batch in batches:
+            ids, urls, pages = (batch.column(c).to_pylist() for c in ("page_id", "url", "html"))
+            for low in range(0, len(ids), 256):
+                rows = []
+                for page_id, url, page in zip(*(c[low:low + 256] for c in (ids, urls, pages)), strict=True):
+                    place, blocks = _place(url, page_id), block_lines(page or "")
+                    own = max(bisect_right(starts, place) - 1, 0)
+                    for part in (own, *beside.get(place, ())):
+                        rows.append((page_id, url, place, part, part == own,
+                                     [t for t, _ in blocks], [m for _, m in blocks]))
+                types = (pa.int64(), pa.string(), pa.binary(), pa.int32(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.bool_()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                                 [c.split()[0] for c in SPLIT.split(", ")])
+    return split
 
 
 def _is_version(lines, main, shared):
@@ -197,9 +236,11 @@ def _difference(batches):
     held, at, out = [], 0, []
 
     def settle():
-        page_id, url, key, lines, main = held[at]
-        near = [[p[3] for p in held[max(at - REACH, 0):at] if p[2] == key][::-1],
-                [p[3] for p in held[at + 1:at + 1 + REACH] if p[2] == key]]
+        page_id, url, key, own, lines, main = held[at]
+        if not own:
+            return
+        near = [[p[4] for p in held[max(at - REACH, 0):at] if p[2] == key][::-1],
+                [p[4] for p in held[at + 1:at + 1 + REACH] if p[2] == key]]
         text = without_shared(lines, main, [p for side in near for p in side[:1]], [p for side in near for p in side[1:]])
         out.append((page_id, url, "\n".join(text)))
 
@@ -210,9 +251,9 @@ def _difference(batches):
                                           ["page_id", "url", "text"])
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "host", "slice", "lines", "main")]
-        for page_id, url, host, part, lines, main in zip(*columns, strict=True):
-            held.append((page_id, url, (host, part), lines, main))
+        columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "place", "part", "own", "lines", "main")]
+        for page_id, url, place, part, own, lines, main in zip(*columns, strict=True):
+            held.append((page_id, url, (place.split(b"\0", 1)[0], part), own, lines, main))
             if len(held) > at + REACH:
                 settle()
                 at += 1
@@ -234,18 +275,20 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Pages of a host lie in order of their path (then url and id); each is compared with the pages before and after it,
     the nearest for lines outside its article and two on each side for lines inside (see :func:`without_shared`).
-    A host of many pages is dealt to slices by a hash of the path, whose number follows its count of pages, so a host
-    with a third of all pages is many groups; its nearest page is then the nearest of its slice. Null and empty pages
-    have the empty text; a page without a usable url has the host ``""``; repeated rows are pages of their own (and
-    copies say nothing about each other); other columns are ignored; an empty table gives an empty result.
+    Pages are dealt by ranges of this order, and each range is handed the pages beside it, so the neighbours are the
+    same however many pages a host or a path has and however they are dealt; only rows with one url and id lie together.
+    The places of the ranges' borders are read when this is called. Null and empty pages have the empty text; a page
+    without a usable url has the host ``""``; repeated rows are pages of their own (and copies say nothing about each
+    other); other columns are ignored; an empty table gives an empty result.
     """
+    spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    split = rows.mapInArrow(_split, SPLIT)
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    large = rows.select(host.alias("host")).groupBy("host").agg(F.ceil(F.count("*") / HOST_ROWS).cast("int").alias("slices"))
-    # At most one row for each HOST_ROWS pages, so its size is bounded by a small part of the narrowest column.
-    large = F.broadcast(large.filter("slices > 1"))
-    part = F.pmod(F.xxhash64("path"), F.coalesce("slices", F.lit(1))).cast("int")
-    sliced = split.join(large, "host", "left").withColumn("slice", part).drop("slices")
-    dealt = sliced.repartition("host", "slice").sortWithinPartitions("host", "slice", "path", "url", "page_id")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    places = rows.select("url", "page_id").mapInArrow(_places, "place binary")
+    places = places.repartitionByRange(parts, "place").sortWithinPartitions("place")
+    # A few places for each partition, whatever the data.
+    ends = places.mapInArrow(_ends, "first array<binary>, last array<binary>").collect()
+    shared = spark.sparkContext.broadcast(_ranges([([bytes(p) for p in e["first"]], [bytes(p) for p in e["last"]]) for e in ends]))
+    split = rows.mapInArrow(_split(shared), SPLIT)
+    dealt = split.repartitionById(max(len(ends), 1), "part").sortWithinPartitions("part", "place")
     return dealt.mapInArrow(_difference, "page_id long, url string, text string")

@@ -332,6 +332,31 @@ def test_main_text_drops_what_articles_repeat(spark):
     assert got[42] == whole.format(2)  # its two neighbours are one page
 
 
+@pytest.mark.parametrize("parts", [1, 2, 7, 40])
+def test_main_text_has_the_same_neighbours_however_dealt(spark, parts):
+    # One host; sections of three pages share a line; one path with many queries.
+    rows = [(i, f"http://h.org/s{i // 3:02d}/{i}", f"<p>section {i // 3}</p><p>body {i}</p>") for i in range(60)]
+    rows += [(100 + i, f"http://h.org/x.php?id={i:02d}", f"<p>list {i // 2}</p><p>body {i}</p>") for i in range(40)]
+    rows += [(None, None, "<p>a</p>"), (-5, "http://[", "<p>b</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = page_text.main_text(pages)
+        got = {r.page_id: r.text for r in found.collect()}
+        spread = found.groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {**{i: f"body {i % 100}" for i in (*range(60), *range(100, 140))}, None: "a", -5: "b"}
+    assert spread > parts // 2
+
+
+def test_ranges_look_across_small_ones():
+    starts, beside = page_text._ranges([([b"d"], [b"d"]), ([b"a", b"b"], [b"b", b"c"]), ([b"e", b"f"], [b"e", b"f"])])
+    assert starts == [b"a", b"d", b"e"]
+    assert {k: sorted(v) for k, v in beside.items()} == {b"b": [1], b"c": [1, 2], b"d": [0, 2], b"e": [0, 1], b"f": [1]}
+
+
 # 1
 
 
