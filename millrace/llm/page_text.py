@@ -8,6 +8,8 @@ go too. In the element that the page itself marks as its article, it takes sever
 import html as entities
 import re
 from bisect import bisect_right
+from collections import Counter
+from itertools import accumulate
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -30,79 +32,173 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "center", "dd", "
           "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th",
           "thead", "tr", "ul"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-# Words in a class, id or role that mark what is not the article.
+# Elements whose end tag HTML lets a page leave out; what a start tag ends, and where the search for it stops.
+OMITTED = {"p", "li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup"}
+_CELLS, _GROUPS, _HEADINGS = {"td", "th"}, {"tbody", "thead", "tfoot"}, {"h1", "h2", "h3", "h4", "h5", "h6"}
+_LOOSE = BLOCKS - {"address", "div", "p"}
+ENDS = {
+    "li": ({"li"}, _LOOSE), **dict.fromkeys(("dt", "dd"), ({"dt", "dd"}, _LOOSE)),
+    "option": ({"option"}, BLOCKS), "optgroup": ({"option", "optgroup"}, BLOCKS), **dict.fromkeys(_CELLS, (_CELLS, {"table"})),
+    "tr": (_CELLS | {"tr"}, {"table"}), **dict.fromkeys(_GROUPS, (_CELLS | _GROUPS | {"tr"}, {"table"})),
+    **dict.fromkeys(_HEADINGS, (_HEADINGS, BLOCKS)), "a": ({"a"}, _CELLS | {"table"}), "button": ({"button"}, _CELLS | {"table"}),
+}
+_ENDS_P = BLOCKS - _CELLS - _GROUPS - {"tr", "html", "body", "option"}
+_P_WITHIN = _CELLS | {"table", "button"}
+# Where the search for the start of an ended element stops.
+_END_WITHIN = {"p": _P_WITHIN, "li": {"ul", "ol", "menu", "dir"}, **dict.fromkeys(("dt", "dd"), {"dl"}),
+               **dict.fromkeys(_CELLS | _GROUPS | {"tr"}, {"table"})}
+# Starts that an element without an end tag does not reach over, if it is one to be hidden.
+_BREAKS = BLOCKS - OMITTED - {"ul", "ol", "dl", "dir", "menu", "hr", "summary", "fieldset"} | {"p"}
+# Class, id or role words, and compounds of them, that mark what is not the article.
 ASIDE_WORDS = ("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promoted menu nav navbar "
                "navigation breadcrumb breadcrumbs sidebar sidebox footer header masthead cookie cookies consent notice gdpr popup modal "
                "newsletter subscribe signup login comment comments commentlist disqus reply replies respond share sharing "
                "social related recommended widget pagination pager toolbar skip contentinfo complementary search").split()
-_ASIDE = frozenset(ASIDE_WORDS)
+COMPOUNDS = ("nav-bar nav-menu main-nav main-menu site-nav site-navigation top-nav top-menu side-bar left-sidebar right-sidebar "
+             "site-header site-footer page-footer cookie-banner cookie-bar cookie-notice cookie-consent gdpr-banner ad-banner ad-box "
+             "ad-container ad-slot ad-unit ad-wrapper google-ad google-ads newsletter-signup newsletter-form search-form search-box "
+             "login-form comment-form comment-list comments-area comment-respond share-buttons share-links social-share social-links "
+             "social-icons social-media related-posts related-articles related-links recommended-posts skip-link back-to-top").split()
+_ASIDE = frozenset([*ASIDE_WORDS, *COMPOUNDS])
+#: Words that mark a headline when they stand inside the article.
+_HEADS = frozenset(("header", "masthead", "site-header"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_MARKS = re.compile(r"""(?<![\w:.-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in SKIPPED | {"head"}}
 
 
-def _marked_aside(attributes):
+def _marked_aside(attributes, inside=False):
     for groups in _MARKS.findall(attributes):
-        for word in "".join(groups).lower().split():
-            if word in _ASIDE or not _ASIDE.isdisjoint(re.split(r"[-_]+", word)):
+        for word in "".join(groups).lower().replace("_", "-").split():
+            if word in _ASIDE and not (inside and word in _HEADS):
                 return True
     return False
 
 
-def block_lines(page):
-    """(line, whether it stands in the page's article) for each block with text that may be content."""
-    lines, held, stack, at = [], [], [], 0
-    hidden = inside = 0
+def _reach(intervals, n):
+    """How many of the intervals each of ``n`` places is in."""
+    steps = [0] * (n + 1)
+    for low, high in intervals:
+        steps[low] += 1
+        steps[high] -= 1
+    return list(accumulate(steps))
+
+
+class _Element:
+    __slots__ = ("name", "first", "hides", "until", "lifted")
 
-    def close():
-        text = " ".join(entities.unescape("".join(held)).split())
-        held.clear()
-        if text:
-            lines.append((text, inside > 0))
+    def __init__(self, name, first, hides):
+        self.name, self.first, self.hides, self.until, self.lifted = name, first, hides, None, False
 
-    def text(part):
-        if part and not hidden:
-            held.append(part)
+
+def block_lines(page):
+    """(line, whether it stands in the page's article) for each block with text that may be content.
+
+    Elements end by their end tag or by HTML's rules for those that have none. An element of chrome is hidden, unless an
+    article stands in it; if it lacks an end tag that it needs, only up to the first block in it that is no list."""
+    pieces, stack, at = [], [], 0  # texts, and None where a block begins or ends
+    opened, pending, hidden, articles = Counter(), [], [], []
+
+    def pop_to(place, ended):
+        while len(stack) > place:
+            e = stack.pop()
+            opened[e.name] -= 1
+            if pending and pending[-1] is e:
+                pending.pop()
+            if e.name in MAIN:
+                articles.append((e.first, len(pieces)))
+            if not e.hides:
+                continue
+            if e.until is not None and not (ended and len(stack) == place) and e.name not in OMITTED:
+                hidden.append((e.first, e.until))
+            elif not e.lifted:
+                hidden.append((e.first, len(pieces)))
+
+    def end(names, within):
+        """End the outermost open element of these names, as far as the search goes."""
+        if not any(opened[n] for n in names):
+            return
+        found = None
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k].name in names:
+                found = k
+            elif stack[k].name in within:
+                break
+        if found is not None:
+            pop_to(found, True)
 
     while True:
         token = _TOKEN.search(page, at)
         if token is None:
-            text(page[at:])
+            pieces.append(page[at:])
             break
-        text(page[at:token.start()])
+        if token.start() > at:
+            pieces.append(page[at:token.start()])
         at = token.end()
         if token[2] is None:
             if token[0].startswith("<![CDATA["):
-                text(token[0][9:-3])
+                pieces.append(token[0][9:-3])
             continue
         name, ending = token[2].lower(), token[1] == "/"
         if name == "br" or name == "wbr":
-            text(" " if name == "br" else "")
+            if name == "br":
+                pieces.append(" ")
             continue
         if name in SKIPPED:
             if not ending and not token[3].endswith("/"):
-                end = _RAW_END[name].search(page, at)
+                end_tag = _RAW_END[name].search(page, at)
                 # An unclosed head ends where the body begins; other unclosed ones go on to the end.
                 body = re.compile(r"<body\b", re.I).search(page, at) if name == "head" else None
-                at = min((m.end() if m is end else m.start() for m in (end, body) if m), default=len(page))
+                at = min((m.end() if m is end_tag else m.start() for m in (end_tag, body) if m), default=len(page))
             continue
         if name in BLOCKS:
-            close()
+            pieces.append(None)
         if ending:
-            if any(n == name for n, *_ in stack):
-                while stack:
-                    n, hides, holds = stack.pop()
-                    hidden -= hides
-                    inside -= holds
-                    if n == name:
+            if opened[name]:
+                within = _END_WITHIN.get(name, ())
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k].name == name:
+                        pop_to(k, True)
+                        break
+                    if stack[k].name in within:
+                        break
+            continue
+        if name in _ENDS_P:
+            end({"p"}, _P_WITHIN)
+        if name in ENDS:
+            end(*ENDS[name])
+        if name in _BREAKS:
+            for e in pending:
+                e.until = len(pieces)
+            pending.clear()
+        if name not in VOID and not token[3].endswith("/"):
+            inside = any(opened[n] for n in MAIN)
+            marked = _marked_aside(token[3], inside)
+            if name in MAIN and not (marked and name == "article"):
+                # An article lifts what hides the elements around it.
+                for e in reversed(stack):
+                    if e.lifted:
                         break
-        elif name not in VOID and not token[3].endswith("/"):
-            hides = name in CHROME and not (name == "header" and inside) or _marked_aside(token[3]) and name not in ("html", "body")
-            stack.append((name, hides, name in MAIN))
-            hidden += hides
-            inside += name in MAIN
-    close()
+                    e.lifted = True
+            hides = name in CHROME and not (name == "header" and inside) or marked and name not in ("html", "body", "main")
+            stack.append(_Element(name, len(pieces), hides))
+            opened[name] += 1
+            if hides:
+                pending.append(stack[-1])
+    pop_to(0, False)
+
+    lines, held, main = [], [], False
+    shut, own = _reach(hidden, len(pieces)), _reach(articles, len(pieces))
+    for k, piece in enumerate([*pieces, None]):
+        if piece is None:
+            text = " ".join(entities.unescape("".join(held)).split())
+            held.clear()
+            if text:
+                lines.append((text, main))
+        elif not shut[k]:
+            main = own[k] > 0 if not held else main
+            held.append(piece)
     return lines
 
 

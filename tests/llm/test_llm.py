@@ -351,6 +351,30 @@ def test_main_text_has_the_same_neighbours_however_dealt(spark, parts):
     assert spread > parts // 2
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<div class='content with-sidebar'><article><p>text</article></div>", ["text"]),
+    ("<div class='no-sidebar has-comments'><p>text</p></div>", ["text"]),
+    ("<div id='search-results'><article>text</article></div>", ["text"]),
+    ("<form id=f><div class=sidebar>side<main>text</main></div></form>", ["side", "text"]),
+    ("<article><div class='article-header'><h1>Head</h1></div><div class=header><h2>Sub</h2></div>text</article>", ["Head", "Sub", "text"]),
+    ("<div class=header>chrome</div><div data-id=menu>text</div>", ["text"]),
+    ("<p class=share>x<p>text", ["text"]),
+    ("<ul><li class=share>x<li>text</ul>", ["text"]),
+    ("<ul><li>a<ul><li class=ad>x</ul>b<li>c</ul>", ["a", "b", "c"]),
+    ("<table><tr><td class=menu>x<td>text<tr class=ad><td>y<tr><td>z</table>", ["text", "z"]),
+    ("<dl><dt class=ad>x<dd>text</dl>", ["text"]),
+    ("<datalist><option class=ad>x<option>text</datalist>", ["text"]),
+    ("<nav><ul><li>x<li>y</ul><p>text</p>", ["text"]),
+    ("<body><div><nav><a>x</a><article>text</article></div>end", ["text", "end"]),
+    ("<nav><p>x</p><div>y</div></nav><footer>z</footer>text", ["text"]),
+    ("<div class='promo big'>x</div><div class='cookie_banner'>y</div><p id=comments>z</p><p>text", ["text"]),
+    ("<div id=comments><article class=comment>x</article></div>text", ["text"]),
+    ("<p>a<b>b<div>c</div>d</p>e", ["ab", "c", "d", "e"]),
+])
+def test_only_chrome_is_hidden(page, want):
+    assert [line for line, _ in page_text.block_lines(page)] == want
+
+
 def test_ranges_look_across_small_ones():
     starts, beside = page_text._ranges([([b"d"], [b"d"]), ([b"a", b"b"], [b"b", b"c"]), ([b"e", b"f"], [b"e", b"f"])])
     assert starts == [b"a", b"d", b"e"]
