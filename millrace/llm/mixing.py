@@ -6,12 +6,16 @@ all rows is spread like the others and every table of blocks or quotas is bounde
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.session import work_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
 SOURCE = ["source_name", "no_source"]
+#: The search for documents that fit into what a target leaves open goes on, past the block at the edge, through blocks of
+#: so many times the words of the source's longest document. What then is open is shorter than that many documents.
+LONGEST = 16
 
 
 def fill_targets(sizes, weights, share, most):
@@ -79,14 +83,32 @@ def _shards(units, shards, seed):
     return placed.join(ranges, SOURCE).filter("place >= low AND place < high").drop("place", "low", "high")
 
 
+def _fit(table: pa.Table) -> pa.Table:
+    """A source's rows from the edge block on, with ``part``: in their permuted order, each that still fits is in the part
+    pass. ``shard`` is the one that the edge block drew for this pass."""
+    table = table.sort_by([(c, "ascending") for c in ("low", "block", "key", "doc_id", "text_hash")])
+    low, sizes = table.column("low").to_numpy(), table.column("size").to_numpy()
+    rest, whole = table.column("rest")[0].as_py(), table.column("whole")[0].as_py()
+    part = np.zeros(len(sizes), bool)
+    room = rest - low[0]
+    for i, size in enumerate(sizes.tolist()):
+        if size <= room and (size or low[i] < rest):
+            part[i], room = True, room - size
+    shards = [d["shard"] for d in table.column("draws")[0].as_py() or () if d["pass"] == whole]
+    shard = pa.array([shards[0] if shards else None] * len(part), pa.int32())
+    draws = table.column("draws").cast(pa.list_(pa.struct([("pass", pa.int32()), ("shard", pa.int32())])))
+    table = table.set_column(table.column_names.index("draws"), "draws", draws)  # its members may be null for Spark
+    return table.append_column("part", pa.array(part)).append_column("shard", shard)
+
+
 def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: int = 2, shards: int = 16, blocks: int = 1024,
         seed: int = 17) -> DataFrame:
     """``doc_id, text_hash, source, size, source_size, target, picks`` for every row of ``docs``.
 
     ``size`` counts words. Sources in code point order, null last, weigh ``weights`` in turn and share ``share``
     times all sizes; no target is over ``most`` times its source. A source is taken whole as often as its target
-    allows; the rest comes from its blocks in a permuted order, from the block at the edge document by document, and
-    from the one document outside these whose size is nearest to what then is open. ``picks`` lists each time the row is taken, as
+    allows; the rest comes from its blocks in a permuted order, from the block at the edge and those behind it document
+    by document, as they still fit, and from the one document outside these whose size is nearest to what then is open. ``picks`` lists each time the row is taken, as
     ``(pass, shard, place)``: no pass takes a row twice, and ``place`` orders a shard.
 
     A null or empty text has size 0 and, like every row of a whole pass, may be picked with no words. Null ids and
@@ -107,17 +129,19 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: int = 2, s
     ).write.parquet(folder)
     sized = spark.read.parquet(folder)
 
-    sums = sized.groupBy(*SOURCE, "block").agg(F.sum("size").alias("block_size"))
+    sums = sized.groupBy(*SOURCE, "block").agg(
+        F.sum("size").alias("block_size"), F.max("size").alias("longest"))
     totals = sums.groupBy(SOURCE).agg(F.sum("block_size").alias("source_size"))
     targets = _targets(totals, list(weights), share, most).withColumns({
         "whole": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")})
     targets = targets.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     order = Window.partitionBy(SOURCE).orderBy(F.xxhash64(F.lit(seed + 2), "block"), "block")
-    placed = sums.join(targets, SOURCE).withColumn("high", F.sum("block_size").over(order))
+    placed = sums.join(targets, SOURCE).withColumns({
+        "high": F.sum("block_size").over(order), "longest": F.max("longest").over(Window.partitionBy(SOURCE))})
     placed = placed.withColumn("low", F.col("high") - F.col("block_size"))
-    # A block is in the part pass whole, not at all, or at the edge.
+    # A block is in the part pass whole, not at all, or at or near behind the edge.
     placed = placed.withColumns({
-        "edge": (F.col("low") < F.col("rest")) & (F.col("high") > F.col("rest")),
+        "edge": (F.col("high") > F.col("rest")) & (F.col("low") < F.col("rest") + LONGEST * F.col("longest")),
         "passes": F.col("whole") + ((F.col("low") < F.col("rest")) & (F.col("block_size") > 0)).cast("int")})
     units = placed.filter("passes > 0").select(
         *SOURCE, "block", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)).alias("pass"))
@@ -127,16 +151,16 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: int = 2, s
         drawn, [*SOURCE, "block"], "left")
 
     rows = sized.join(plan, [*SOURCE, "block"])
-    along = Window.partitionBy(*SOURCE, "block").orderBy("key", "doc_id", "text_hash").rowsBetween(
-        Window.unboundedPreceding, 0)
-    inside = rows.filter(~F.col("edge")).withColumn("part", F.col("low") < F.col("rest"))
-    edge = rows.filter("edge").withColumn("part", F.col("low") + F.sum("size").over(along) <= F.col("rest"))
+    inside = rows.filter(~F.col("edge")).withColumns({"part": F.col("low") < F.col("rest"), "shard": F.lit(None).cast("int")})
+    edge = rows.filter("edge")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in edge.schema]
+    edge = edge.groupBy(*SOURCE).applyInArrow(_fit, ", ".join([*fields, "part boolean", "shard int"]))
     both = inside.unionByName(edge)
-    # What the edge block leaves open is closed by the one row outside the part pass whose size is nearest to it.
+    # What these blocks leave open is closed by the one row outside the part pass whose size is nearest to it.
     gaps = edge.groupBy(SOURCE).agg(
-        F.max("rest").alias("__rest"), F.max("low").alias("__low"),
+        F.max("rest").alias("__rest"), F.min("low").alias("__low"),
         F.coalesce(F.sum(F.when(F.col("part"), F.col("size"))), F.lit(0)).alias("__in"),
-        F.max(F.get(F.filter("draws", lambda d: d["pass"] == F.col("whole")), F.lit(0))["shard"]).alias("__shard"))
+        F.max("shard").alias("__shard"))
     gaps = gaps.select(*SOURCE, (F.col("__rest") - F.col("__low") - F.col("__in")).alias("gap"), "__shard")
     open_blocks = plan.filter(F.col("edge") | (F.col("low") >= F.col("rest"))).select(*SOURCE, "block").join(gaps, SOURCE)
     outside = both.filter(~F.col("part")).select(*SOURCE, "block", "key", "size").join(open_blocks, [*SOURCE, "block"])
@@ -149,6 +173,9 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: int = 2, s
     none = F.array().cast("array<struct<pass:int,shard:int>>")
     draws = F.concat(
         F.filter(F.coalesce("draws", none), lambda d: F.col("part") | (d["pass"] < F.col("whole"))),
+        # Blocks behind the edge drew no shard for the part pass: their rows go with the edge block's.
+        F.when(F.col("part") & F.col("edge") & (F.col("low") >= F.col("rest")),
+               F.array(F.struct(F.col("whole").alias("pass"), F.col("shard")))).otherwise(none),
         F.when((F.col("key") == F.col("fill_key")) & ~F.col("part"),
                F.array(F.struct(F.col("whole").alias("pass"), F.col("fill_shard").alias("shard")))).otherwise(none))
     picks = F.transform(draws, lambda d: F.struct(

@@ -225,6 +225,19 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_meets_targets_beside_long_documents(spark):
+    r, rows = random.Random(6), []
+    for source in "abcdefghijkl":  # in each, two texts are a third of all words
+        rows += [(len(rows) + i, "w " * n, source) for i, n in enumerate([9000, 6000, *(r.randrange(20, 400) for _ in range(150))])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in (1, 2):
+        got = mixing.mix(docs, shards=4, blocks=64, seed=seed).toPandas()
+        taken = (got["size"] * got["picks"].map(len)).groupby(got.source).sum()
+        targets = got.groupby("source")["target"].first()
+        assert (abs(taken - targets) <= 0.002 * targets).all()
+        assert got["picks"].map(lambda p: len({x["pass"] for x in p}) == len(p) and all(x["shard"] is not None for x in p)).all()
+
+
 def test_split_tree_is_exact():
     counts = mixing.split_tree([100, 7, 0, 33], 7, 1)
     assert counts.sum(axis=0).tolist() == [100, 7, 0, 33] and max(counts.sum(axis=1)) - min(counts.sum(axis=1)) <= 1
