@@ -81,6 +81,19 @@ def test_quality_equals_plain(spark):
     assert kept.columns == ["doc_id", "text", "kept"] and kept.count() == sum(plain_quality(t)[-1] for _, t in rows)
 
 
+@pytest.mark.parametrize(("again", "total", "kept"), [(10, 69, False), (10, 101, False), (10, 250, True), (0, 60, True)])
+def test_quality_limits_add_to_the_base(again, total, kept):
+    words = [f"w{i:04d}" for i in range(total - again)]
+    found = quality.measure([" ".join(words[:again] + words)])  # the first ``again`` words are there twice
+    assert not found["base_failed"][0] and found["kept"][0] == kept
+
+
+def test_quality_line_limit_adds_to_the_base():
+    lines = [f"l{i:04d} m{i:04d} n{i:04d}" for i in range(40)]  # too short for runs
+    found = quality.measure(["\n".join(x for i, x in enumerate(lines) for x in ([x] if i % 5 else [x, x])), "\n".join(lines)])
+    assert found["base_failed"].tolist() == [False, False] and found["kept"].tolist() == [False, True]
+
+
 # 10
 
 
