@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    bpe, fixity, line_dedup, mixing, near_duplicates, neighbours, page_text, quality, token_codes, toxicity)
+    bpe, fixity, line_dedup, minhash, mixing, near_duplicates, neighbours, page_text, quality, token_codes, toxicity,
+    vector_codes, whitening)
 from millrace.session import work_folder
 
 QUERIES = {}
@@ -114,3 +115,21 @@ def op8_page_text(spark, sf_dir):
 @register
 def op9_ngram_join(spark, sf_dir):
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_vector_codes(spark, sf_dir):
+    coded, model = vector_codes.compress(table(spark, sf_dir, "embeddings"), label="label")
+    return vector_codes.with_label_errors(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(model)).alias("codebooks_sha256"))
+
+
+@register
+def op12_whitening(spark, sf_dir):
+    found, _ = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found
+
+
+@register
+def op13_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
