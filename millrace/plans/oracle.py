@@ -272,3 +272,8 @@ ORACLE["stream_retained_join"] = ORACLE["retained_join_band"]
 ORACLE |= {f"stream_{name}": ORACLE[name] for name in ("order_refund", "refund_success")}
 ORACLE["stream_log_dirty"] = ORACLE["dirty_bad"]
 ORACLE["stream_dimensions"] = ORACLE["upsert_dimensions"]
+ORACLE |= {name: ORACLE["write_upsert"] for name in ("compact_upsert", "stream_upsert")}
+ORACLE |= {name: ORACLE["upsert_dimensions"] for name in ("compact_dimensions", "publish_dimension")}
+ORACLE |= {name: f"""WITH {MASTER}, last AS (SELECT * FROM master WHERE tab = 'customer'
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY sec DESC) = 1)
+SELECT id, c_name FROM last WHERE type <> 'delete'""" for name in ("upsert_with_deletes", "topic_with_deletes")}

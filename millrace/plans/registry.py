@@ -16,8 +16,9 @@ from millrace.operators.visitors import (
     assign_event_time, detect_bounce, first_visit_per_day, is_session_start, repair_new_flag)
 from millrace.plans import flows
 from millrace.session import streaming_session, work_folder
-from millrace.sinks.dimensions import config_rows, read_dimension, upsert_dimensions
-from millrace.sinks.writers import fan_out, land_changes, read_latest, write_append, write_upsert
+from millrace.sinks.dimensions import config_rows, dimension_log, ensure_table, publish_dimension, read_dimension, upsert_dimensions
+from millrace.sinks.merged import MergedTable, start_upsert
+from millrace.sinks.writers import as_messages, fan_out, land_changes, latest_messages, read_latest, write_append, write_upsert
 from millrace.sources.changes import read_changes, read_config_changes, read_detail
 from millrace.streaming import jobs
 
@@ -410,6 +411,10 @@ def upserted_dimensions(spark, sf):
 def _dimension_rows(spark, config, root):
     tables = [read_dimension(spark, row, root).withColumn("sink_table", F.lit(row["sink_table"]))
               for row in config_rows(config)]
+    return _aligned(tables)
+
+
+def _aligned(tables):
     merged = tables[0]
     for more in tables[1:]:
         merged = merged.unionByName(more, allowMissingColumns=True)
@@ -424,6 +429,86 @@ def upserted_orders(spark, sf):
     return read_latest(spark, folder, ["id"], [cdc.change_seconds()])
 
 
+ORDER_ROWS = "id string, user_id string, order_status string, ts string"
+
+
+def _order_rows(changes):
+    return select_table(changes, "order_info", ["id", "user_id", "order_status"], keep=["ts"])
+
+
+def compacted_upsert(spark, sf):
+    """Orders appended in batches, the placed ones last, and compacted between and behind them."""
+    table = MergedTable(spark, work_folder(spark, "orders"), ORDER_ROWS, ["id"], ["try_cast(ts as bigint)"], buckets=16)
+    orders = _order_rows(_changes(spark, sf))
+    batches = [F.col("order_status").isin("1003", "1005"), F.col("order_status") == "1001", F.col("order_status") == "1006"]
+    for n, condition in enumerate(batches):
+        table.append(orders.filter(condition), n)
+        if n < 2:
+            table.compact()
+    return table.current()
+
+
+def stream_upsert(spark, sf):
+    """The upsert sink as a stream that compacts its table after every second micro-batch."""
+    session = streaming_session(spark)
+    table = MergedTable(spark, work_folder(spark, "orders"), ORDER_ROWS, ["id"], ["try_cast(ts as bigint)"], buckets=16)
+    changes = _landed(spark, session, _changes(spark, sf).filter(F.col("table") == "order_info"))
+    start_upsert(_order_rows(changes), table, work_folder(spark, "checkpoint"), compact_every=2).awaitTermination()
+    return table.current()
+
+
+def _customer_changes(spark, sf):
+    rows = feeds.master_changes(spark, sf).filter(F.col("table") == "customer")
+    return rows.select(cdc.data("id").alias("id"), cdc.data("c_name").alias("c_name"), "type", "ts")
+
+
+def upserted_with_deletes(spark, sf):
+    """Customers whose deletes come first and survive the compaction that their older rows meet later."""
+    table = MergedTable(spark, work_folder(spark, "customers"), "id string, c_name string, type string, ts string", ["id"],
+                        ["try_cast(ts as bigint)"], deleted="type = 'delete'", buckets=16)
+    customers = _customer_changes(spark, sf)
+    for n, kind in enumerate(("delete", "bootstrap-insert", "update")):
+        table.append(customers.filter(F.col("type") == kind), n)
+        table.compact()
+    table.vacuum()
+    return table.current().select("id", "c_name")
+
+
+def topic_with_deletes(spark, sf):
+    """The same as messages: a delete is a key without a value."""
+    customers = _customer_changes(spark, sf)
+    messages = as_messages(customers.select("id", "c_name", "type"), ["id"], deleted=F.col("type") == "delete")
+    folder = work_folder(spark, "topic")
+    arrival = F.when(F.col("value").isNull(), 3).when(F.get_json_object("value", "$.type") == "update", 2).otherwise(1)
+    messages.withColumn("arrival", arrival).write.parquet(folder)
+    return latest_messages(spark.read.parquet(folder), "id string, c_name string")
+
+
+def compacted_dimensions(spark, sf):
+    """The dimension sink in two batches, the renamed rows first, compacted after each."""
+    root = work_folder(spark, "dimensions")
+    config = _config(spark)
+    routed = route_by_config(keep_types(feeds.master_changes(spark, sf)), config).withColumn("change_ts", cdc.change_seconds())
+    for n, condition in enumerate((F.col("type") == "update", F.col("type") != "update")):
+        upsert_dimensions(routed.filter(condition), root, n)
+        dimension_log(spark, root, buckets=16).compact()
+    return _dimension_rows(spark, config, root)
+
+
+def published_dimensions(spark, sf):
+    """The dimension tables created in the catalog from their configuration, and filled."""
+    root, tables = work_folder(spark, "dimensions"), work_folder(spark, "tables")
+    config = _config(spark)
+    upsert_dimensions(route_by_config(keep_types(feeds.master_changes(spark, sf)), config).withColumn(
+        "change_ts", cdc.change_seconds()), root)
+    # Names of their own for every run: tables outlive the query in a catalog that others share.
+    run, made = tables.rsplit("-", 1)[-1], []
+    for row in config_rows(config):
+        name = publish_dimension(spark, row, root, tables, name=f"{row['sink_table']}_{run}")
+        made.append(spark.table(name).withColumn("sink_table", F.lit(row["sink_table"])))
+    return _aligned(made)
+
+
 def fanned_out_log(spark, sf):
     """Five outputs of one batch in five folders."""
     folder = work_folder(spark, "log")
@@ -488,8 +573,14 @@ QUERIES = {
     # sinks
     "upsert_dimensions": upserted_dimensions,
     "write_upsert": upserted_orders,
+    "compact_upsert": compacted_upsert,
+    "upsert_with_deletes": upserted_with_deletes,
+    "topic_with_deletes": topic_with_deletes,
+    "compact_dimensions": compacted_dimensions,
+    "publish_dimension": published_dimensions,
     "fan_out": fanned_out_log,
     # streaming forms
+    "stream_upsert": stream_upsert,
     "stream_cart_add": stream_cart_add,
     "stream_retained_join": stream_retained_join,
     "stream_log_split": stream_log_split,

@@ -5,28 +5,45 @@ from pyspark.sql import functions as F
 from millrace.operators.upsert import latest_by_key
 
 
-def as_messages(df, keys=None):
+def as_messages(df, keys=None, deleted=None):
     """Rows as ``(key, value)`` texts for a topic; rows whose ``value`` is already text keep it.
 
     The key is the JSON array of ``keys`` with nulls kept, so different keys never share a text and a
-    message written twice (a topic sink is at-least-once) carries the same one. Null values are skipped.
+    message written twice (a topic sink is at-least-once) carries the same one. Null values are skipped. With ``keys``, a row
+    that meets the condition ``deleted`` becomes a tombstone: its key without a value, which removes the key from a
+    compacted topic and from ``latest_messages``.
     """
     text = F.col("value") if df.columns == ["value"] else F.to_json(F.struct("*"))
     key = F.to_json(F.array(*[F.col(k).cast("string") for k in keys])) if keys else F.xxhash64("value").cast("string")
+    if keys and deleted is not None:
+        gone = F.coalesce(deleted, F.lit(False))
+        return df.filter(gone | text.isNotNull()).select(F.when(~gone, text).alias("value"), key.alias("key"))
     rows = df.select(text.alias("value"), *([key.alias("key")] if keys else []))
     rows = rows.filter(F.col("value").isNotNull())
     return rows if keys else rows.select(key.alias("key"), "value")
 
 
-def write_append(df, target, checkpoint=None, fmt="parquet", partition_by=(), trigger=None, keys=None, **options):
-    """Append rows to a folder, or to a topic with ``fmt="kafka"`` (as messages keyed by ``keys``).
+def latest_messages(messages, schema, order=("arrival",)):
+    """The current rows of a keyed topic: of each key's messages the last one by ``order``, unless it is a tombstone.
+
+    ``messages`` has ``key`` and ``value`` texts; of a topic's offsets only those of one partition compare, and a key's
+    messages share one. A value that is no JSON object of ``schema`` gives a row of nulls.
+    """
+    last = latest_by_key(messages, ["key"], order, deleted=F.col("value").isNull())
+    return last.select(F.explode(F.array(F.from_json("value", schema))).alias("_r")).select("_r.*")
+
+
+def write_append(df, target, checkpoint=None, fmt="parquet", partition_by=(), trigger=None, keys=None, deleted=None,
+                 **options):
+    """Append rows to a folder, or to a topic with ``fmt="kafka"`` (as messages keyed by ``keys``; those that meet ``deleted``
+    as tombstones).
 
     A stream returns its started query. Files and checkpoint together give each row exactly once; a
     topic gives at least once. ``trigger`` defaults to one run over what is available.
     """
     if fmt == "kafka":
         options.setdefault("topic", target)
-        df = as_messages(df, keys)
+        df = as_messages(df, keys, deleted)
     else:
         options["path"] = target
     if not df.isStreaming:
@@ -46,7 +63,8 @@ def land_changes(changes, target, checkpoint=None, **options):
 
 def write_upsert(df, target, keys, checkpoint=None, **options):
     """Keyed upsert: every version is appended; ``read_latest`` gives the current rows of a folder.
-    In a topic the messages carry the key, so that the topic can be compacted by it."""
+    In a topic the messages carry the key, so that the topic can be compacted by it. ``merged.MergedTable`` is the form
+    whose readers do not read every version ever written."""
     return write_append(df, target, checkpoint, keys=keys, **options)
 
 
