@@ -1,5 +1,7 @@
 """Appending, upserting and fanning out results."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from millrace.operators.upsert import latest_by_key
@@ -33,13 +35,26 @@ def latest_messages(messages, schema, order=("arrival",)):
     return last.select(F.explode(F.array(F.from_json("value", schema))).alias("_r")).select("_r.*")
 
 
+@contextmanager
+def _no_idle_batches(spark, wanted):
+    """Queries started meanwhile run no micro-batch without data; a query keeps the settings of its start."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false" if wanted else before)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_append(df, target, checkpoint=None, fmt="parquet", partition_by=(), trigger=None, keys=None, deleted=None,
-                 **options):
+                 idle=True, **options):
     """Append rows to a folder, or to a topic with ``fmt="kafka"`` (as messages keyed by ``keys``; those that meet ``deleted``
     as tombstones).
 
     A stream returns its started query. Files and checkpoint together give each row exactly once; a
-    topic gives at least once. ``trigger`` defaults to one run over what is available.
+    topic gives at least once. ``trigger`` defaults to one run over what is available. ``idle=False`` is for state that
+    lives in processing time: such a query always finds a reason for one more micro-batch without data and would not end.
     """
     if fmt == "kafka":
         options.setdefault("topic", target)
@@ -53,7 +68,8 @@ def write_append(df, target, checkpoint=None, fmt="parquet", partition_by=(), tr
         raise ValueError("a stream needs a checkpoint folder")
     writer = (df.writeStream.format(fmt).outputMode("append").options(**options)
               .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
-    return (writer.partitionBy(*partition_by) if partition_by else writer).start()
+    with _no_idle_batches(df.sparkSession, not idle):
+        return (writer.partitionBy(*partition_by) if partition_by else writer).start()
 
 
 def land_changes(changes, target, checkpoint=None, **options):

@@ -16,6 +16,7 @@ from millrace.plans import flows
 from millrace.sinks.dimensions import config_rows, ensure_table, upsert_dimensions
 from millrace.sinks.writers import write_append, write_batch, write_upsert
 from millrace.streaming import visitors
+from millrace.streaming.joins import waiting_join
 
 
 def start_dimensions(changes, read_config, root, checkpoint, writer="main", order=("change_ts",),
@@ -122,10 +123,16 @@ def start_log_dirty(log, target, checkpoint, **options):
     return write_append(split_dirty(parse_log(log))[1], target, checkpoint, **options)
 
 
-def start_unique_visitor(pages, target, checkpoint, order="arrival", tz="UTC", **options):
+def start_unique_visitor(pages, target, checkpoint, order="arrival", tz="UTC", ttl=visitors.DAY_TTL, **options):
     good, _ = split_dirty(parse_log(pages))
-    rows = visitors.first_visit_per_day(good.select("value", "mid", "ts", "last_page_id", order), order=order, tz=tz)
-    return write_append(rows.select("value", "mid", "ts"), target, checkpoint, **options)
+    rows = visitors.first_visit_per_day(good.select("value", "mid", "ts", "last_page_id", order), order=order, tz=tz, ttl=ttl)
+    return write_append(rows.select("value", "mid", "ts"), target, checkpoint, idle=ttl is None, **options)
+
+
+def start_waiting_join(left, right, on, target, checkpoint, keys, how="left", ttl=S.ORDER_JOIN_TTL, **options):
+    """A join with retention in processing time as a changelog: ``read_latest`` by ``keys`` (the left rows') and ``revision``
+    gives the current rows."""
+    return write_upsert(waiting_join(left, right, on, how, ttl), target, keys, checkpoint, idle=False, **options)
 
 
 def start_user_jump(pages, target, checkpoint, order="arrival", within=S.BOUNCE_WITHIN_MS, delay=S.BOUNCE_DELAY,

@@ -44,7 +44,7 @@ class Feed:
 
 
 def finish(query):
-    assert query.awaitTermination(180)
+    assert query.awaitTermination(60)
 
 
 LOG = "value string, arrival bigint"
