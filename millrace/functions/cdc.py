@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from millrace.functions.times import FIRST_MS, LAST_MS
+
 
 def data(name):
     return F.col("data")[name]
@@ -55,3 +57,9 @@ def keep_columns(values, sink_columns):
 def change_seconds(ts="ts"):
     """Epoch seconds of a change row, whose ``ts`` is text."""
     return F.col(ts).try_cast("bigint")
+
+
+def usable_seconds(ts="ts"):
+    """Epoch seconds of a change row, NULL where they name no time of the years 1 to 9999."""
+    seconds = change_seconds(ts)
+    return F.when(seconds.between(FIRST_MS // 1000, LAST_MS // 1000), seconds)

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from millrace import schemas
 from millrace.functions import records as R
 
 
@@ -56,16 +55,20 @@ def _labelled(target):
     return F.transform(F.col(target), lambda text: F.struct(F.lit(target).alias("target"), text.alias("value")))
 
 
-def route_log(parsed, keep=()):
+def route_log(parsed, keep=(), usable=None):
     """The five outputs as rows ``(target, value)`` in one pass over the records.
 
     This is the form to write: one parse and one job, whatever the number of targets. The
-    conditions are columns of their own so that each is evaluated once.
+    conditions are columns of their own so that each is evaluated once. ``usable`` names a boolean column: where it is false
+    the record's text, readable or not, is the one row of a sixth target, ``dirty``.
     """
     outputs = _outputs()
+    if usable:
+        outputs = {t: (F.col(usable) & condition, texts) for t, (condition, texts) in outputs.items()}
+        outputs["dirty"] = (~F.col(usable), F.array("value"))
     none = F.array().cast("array<string>")
-    texts = [F.coalesce(F.when(outputs[t][0], outputs[t][1]), none).alias(t) for t in schemas.LOG_TARGETS]
-    listed = F.flatten(F.array(*[_labelled(t) for t in schemas.LOG_TARGETS]))
+    texts = [F.coalesce(F.when(condition, listed), none).alias(t) for t, (condition, listed) in outputs.items()]
+    listed = F.flatten(F.array(*[_labelled(t) for t in outputs]))
     return (parsed.select(*keep, *texts)
                   .select(*keep, F.explode(listed).alias("_out"))
                   .select(*keep, "_out.target", "_out.value"))

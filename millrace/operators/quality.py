@@ -29,14 +29,20 @@ def parse_log(df, value="value"):
               .select(*df.columns, "_log.*"))
 
 
-def split_dirty(parsed, required=("mid", "ts")):
-    """Usable and dirty records of ``parse_log`` output.
+def is_usable(required=("mid", "ts")):
+    """Whether a record of ``parse_log`` output is usable; never null.
 
-    Dirty is: no text, text that is no JSON object, a record without a required member (the
-    visitor to group by, the time to order by), or one whose ``ts`` names no time of the years 1 to 9999. Returns ``(good, dirty)``; dirty keeps the text.
+    It is not, and so dirty, if there is no text, text that is no JSON object, no required member (the visitor to
+    group by, the time to order by), or a ``ts`` that names no time of the years 1 to 9999.
     """
     usable = F.col("record").isNotNull()
     for name in required:
         usable = usable & (is_time(F.col(name)) if name == "ts" else F.col(name).isNotNull())
+    return usable
+
+
+def split_dirty(parsed, required=("mid", "ts")):
+    """Usable and dirty records of ``parse_log`` output (``is_usable``): ``(good, dirty)``; dirty keeps the text."""
+    usable = is_usable(required)
     dirty = parsed.filter(~usable).select(*[c for c in parsed.columns if c not in PARSED])
     return parsed.filter(usable), dirty

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import cdc
-from millrace.functions.times import FIRST_MS, LAST_MS
 
 EVENT_TIME = "event_time"
 
@@ -16,9 +15,7 @@ def keep_types(changes, types=schemas.KEPT_TYPES):
 
 def with_event_time(changes, ts="ts", delay="0 seconds"):
     """Add the watermarked event time of change rows from their epoch seconds; NULL where they name no time."""
-    seconds = cdc.change_seconds(ts)
-    sound = F.when(seconds.between(FIRST_MS // 1000, LAST_MS // 1000), seconds)
-    return (changes.withColumn(EVENT_TIME, F.timestamp_seconds(sound))
+    return (changes.withColumn(EVENT_TIME, F.timestamp_seconds(cdc.usable_seconds(ts)))
                    .withWatermark(EVENT_TIME, delay))
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace import schemas
+from millrace.functions.cdc import usable_seconds
 
 
 def _typed(df, schema, keep):
@@ -27,6 +28,29 @@ def read_changes(df, tables=None, keep=()):
     return _typed(df, schemas.CHANGE_SCHEMA, keep).filter(F.col("table").isNotNull())
 
 
+#: What a text of the change log turns out to be, in ``tag_changes``.
+CHANGE, UNREADABLE, UNTIMED = "change", "unreadable", "untimed"
+
+
+def tag_changes(df, keep=()):
+    """Every text of a change log once, parsed once, with its ``outcome``.
+
+    ``change`` is a usable change row. ``unreadable`` is no text, text that is no JSON object, or one without a table name;
+    ``untimed`` names a table but its ``ts`` no second of the years 1 to 9999, so that no stream could place it in time. Only
+    these two keep their text in ``value``. Nothing is left out: the outcomes add up to the texts read.
+    """
+    record = F.from_json("value", schemas.CHANGE_SCHEMA)
+    parsed = df.select("value", *keep, F.explode(F.array(record)).alias("_r")).select("value", *keep, "_r.*")
+    outcome = F.when(F.col("table").isNull(), UNREADABLE).when(usable_seconds("ts").isNull(), UNTIMED).otherwise(CHANGE)
+    return parsed.withColumn("outcome", outcome).withColumn("value", F.when(F.col("outcome") != CHANGE, F.col("value")))
+
+
+def split_changes(tagged):
+    """(usable change rows, the others with their text) of ``tag_changes`` output."""
+    good = tagged.filter(F.col("outcome") == CHANGE).drop("outcome", "value")
+    return good, tagged.filter(F.col("outcome") != CHANGE)
+
+
 def read_config_changes(df, keep=()):
     """Configuration change events (op, before, after, ts_ms) from ``value``."""
     return _typed(df, schemas.CONFIG_CHANGE_SCHEMA, keep).filter(F.col("op").isNotNull())

@@ -9,31 +9,85 @@ from pyspark.sql import functions as F
 from millrace import schemas as S
 from millrace.functions import cdc
 from millrace.operators.logsplit import route_log, write_flag
-from millrace.operators.quality import parse_log, split_dirty
-from millrace.operators.routing import current_config, route_by_config
+from millrace.operators.quality import is_usable, parse_log, split_dirty
+from millrace.operators.routing import NO_DATA, ROUTED, UNROUTED, current_config, route_by_config, tag_by_config
 from millrace.operators.selection import keep_types
 from millrace.plans import flows
 from millrace.sinks.dimensions import config_rows, ensure_table, upsert_dimensions
 from millrace.sinks.writers import write_append, write_batch, write_upsert
+from millrace.sources.changes import CHANGE, UNREADABLE, UNTIMED, split_changes, tag_changes
 from millrace.streaming import visitors
+from millrace.streaming.config import ConfigLog
 from millrace.streaming.joins import waiting_join
 
 
+def start_changes(log, target, checkpoint, **options):
+    """Land the texts of a change log in one pass, by ``outcome`` and table: the change rows that the flows read
+    (``landed_changes``), and what is unreadable or names no time, with its text (``faulty_changes``).
+
+    Each micro-batch's progress carries the counts ``read``, ``changes``, ``unreadable`` and ``untimed`` as the observed metric
+    ``balance``; the last three add up to the first.
+    """
+    tagged = tag_changes(log)
+    counts = [F.count(F.lit(1)).alias("read")] + [F.count_if(F.col("outcome") == outcome).alias(name) for name, outcome in (
+        ("changes", CHANGE), ("unreadable", UNREADABLE), ("untimed", UNTIMED))]
+    return write_append(tagged.observe("balance", *counts), target, checkpoint, partition_by=["outcome", "table"], **options)
+
+
+LANDED = f"value string, {', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in S.CHANGE_SCHEMA)}, outcome string"
+
+
+def _landed(spark, target, stream, **options):
+    reader = spark.readStream if stream else spark.read
+    return reader.schema(LANDED).options(**options).parquet(target)
+
+
+def landed_changes(spark, target, stream=False, **options):
+    """Change rows as ``start_changes`` landed them; conditions on the table prune folders."""
+    return split_changes(_landed(spark, target, stream, **options))[0]
+
+
+def faulty_changes(spark, target, stream=False, **options):
+    return split_changes(_landed(spark, target, stream, **options))[1]
+
+
 def start_dimensions(changes, read_config, root, checkpoint, writer="main", order=("change_ts",),
-                     config_order=("ts_ms",), trigger=None, tables=None):
+                     config_order=("ts_ms",), trigger=None, tables=None, rejects=None):
     """Dimension tables, all written to ``root``.
 
     ``read_config`` returns the configuration events known so far; it is called at the start of
-    every micro-batch, so the configuration is always read before the rows it routes. With
-    ``tables``, a folder, the configured catalog tables are created there as they appear
+    every micro-batch, so the configuration is always read before the rows it routes. A ``ConfigLog`` does so by reading
+    only the events that are new. With ``tables``, a folder, the configured catalog tables are created there as they appear
     (``publish_dimension`` fills them).
+
+    With ``rejects``, a folder, no change row is lost without a trace: rows that reach no dimension table go there by ``outcome``
+    (``unrouted``, ``no data``), and one row per micro-batch with the counts ``read``, ``routed``, ``unrouted`` and ``no_data`` to its folder
+    ``balance``. The micro-batch is read once and kept in executor storage between its outputs.
     """
+    def config_now():
+        if isinstance(read_config, ConfigLog):
+            return read_config()
+        return current_config(read_config(), order=config_order)
+
     def write(batch, batch_id):
-        config = current_config(read_config(), order=config_order)
+        config = config_now()
         for row in config_rows(config) if tables else ():
             ensure_table(batch.sparkSession, row, tables)
-        routed = route_by_config(keep_types(batch), config).withColumn("change_ts", cdc.change_seconds())
-        upsert_dimensions(routed, root, batch_id, writer, order)
+        if not rejects:
+            routed = route_by_config(keep_types(batch), config).withColumn("change_ts", cdc.change_seconds())
+            upsert_dimensions(routed, root, batch_id, writer, order)
+            return
+        tagged = tag_by_config(batch, config).withColumn("change_ts", cdc.change_seconds()).persist()
+        try:
+            counts = tagged.agg(F.count(F.lit(1)).alias("read"), *[
+                F.count_if(F.col("outcome") == outcome).alias(outcome.replace(" ", "_")) for outcome in (ROUTED, UNROUTED, NO_DATA)])
+            write_batch(counts, f"{rejects}/balance", batch_id, writer)
+            routed = tagged.filter(F.col("outcome") == ROUTED)
+            upsert_dimensions(routed.drop("outcome"), root, batch_id, writer, order)
+            write_batch(tagged.filter(F.col("outcome") != ROUTED).drop("sink_table", "pk"), f"{rejects}/rows", batch_id, writer,
+                        partition_by=["outcome"])
+        finally:
+            tagged.unpersist()
 
     return (changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
@@ -83,21 +137,31 @@ def start_refund_success(changes, dictionary, target, checkpoint, ttl=S.ORDER_JO
     return write_append(flows.refund_success(changes, dictionary, ttl, delay, types), target, checkpoint, **options)
 
 
+#: Keys that dirty records are dealt to on their way past the visitors' state.
+DIRTY_KEYS = 1024
+
+
 def stream_log_records(log, order="arrival", tz="UTC"):
-    """Usable log records with the repaired flag. The text passes the state, and is parsed again
-    after it: cheaper than carrying variants through Python workers."""
-    good, _ = split_dirty(parse_log(log))
-    repaired = visitors.repair_new_flag(good.select("mid", "is_new", "ts", order, "value"), order=order, tz=tz)
-    again = parse_log(repaired.select("value", order, F.col("is_new").alias("_flag")))
+    """All log records, parsed, with the column ``usable``; the usable ones with the repaired flag. The log is read once: dirty
+    records pass beside the visitors' state. The text passes the state, and is parsed again after it: cheaper
+    than carrying variants through Python workers."""
+    marked = parse_log(log).withColumn("usable", is_usable())
+    spread = F.pmod(F.xxhash64("value", order), F.lit(DIRTY_KEYS)).cast("string")
+    slim = marked.withColumn("mid", F.when(F.col("usable"), F.col("mid")).otherwise(spread)).select(
+        "mid", "is_new", "ts", order, "value", "usable")
+    repaired = visitors.repair_new_flag(slim, order=order, tz=tz, usable="usable")
+    again = parse_log(repaired.select("value", order, "usable", F.col("is_new").alias("_flag")))
     return write_flag(again.drop("is_new").withColumnRenamed("_flag", "is_new"))
 
 
 def log_outputs(log, order="arrival", tz="UTC"):
-    """Rows ``(order, mid, target, value)`` of the five log outputs and, as ``dirty``, of the records that have none."""
-    routed = route_log(stream_log_records(log, order, tz), keep=[order, "mid"])
-    _, dirty = split_dirty(parse_log(log))
-    return routed.unionByName(dirty.select(
-        order, F.lit(None).cast("string").alias("mid"), F.lit("dirty").alias("target"), "value"))
+    """Rows ``(order, mid, target, value)`` of the five log outputs and, as ``dirty``, of the records that have none, in one pass.
+
+    As ``observe`` metric ``balance``, a micro-batch's progress carries how many records were ``read``, ``usable`` and ``dirty``.
+    """
+    records = stream_log_records(log, order, tz).observe(
+        "balance", F.count(F.lit(1)).alias("read"), F.count_if("usable").alias("usable"), F.count_if(~F.col("usable")).alias("dirty"))
+    return route_log(records, [order, "mid"], usable="usable")
 
 
 def as_topics(outputs):

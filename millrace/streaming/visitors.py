@@ -16,15 +16,16 @@ DAY_TTL = 24 * 3600
 BOUNCE_SPANS = 8
 
 
-def repair_new_flag(df, key="mid", flag="is_new", ts="ts", order="arrival", tz="UTC"):
-    """Streaming form of the flag correction.
+def repair_new_flag(df, key="mid", flag="is_new", ts="ts", order="arrival", tz="UTC", usable=None):
+    """Streaming form of the flag correction. ``usable`` names a boolean column: rows where it is false are let through
+    unchanged, beside the others and without state, so that they need no second pass; give them keys that spread them.
 
     A visitor's first-visit day is kept without expiry. Within a micro-batch the record of lowest
     ``order`` counts as the first; across micro-batches, arrival does. ``df`` should be narrow (the
     record text rather than parsed variants), for its rows pass through Python workers.
     """
     marked = df.withColumn(DAY, event_date(F.col(ts), tz))
-    repaired = marked.groupBy(key).transformWithStateInPandas(
+    repaired = marked.groupBy(key, *([usable] if usable else [])).transformWithStateInPandas(
         statefulProcessor=FirstVisitProcessor(marked.schema, flag, DAY, order),
         outputStructType=marked.schema, outputMode="Append", timeMode="None")
     return repaired.select(*df.columns)
