@@ -28,8 +28,10 @@ PART, WHOLE = 80, 100
 KEPT = 64
 #: Chance at most that the estimate rejects a link of exactly that similarity whose sets are larger than a sketch.
 MISSED = 1e-7
-#: Pairs of one set that a task compares at a time, and sketches that a block of a mixed list holds.
+#: Pairs of one set that a task compares at a time.
 SLICE_PAIRS = 512
+#: Shingles that a block of a family holds, about; one set is never cut.
+BLOCK_SHINGLES = 1 << 18
 #: Sketches up to which a list that stays mixed is worked through pair by pair.
 SHORT = 32
 
@@ -64,6 +66,13 @@ def estimate(a, b, na, nb):
     return np.count_nonzero(both <= union[:KEPT][-1]) >= least_shared()
 
 
+def linked(a, b):
+    """Whether two whole sets (ascending) link."""
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    both = np.count_nonzero(a[at] == b)
+    return WHOLE * both >= PART * (len(a) + len(b) - both)
+
+
 SETS = "doc_id long, n int, h long, sketch binary"
 
 
@@ -122,36 +131,46 @@ def _paired(x, y):
 PAIRS = "a long, b long, sure boolean"
 
 
+def _wholes(batches):
+    """Whole sets of the chosen texts."""
+    for batch in batches:
+        for h, n, text in zip(*(batch.column(c).to_pylist() for c in ("h", "n", "text")), strict=True):
+            own = sets([text], WORDS)[0]
+            if name_of(own) == h:  # not another text under the same id
+                yield pa.RecordBatch.from_arrays([pa.array([h]), pa.array([n], pa.int32()), pa.array([own.tobytes()])], ["h", "n", "whole"])
+
+
 def _within(batches):
-    """Pairs between a block of a list (kind 0) and all of the list (kind 1), of different components, that the estimate
-    lets pass. Shared values are counted by inverting the block."""
+    """Links between a block of a family (kind 0) and all of the family (kind 1), of different components. Shared values are
+    counted by inverting the block's sketches; whole sets decide on pairs that the estimate lets pass."""
     key, held, index = None, [], None
     for batch in batches:
         found = []
-        for v, part, kind, h, n, component, sketch in zip(
-                *(batch.column(c).to_pylist() for c in ("v", "slice", "kind", "h", "n", "component", "sketch")), strict=True):
-            if (v, part) != key:
-                key, held, index = (v, part), [], None
-            own = np.frombuffer(sketch, _U)
+        for family, part, kind, h, component, whole in zip(
+                *(batch.column(c).to_pylist() for c in ("family", "slice", "kind", "h", "component", "whole")), strict=True):
+            if (family, part) != key:
+                key, held, index = (family, part), [], None
+            own = np.frombuffer(whole, _U)
             if kind == 0:
-                held.append((h, n, component, own))
+                held.append((h, component, own))
                 continue
             if index is None:
-                values = np.concatenate([x[3] for x in held])
+                sketches = [x[2][:KEPT] for x in held]
+                values = np.concatenate(sketches)
                 order = np.argsort(values, kind="stable")
-                index = values[order], np.repeat(np.arange(len(held)), [len(x[3]) for x in held])[order]
-                sizes = np.array([x[1] for x in held])
-                places = np.array([x[2] for x in held])
-            lo, hi = np.searchsorted(index[0], own, "left"), np.searchsorted(index[0], own, "right")
+                index = values[order], np.repeat(np.arange(len(held)), [len(x) for x in sketches])[order]
+                sizes, places = np.array([len(x[2]) for x in held]), np.array([x[1] for x in held])
+            n, sketch = len(own), own[:KEPT]
+            lo, hi = np.searchsorted(index[0], sketch, "left"), np.searchsorted(index[0], sketch, "right")
             met = np.concatenate([index[1][i:j] for i, j in zip(lo, hi, strict=True)])
             shared = np.bincount(met, minlength=len(held))
             fit = (np.maximum(sizes, n) * PART <= np.minimum(sizes, n) * WHOLE) & (places != component) & (shared >= needed(n))
             for i in np.flatnonzero(fit):
-                if estimate(held[i][3], own, held[i][1], n):
-                    found.append((min(h, held[i][0]), max(h, held[i][0]), n <= KEPT and held[i][1] <= KEPT))
+                other = held[i][2]
+                if estimate(other[:KEPT], sketch, len(other), n) and linked(other, own):
+                    found.append((min(h, held[i][0]), max(h, held[i][0])))
         if found:
-            a, b, sure = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sure)], ["a", "b", "sure"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
 
 def _verify(batches):
@@ -168,8 +187,7 @@ def _verify(batches):
             if kind == 0:
                 key, centre = (a, part), own
             elif (a, part) == key:
-                both = len(np.intersect1d(centre, own, assume_unique=True))
-                if WHOLE * both >= PART * (len(own) + len(centre) - both):
+                if linked(centre, own):
                     found.append((a, h))
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
@@ -222,10 +240,7 @@ class _Run:
         texts = self.docs.join(chosen, F.col("doc_id") == F.col("doc")).select("h", "text")
         met = rows.join(texts, "h").select("a", "slice", "kind", "h", "text")
         confirmed = self.in_order(met).mapInArrow(_verify, "a long, b long").distinct()
-        found = self.kept(estimated.filter("sure").select("a", "b").union(confirmed), "links")
-        self.links = found if self.links is None else self.links.union(found)
-        self.count += 1
-        self.classes = components(self.links, f"{self.folder}/{self.count:02d}-components")
+        self.add(estimated.filter("sure").select("a", "b").union(confirmed))
 
     def lists(self, described):
         """``list, size, h, n`` of the inverted lists in which sketches meet: the lists of a sketch's rarest shared values.
@@ -267,25 +282,41 @@ class _Run:
         return self.kept(placed.join(ends, ["list", "size"], "left_semi"), "mixed")
 
     def rest(self, members):
-        """All pairs of different components within the lists that are still mixed: a short list's are compared one by one; of a
-        longer one the sketches outside its largest component are dealt to blocks and visited by the whole list."""
+        """All pairs of different components within the lists that are still mixed: a short list's are compared one by one; longer
+        ones make up families, whose sets outside the largest component are dealt to blocks and visited by the family."""
         short = members.filter(F.col("size") <= SHORT).select("list", "size", "h", "n", "component")
         turned = short.withColumnsRenamed({"h": "a", "n": "na", "component": "ca"})
         pairs = turned.join(short, ["list", "size"]).filter((F.col("a") < F.col("h")) & (F.col("ca") != F.col("component")))
         self.compare(pairs.filter(_sizes_fit("na", "n")).select("a", F.col("h").alias("b")))
-        members = members.filter(F.col("size") > SHORT)
-        shares = members.groupBy("list", "size", "component").agg(F.count("*").alias("c"))
-        top = shares.groupBy("list", "size").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"))
-        blocks = F.ceil((F.col("all") - F.col("top.c")) / SLICE_PAIRS).cast("int")
-        placed = members.join(top.select("list", "size", F.col("top.component").alias("most"), blocks.alias("slices")), ["list", "size"])
-        columns = ["list", "size", "h", "n", "component"]
+        long = members.filter(F.col("size") > SHORT)
+        # Lists of one most central sketch are one family, so that its pairs meet once, not in every list that they share.
+        centre = long.groupBy("list", "size").agg(F.max(F.struct("weight", "h")).getField("h").alias("family"))
+        family = self.kept(long.join(centre, ["list", "size"]).select("family", "h", "n", "component").distinct(), "families")
+        if family.isEmpty():
+            return
+        shares = family.groupBy("family", "component").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+        top = shares.groupBy("family").agg(F.max(F.struct("c", "component", "n")).alias("top"), F.sum("n").alias("all"))
+        blocks = F.ceil((F.col("all") - F.col("top.n")) / BLOCK_SHINGLES).cast("int")
+        placed = family.join(top.select("family", F.col("top.component").alias("most"), blocks.alias("slices")), "family")
+        placed = placed.filter("slices > 0")
         own = placed.filter("component <> most").select(
-            *columns, F.pmod(F.xxhash64("h"), F.col("slices")).cast("int").alias("slice"), F.lit(0).alias("kind"))
-        visits = placed.select(*columns, F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"))
-        rows = own.unionByName(visits).withColumn("v", F.xxhash64("list", "size")).join(self.sketches.select("h", "sketch"), "h")
-        rows = rows.select("v", "slice", "kind", "h", "n", "component", "sketch").repartition(self.parts, "v", "slice")
-        met = rows.sortWithinPartitions("v", "slice", "kind").mapInArrow(_within, PAIRS).distinct()
-        self.verify(self.kept(met, "blocks"))
+            "family", F.pmod(F.xxhash64("h"), F.col("slices")).cast("int").alias("slice"), F.lit(0).alias("kind"), "h", "component")
+        visits = placed.select(
+            "family", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"), "h", "component")
+        chosen = self.kept(family.select("h", "n").distinct().join(self.nodes.select("h", "doc"), "h"), "chosen")
+        texts = self.docs.join(chosen, F.col("doc_id") == F.col("doc")).select("h", "n", "text")
+        wholes = self.kept(texts.mapInArrow(_wholes, "h long, n int, whole binary"), "wholes").dropDuplicates(["h"])
+        rows = own.unionByName(visits.join(own.select("family", "slice").distinct(), ["family", "slice"], "left_semi"))
+        rows = rows.join(wholes.select("h", "whole"), "h").select("family", "slice", "kind", "h", "component", "whole")
+        met = rows.repartition(self.parts, "family", "slice").sortWithinPartitions("family", "slice", "kind")
+        self.add(met.mapInArrow(_within, "a long, b long").distinct())
+
+    def add(self, links):
+        """Take in links, and find the components anew."""
+        found = self.kept(links, "links")
+        self.links = found if self.links is None else self.links.union(found)
+        self.count += 1
+        self.classes = components(self.links, f"{self.folder}/{self.count:02d}-components")
 
     def run(self):
         described = self.kept(self.docs.mapInArrow(_describe, SETS), "sets")
