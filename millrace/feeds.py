@@ -216,7 +216,7 @@ def master_changes(spark, sf_dir):
     return reduce(lambda a, b: a.union(b), branches)
 
 
-def as_text(changes):
-    """Change rows as the JSON text a topic would carry."""
+def as_text(changes, keep=()):
+    """Change rows as the JSON text a topic would carry, beside the columns ``keep``."""
     whole = F.struct(*[F.col(c) for c in ("database", "table", "type", "data", "old", "ts")])
-    return changes.select(F.to_json(whole, {"ignoreNullFields": "false"}).alias("value"))
+    return changes.select(F.to_json(whole, {"ignoreNullFields": "false"}).alias("value"), *keep)

@@ -4,7 +4,8 @@ Every flow is ``DataFrame -> DataFrame`` and takes batch frames or streams alike
 log flows have their streaming forms in ``millrace.streaming``). ``ttl`` is the retention of a
 stream join in seconds; ``None`` joins a batch without time limit.
 
-Lookups are inner and broadcast, so they come first: rows they drop are never shuffled.
+Lookups are inner and broadcast, so they come first: rows they drop are never shuffled. Given ``None`` for a dictionary, a flow
+leaves the names out, and ``with_names`` attaches them to its result: for streams whose dictionary changes while they run.
 """
 
 from pyspark.sql import functions as F
@@ -20,10 +21,29 @@ from millrace.operators.upsert import latest_by_key
 from millrace.operators.visitors import detect_bounce, first_visit_per_day, repair_new_flag
 
 
-def _stamped(df, columns, source=None):
-    """The output columns in order; ``row_op_ts`` is taken from ``source`` or stamped now."""
-    stamp = F.col(source) if source else F.current_timestamp()
-    return df.withColumn("row_op_ts", stamp).select(*columns)
+#: Names that a flow takes from the dictionary: output column by code column of the output.
+NAMES = {
+    "order_wide": {"source_type": "source_type_name"},
+    "payment_success": {"payment_type_code": "payment_type_name"},
+    "order_refund": {"refund_type_code": "refund_type_name", "refund_reason_type_code": "refund_reason_type_name"},
+    "refund_success": {"payment_type_code": "payment_type_name"},
+}
+COLUMNS = {"order_wide": S.ORDER_WIDE_COLUMNS, "payment_success": S.PAYMENT_COLUMNS, "order_refund": S.ORDER_REFUND_COLUMNS,
+           "refund_success": S.REFUND_SUCCESS_COLUMNS}
+
+
+def with_names(flow, rows, dictionary):
+    """The output of a flow that was made without a dictionary, completed from one. As in the flow, rows whose code is null or
+    unknown disappear."""
+    return two_role_lookup(rows, dictionary, NAMES[flow]).select(*COLUMNS[flow])
+
+
+def _finished(flow, df, dictionary):
+    """The output columns in order; without a dictionary, without the names. ``row_op_ts`` is stamped now."""
+    left_out = set() if dictionary is not None else set(NAMES[flow].values())
+    if "row_op_ts" in COLUMNS[flow] and "row_op_ts" not in df.columns:
+        df = df.withColumn("row_op_ts", F.current_timestamp())
+    return df.select(*[c for c in COLUMNS[flow] if c not in left_out])
 
 
 def _timed(changes, delay, *tables):
@@ -52,7 +72,8 @@ def order_wide(changes, dictionary, ttl=None, delay="0 seconds"):
     """
     changes = _timed(changes, delay, "order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
     lines = select_table(changes, "order_detail", S.ORDER_DETAIL_FIELDS, ["insert"], keep={"ts": "od_ts"})
-    lines = lookup_join(lines, dictionary, "source_type", {"dic_name": "source_type_name"})
+    if dictionary is not None:
+        lines = lookup_join(lines, dictionary, "source_type", {"dic_name": "source_type_name"})
     orders = (
         select_table(changes, "order_info", S.ORDER_INFO_FIELDS, ["insert", "update"],
                      keep={"type": "type", "old": "old", "ts": "oi_ts"})
@@ -69,7 +90,7 @@ def order_wide(changes, dictionary, ttl=None, delay="0 seconds"):
         wide.withColumn("split_original_amount", cdc.line_amount(F.col("sku_num"), F.col("order_price")))
         .withColumn("date_id", cdc.date_id(F.col("create_time")))
         .withColumn("operate_date_id", cdc.date_id(F.col("operate_time"))))
-    return _stamped(wide, S.ORDER_WIDE_COLUMNS)
+    return _finished("order_wide", wide, dictionary)
 
 
 def order_detail(wide):
@@ -105,22 +126,24 @@ def payment_success(changes, detail, dictionary, ttl=None, delay="0 seconds"):
     changes = _timed(changes, delay, "payment_info")
     payments = select_table(changes, "payment_info", S.PAYMENT_FIELDS, ["update"],
                             where=cdc.data("payment_status") == S.PAYMENT_PAID, keep=["ts"])
-    payments = lookup_join(payments, dictionary, "payment_type", {"dic_name": "payment_type_name"})
+    if dictionary is not None:
+        payments = lookup_join(payments, dictionary, "payment_type", {"dic_name": "payment_type_name"})
     payments = payments.drop("user_id").withColumnsRenamed({
         "order_id": "paid_order_id", "payment_type": "payment_type_code"})
     detail = detail.withColumnsRenamed({
         "id": "order_detail_id", "ts": "od_ts", "split_total_amount": "split_payment_amount"})
     paid = retained_join(payments, detail.withColumn("detail_order", F.col("order_id")),
                          [("paid_order_id", "detail_order")], "inner", ttl, "ts", "od_ts", delay)
-    return paid.select(*S.PAYMENT_COLUMNS)
+    return _finished("payment_success", paid, dictionary)
 
 
 def order_refund(changes, dictionary, ttl=None, delay="0 seconds"):
     """Refund requests with the province of their order and the names of type and reason."""
     changes = _timed(changes, delay, "order_refund_info", "order_info")
     requests = select_table(changes, "order_refund_info", S.REFUND_REQUEST_FIELDS, ["insert"], keep=["ts"])
-    requests = two_role_lookup(requests, dictionary, {
-        "refund_type": "refund_type_name", "refund_reason_type": "refund_reason_type_name"})
+    if dictionary is not None:
+        requests = two_role_lookup(requests, dictionary, {
+            "refund_type": "refund_type_name", "refund_reason_type": "refund_reason_type_name"})
     orders = select_table(changes, "order_info", ["id", "province_id"],
                           where=cdc.status_changed("order_status", S.ORDER_REFUND_REQUESTED),
                           keep={"ts": "oi_ts"}).withColumnRenamed("id", "info_id")
@@ -128,7 +151,7 @@ def order_refund(changes, dictionary, ttl=None, delay="0 seconds"):
     rows = (rows.withColumn("date_id", cdc.date_id(F.col("create_time")))
                 .withColumnsRenamed({"refund_type": "refund_type_code",
                                      "refund_reason_type": "refund_reason_type_code"}))
-    return _stamped(rows, S.ORDER_REFUND_COLUMNS)
+    return _finished("order_refund", rows, dictionary)
 
 
 def refund_success(changes, dictionary, ttl=None, delay="0 seconds", types=None):
@@ -140,7 +163,8 @@ def refund_success(changes, dictionary, ttl=None, delay="0 seconds", types=None)
     changes = _timed(changes, delay, "refund_payment", "order_info", "order_refund_info")
     refunds = select_table(changes, "refund_payment", S.REFUND_PAYMENT_FIELDS, types,
                            where=cdc.data("refund_status") == S.REFUND_PAID, keep=["ts"])
-    refunds = lookup_join(refunds, dictionary, "payment_type", {"dic_name": "payment_type_name"})
+    if dictionary is not None:
+        refunds = lookup_join(refunds, dictionary, "payment_type", {"dic_name": "payment_type_name"})
     orders = select_table(changes, "order_info", ["id", "user_id", "province_id"],
                           where=cdc.status_changed("order_status", S.ORDER_REFUND_DONE),
                           keep={"ts": "oi_ts"}).withColumnRenamed("id", "info_id")
@@ -152,7 +176,7 @@ def refund_success(changes, dictionary, ttl=None, delay="0 seconds", types=None)
                          "inner", ttl, "ts", "ri_ts", delay)
     rows = (rows.withColumn("date_id", cdc.date_id(F.col("callback_time")))
                 .withColumnsRenamed({"payment_type": "payment_type_code", "total_amount": "refund_amount"}))
-    return _stamped(rows, S.REFUND_SUCCESS_COLUMNS)
+    return _finished("refund_success", rows, dictionary)
 
 
 def log_records(log, order="arrival", tz="UTC"):

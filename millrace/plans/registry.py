@@ -6,10 +6,10 @@ from millrace import feeds, schemas
 from millrace.functions import cdc
 from millrace.functions import records as R
 from millrace.functions.times import event_day, event_time_text, to_epoch_ms
-from millrace.operators.joins import retained_join, two_role_lookup
+from millrace.operators.joins import lookup_join, retained_join, two_role_lookup
 from millrace.operators.logsplit import route_log, split_log
 from millrace.operators.quality import parse_log, split_dirty
-from millrace.operators.routing import current_config, route_by_config, unrouted
+from millrace.operators.routing import UNROUTED, current_config, route_by_config, unrouted
 from millrace.operators.selection import keep_types, select_table, union_all
 from millrace.operators.upsert import latest_by_key
 from millrace.operators.visitors import (
@@ -20,7 +20,10 @@ from millrace.sinks.dimensions import config_rows, dimension_log, ensure_table,
 from millrace.sinks.merged import MergedTable, start_upsert
 from millrace.sinks.writers import as_messages, fan_out, land_changes, latest_messages, read_latest, write_append, write_upsert
 from millrace.sources.changes import read_changes, read_config_changes, read_detail
+from millrace.sources.lookup import RefreshingLookup, read_lookup
+from millrace.sources.topics import read_log
 from millrace.streaming import jobs
+from millrace.streaming.config import ConfigLog
 
 SIX_HOURS = 6 * 3600 * 1000
 ONE_DAY = 24 * 3600 * 1000
@@ -379,6 +382,112 @@ def stream_refund_success(spark, sf):
         _landed(spark, session, _changes(spark, sf)), feeds.dictionary(session), out, ck, **ALL_TIME)))
 
 
+def _codes_of(session):
+    """The dictionary as a job asks for it in every micro-batch."""
+    return RefreshingLookup(lambda: feeds.dictionary(session))
+
+
+def _wide_stream(spark, sf, session):
+    """The wide changelog written by its job; its folder. Behind the changes come markers of a late time, each a run of its
+    own that resumes the job: they show one join after the other that nothing follows, so that lines without partner go out."""
+    folder = work_folder(spark, "order_wide")
+    changes = _changes(spark, sf)
+    marker = lambda at: spark.createDataFrame(
+        [("shop", "order_info", "bootstrap-complete", {}, {}, str(at))], changes.schema).coalesce(1)
+    for landed in (changes, marker(250_000_000_000), marker(250_000_001_000)):
+        land_changes(landed, f"{folder}/changes")
+        stream = session.readStream.schema(changes.schema).parquet(f"{folder}/changes")
+        jobs.start_order_wide(stream, _codes_of(session), f"{folder}/out", f"{folder}/checkpoint", ttl=3 * 3600).awaitTermination()
+    return f"{folder}/out"
+
+
+def stream_order_wide(spark, sf):
+    return spark.read.parquet(_wide_stream(spark, sf, streaming_session(spark))).select(*_plain_columns(schemas.ORDER_WIDE_COLUMNS))
+
+
+def _plain_columns(columns):
+    return [c for c in columns if c not in ("old", "row_op_ts")]
+
+
+def stream_payment_success(spark, sf):
+    """The chain of three jobs: wide lines, placed lines, paid lines."""
+    session = streaming_session(spark)
+    wide, folder = _wide_stream(spark, sf, session), work_folder(spark, "payment_success")
+    lines = session.readStream.schema(spark.read.parquet(wide).schema).parquet(wide)
+    jobs.start_order_detail(lines, f"{folder}/detail", f"{folder}/detail-checkpoint").awaitTermination()
+    detail = session.readStream.schema(spark.read.parquet(f"{folder}/detail").schema).parquet(f"{folder}/detail")
+    jobs.start_payment_success(_landed(spark, session, _changes(spark, sf)), detail, _codes_of(session), f"{folder}/paid",
+                               f"{folder}/paid-checkpoint", **ALL_TIME).awaitTermination()
+    return spark.read.parquet(f"{folder}/paid").select(*_plain_columns(schemas.PAYMENT_COLUMNS))
+
+
+def stream_left_join_early(spark, sf):
+    """Order lines that go out padded at once and again when their activity comes, several micro-batches later."""
+    session = streaming_session(spark)
+    changes = _changes(spark, sf)
+    # Few lines of the test tables share an id; one activity each, so that their last revision is one.
+    activities = select_table(changes, "order_detail_activity", schemas.ORDER_ACTIVITY_FIELDS, ["insert"]).groupBy("order_detail_id").agg(
+        *[F.max(c).alias(c) for c in ("activity_id", "activity_rule_id")])
+    folder = work_folder(spark, "early")
+    sides = []
+    for name, rows, files in (("lines", _lines(changes), 16), ("activities", activities, 1)):
+        rows.write.parquet(f"{folder}/{name}")
+        sides.append(session.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/{name}"))
+    jobs.start_waiting_join(*sides, [("id", "order_detail_id")], f"{folder}/out", f"{folder}/checkpoint", ["id"],
+                            ttl=24 * 3600).awaitTermination()
+    return read_latest(spark, f"{folder}/out", ["id"], ["revision"]).drop("revision")
+
+
+def stream_unrouted(spark, sf):
+    """What the dimension job sets aside because no configuration names its table; the configuration is read on from its log."""
+    session = streaming_session(spark)
+    root = work_folder(spark, "dimensions")
+    feeds.config_changes(spark).write.parquet(f"{root}/log")
+    events = lambda: session.readStream.schema(feeds.config_changes(spark).schema).parquet(f"{root}/log")
+    changes = _landed(spark, session, feeds.master_changes(spark, sf), files=4)
+    jobs.start_dimensions(changes, ConfigLog(session, events, f"{root}/config"), f"{root}/out", f"{root}/checkpoint",
+                          rejects=f"{root}/rejects").awaitTermination()
+    rows = spark.read.parquet(f"{root}/rejects/rows").filter(F.col("outcome") == UNROUTED)
+    return rows.filter(F.col("type").isin(*schemas.KEPT_TYPES)).select("table", cdc.data("id").alias("id"))
+
+
+def _dirty_change_texts(spark, sf):
+    """The order events of a change log as text; of each 97 orders one text is broken and one has no time."""
+    rows = _changes(spark, sf).filter((F.col("table") == "order_info") & (F.col("type") == "insert"))
+    number = cdc.data("id").cast("long") % 97
+    text = feeds.as_text(rows.withColumn("ts", F.when(number == 5, "soon").otherwise(F.col("ts"))).withColumn("number", number), keep=["number"])
+    return text.select(F.when(F.col("number") == 7, F.concat(F.lit("{"), "value")).otherwise(F.col("value")).alias("value"))
+
+
+def changes_dirty(spark, sf):
+    """Texts landed in one pass: how many came out as what, and what the faulty ones say."""
+    session = streaming_session(spark)
+    folder = work_folder(spark, "change-texts")
+    _dirty_change_texts(spark, sf).write.text(f"{folder}/log")
+    log = read_log(session, "text", path=f"{folder}/log", maxFilesPerTrigger=4)
+    jobs.start_changes(log, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    good = jobs.landed_changes(spark, f"{folder}/out").select(F.lit("change").alias("outcome"), cdc.data("id").alias("id"))
+    faulty = jobs.faulty_changes(spark, f"{folder}/out").select("outcome", F.regexp_extract("value", '"id":"([0-9]+)"', 1).alias("id"))
+    return union_all(good, faulty)
+
+
+def logged_records(spark, sf):
+    """The behaviour log written to a topic folder and read back by its reader, as a batch."""
+    folder = work_folder(spark, "log")
+    feeds.log_text(spark, sf).select("value").write.text(folder)
+    rows = read_log(spark, "text", streaming=False, path=folder)
+    return rows.select(F.get_json_object("value", "$.common.mid").alias("mid"), F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+
+
+def looked_up(spark, sf):
+    """The nations as a dictionary in a file, read by its reader and joined to the suppliers."""
+    folder = work_folder(spark, "dictionary")
+    feeds.table(spark, sf, "nation").selectExpr("cast(n_nationkey as string) as dic_code", "n_name as dic_name").write.parquet(folder)
+    names = RefreshingLookup(lambda: read_lookup(spark, "parquet", ["dic_code", "dic_name"], path=folder))
+    suppliers = feeds.table(spark, sf, "supplier").selectExpr("s_suppkey", "cast(s_nationkey as string) as code")
+    return lookup_join(suppliers, names(), "code", {"dic_name": "nation"})
+
+
 def stream_dimensions(spark, sf):
     session = streaming_session(spark)
     root, checkpoint = work_folder(spark, "dimensions"), work_folder(spark, "checkpoint")
@@ -570,6 +679,9 @@ QUERIES = {
     "read_changes": changes_from_text,
     "read_config_changes": config_from_text,
     "read_detail": detail_from_text,
+    "read_log": logged_records,
+    "read_lookup": looked_up,
+    "changes_dirty": changes_dirty,
     # sinks
     "upsert_dimensions": upserted_dimensions,
     "write_upsert": upserted_orders,
@@ -585,6 +697,10 @@ QUERIES = {
     "stream_retained_join": stream_retained_join,
     "stream_log_split": stream_log_split,
     "stream_log_dirty": stream_log_dirty,
+    "stream_order_wide": stream_order_wide,
+    "stream_payment_success": stream_payment_success,
+    "stream_left_join_early": stream_left_join_early,
+    "stream_unrouted": stream_unrouted,
     "stream_order_refund": stream_order_refund,
     "stream_refund_success": stream_refund_success,
     "stream_dimensions": stream_dimensions,

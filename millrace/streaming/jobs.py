@@ -93,9 +93,29 @@ def start_dimensions(changes, read_config, root, checkpoint, writer="main", orde
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def _start_flow(flow, rows, dictionary, target, checkpoint, keys=None, writer="main", trigger=None, **options):
+    """Write a joined flow. ``dictionary`` is a frame that ``rows`` were made with, or a function that returns one
+    (``RefreshingLookup``): the join then carries codes, and each micro-batch gets its names from the dictionary in force when
+    it is written, in a folder of its own under ``target`` (``write_batch``)."""
+    if not callable(dictionary):
+        return write_upsert(rows, target, keys, checkpoint, trigger=trigger, **options)
+
+    def write(batch, batch_id):
+        write_batch(flows.with_names(flow, batch, dictionary()), target, batch_id, writer, **options)
+
+    return (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def _fixed(dictionary):
+    """The dictionary that a flow itself joins, if it is one frame for the life of the query."""
+    return None if callable(dictionary) else dictionary
+
+
 def start_order_wide(changes, dictionary, target, checkpoint, ttl=S.ORDER_JOIN_TTL, delay="0 seconds", **options):
     """The wide order table as a changelog; ``read_latest`` by id gives its current rows."""
-    return write_upsert(flows.order_wide(changes, dictionary, ttl, delay), target, ["id"], checkpoint, **options)
+    return _start_flow("order_wide", flows.order_wide(changes, _fixed(dictionary), ttl, delay), dictionary, target, checkpoint, ["id"],
+                       **options)
 
 
 def start_order_detail(wide, target, checkpoint, **options):
@@ -124,17 +144,18 @@ def start_cart_add(changes, dictionary, target, checkpoint, writer="main", trigg
 def start_payment_success(changes, detail, dictionary, target, checkpoint, ttl=S.PAYMENT_JOIN_TTL,
                           delay="0 seconds", **options):
     """Paid lines; ``detail`` streams the output of ``start_order_detail``."""
-    paid = flows.payment_success(changes, detail, dictionary, ttl, delay)
-    return write_upsert(paid, target, ["order_detail_id"], checkpoint, **options)
+    paid = flows.payment_success(changes, detail, _fixed(dictionary), ttl, delay)
+    return _start_flow("payment_success", paid, dictionary, target, checkpoint, ["order_detail_id"], **options)
 
 
 def start_order_refund(changes, dictionary, target, checkpoint, ttl=S.ORDER_JOIN_TTL, delay="0 seconds", **options):
-    return write_append(flows.order_refund(changes, dictionary, ttl, delay), target, checkpoint, **options)
+    return _start_flow("order_refund", flows.order_refund(changes, _fixed(dictionary), ttl, delay), dictionary, target, checkpoint, **options)
 
 
 def start_refund_success(changes, dictionary, target, checkpoint, ttl=S.ORDER_JOIN_TTL, delay="0 seconds",
                          types=None, **options):
-    return write_append(flows.refund_success(changes, dictionary, ttl, delay, types), target, checkpoint, **options)
+    paid = flows.refund_success(changes, _fixed(dictionary), ttl, delay, types)
+    return _start_flow("refund_success", paid, dictionary, target, checkpoint, **options)
 
 
 #: Keys that dirty records are dealt to on their way past the visitors' state.
