@@ -31,9 +31,7 @@ MISSED = 1e-7
 #: Pairs of one set that a task compares at a time.
 SLICE_PAIRS = 512
 #: Shingles that a block of a family holds, about; one set is never cut.
-BLOCK_SHINGLES = 1 << 18
-#: Sketches up to which a list that stays mixed is worked through pair by pair.
-SHORT = 32
+BLOCK_SHINGLES = 1 << 17
 
 _U = np.uint64
 
@@ -202,7 +200,7 @@ class _Run:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.count = 0
-        self.links = self.tested = None
+        self.links = None
 
     def kept(self, df, name):
         self.count += 1
@@ -222,13 +220,8 @@ class _Run:
         return rows.repartition(self.parts, "a", "slice").sortWithinPartitions("a", "slice", "kind")
 
     def compare(self, pairs):
-        """Candidate pairs (``a, b``) that were not compared before, filtered by their estimate."""
-        pairs = pairs.filter("a <> b").select("a", "b").distinct()
-        if self.tested is not None:
-            turned = self.tested.select(F.col("b").alias("a"), F.col("a").alias("b"))
-            pairs = pairs.join(self.tested.union(turned), ["a", "b"], "left_anti")
-        pairs = self.kept(pairs, "pairs")
-        self.tested = pairs if self.tested is None else self.tested.union(pairs)
+        """Verify candidate pairs (``a, b``) that their estimate lets pass."""
+        pairs = self.kept(pairs.distinct(), "pairs")
         met = self.dealt(pairs).join(self.sketches, "h").select("a", "slice", "kind", F.col("h").alias("b"), "n", "sketch")
         self.verify(self.kept(self.in_order(met).mapInArrow(_compare, PAIRS), "estimated"))
 
@@ -248,11 +241,11 @@ class _Run:
         whole = described.filter(F.col("sketch").isNotNull())
         values = whole.select("h", "n", "sketch").mapInArrow(_values, "v long, h long, n int")
         for again in range(2):  # sketches that leave make more values single
-            lists = values.groupBy("v").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.count("*").alias("size"))
-            shared = lists.filter("lo <> hi").select("v", "size")
+            # At first a set that two tasks have described counts twice; that only keeps a value that no other set has.
+            shared = values.groupBy("v").agg(F.count("*").alias("size")).filter("size > 1")
             # A set, for tasks may have described the same set; the sizes only order the lists.
             own = F.array_sort(F.collect_set(F.struct("size", "v"))).alias("own")
-            ranked = values.join(shared, "v").groupBy("h", "n").agg(own)
+            ranked = values.join(shared.hint("merge"), "v").groupBy("h", "n").agg(own)
             ranked = ranked.withColumn("need", _needed(F.col("n"))).filter(F.size("own") >= F.col("need"))
             if not again:
                 values = self.kept(ranked.select("h", "n", F.explode("own.v").alias("v")), "shared")
@@ -262,38 +255,26 @@ class _Run:
         return self.kept(rows.join(each, "v").select("list", "size", "h", "n").distinct(), "lists")
 
     def star(self, members):
-        """Compare the most central sketch of each list with the others; if components are known, the most central one outside
-        the component of the most central, with all others of other components."""
-        best = F.max(F.struct("weight", "h", "n", "component")).alias("top")
-        centre = members.groupBy("list", "size").agg(best)
-        if self.links is not None:
-            other = members.join(centre.select("list", "size", F.col("top.component").alias("first")), ["list", "size"])
-            centre = other.filter("component <> first").groupBy("list", "size").agg(best)
-        centre = centre.select("list", "size", F.col("top.h").alias("a"), F.col("top.n").alias("na"), F.col("top.component").alias("ca"))
-        pairs = members.join(centre, ["list", "size"]).filter(_sizes_fit("na", "n") & (F.col("ca") != F.col("component")))
+        """Compare the most central sketch of each list with the others."""
+        centre = members.groupBy("list", "size").agg(F.max(F.struct("weight", "h", "n")).alias("top"))
+        centre = centre.select("list", "size", F.col("top.h").alias("a"), F.col("top.n").alias("na"))
+        pairs = members.join(centre, ["list", "size"]).filter(_sizes_fit("na", "n") & (F.col("a") != F.col("h")))
         self.compare(pairs.select("a", F.col("h").alias("b")))
 
     def mixed(self, members):
         """Members of the lists whose sketches are not yet all in one component, with their component."""
-        placed = members.drop("component").join(self.classes, F.col("h") == F.col("node"), "left").drop("node")
+        placed = members.join(self.classes, F.col("h") == F.col("node"), "left").drop("node")
         placed = placed.withColumn("component", F.coalesce("component", "h"))
         ends = placed.groupBy("list", "size").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         ends = ends.filter("lo <> hi").select("list", "size")
         return self.kept(placed.join(ends, ["list", "size"], "left_semi"), "mixed")
 
     def rest(self, members):
-        """All pairs of different components within the lists that are still mixed: a short list's are compared one by one; longer
-        ones make up families, whose sets outside the largest component are dealt to blocks and visited by the family."""
-        short = members.filter(F.col("size") <= SHORT).select("list", "size", "h", "n", "component")
-        turned = short.withColumnsRenamed({"h": "a", "n": "na", "component": "ca"})
-        pairs = turned.join(short, ["list", "size"]).filter((F.col("a") < F.col("h")) & (F.col("ca") != F.col("component")))
-        self.compare(pairs.filter(_sizes_fit("na", "n")).select("a", F.col("h").alias("b")))
-        long = members.filter(F.col("size") > SHORT)
+        """All pairs of different components within the lists that are still mixed. These make up families, whose sets outside
+        the largest component are dealt to blocks and visited by the family."""
         # Lists of one most central sketch are one family, so that its pairs meet once, not in every list that they share.
-        centre = long.groupBy("list", "size").agg(F.max(F.struct("weight", "h")).getField("h").alias("family"))
-        family = self.kept(long.join(centre, ["list", "size"]).select("family", "h", "n", "component").distinct(), "families")
-        if family.isEmpty():
-            return
+        centre = members.groupBy("list", "size").agg(F.max(F.struct("weight", "h")).getField("h").alias("family"))
+        family = self.kept(members.join(centre, ["list", "size"]).select("family", "h", "n", "component").distinct(), "families")
         shares = family.groupBy("family", "component").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
         top = shares.groupBy("family").agg(F.max(F.struct("c", "component", "n")).alias("top"), F.sum("n").alias("all"))
         blocks = F.ceil((F.col("all") - F.col("top.n")) / BLOCK_SHINGLES).cast("int")
@@ -324,16 +305,14 @@ class _Run:
         self.nodes = self.kept(full.groupBy("h").agg(F.min("doc_id").alias("doc")), "nodes")
         members = self.lists(described)
         weights = members.groupBy("h").agg(F.sum("size").alias("weight"))
-        members = self.kept(members.join(weights, "h").withColumn("component", F.col("h")), "members")
+        members = self.kept(members.join(weights, "h"), "members")
         wanted = members.select("h").distinct()
         sketches = described.filter(F.col("sketch").isNotNull()).join(wanted, "h", "left_semi")
         self.sketches = self.kept(sketches.select("h", "n", "sketch").dropDuplicates(["h"]), "sketches")
         self.star(members)
-        for step in (self.star, self.rest):
-            members = self.mixed(members)
-            if members.isEmpty():
-                break
-            step(members)
+        members = self.mixed(members)
+        if not members.isEmpty():
+            self.rest(members)
         placed = self.nodes.join(self.classes, F.col("h") == F.col("node"), "left").select(
             "h", "doc", F.coalesce("component", "h").alias("component"))
         least = placed.groupBy("component").agg(F.min("doc").alias("least"))
