@@ -26,15 +26,14 @@ def measure(strings, run_limits=RUN_LIMITS, line_limit=LINE_LIMIT):
     texts = spans.Texts(strings)
     n = texts.n
     starts, ends, text = texts.words()
-    points = texts.code_points()
-    chars = points[ends] - points[starts]
+    chars = texts.code_points(starts, ends)
     hashes = spans.SpanHasher.of_bytes(texts.data)(starts, ends)
     per_text = lambda mask, weight=None: np.bincount(
         text[mask], None if weight is None else weight[mask], n).astype(np.int64)
     everything = np.ones(len(text), dtype=bool)
     out = {"n_words": per_text(everything), "word_chars": per_text(everything, chars)}
-    marks = np.concatenate(([0], np.cumsum(SYMBOLS[texts.data])))
-    out["n_symbols"] = marks[texts.ends] - marks[texts.starts]
+    marks = np.flatnonzero(SYMBOLS[texts.data])
+    out["n_symbols"] = np.searchsorted(marks, texts.ends) - np.searchsorted(marks, texts.starts)
 
     line_starts, line_ends, line_text = texts.lines()
     full = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)

@@ -2,16 +2,19 @@
 
 A word is ``[^\\x20\\x09-\\x0D]+``; all its separators are ASCII, so words are found in UTF-8 without
 decoding. Texts are taken from Arrow batches in chunks of bounded bytes; a text longer than that is a
-chunk of its own, whole.
+chunk of its own, whole, and hashed block by block.
 """
 
+import ctypes
 import functools
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
+#: Values that are hashed at a time.
+HASH_BLOCK = 1 << 18
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -31,40 +34,61 @@ def _byte_values(seed):
     return mix(np.arange(1, 257, dtype=_U) * _U(0xD6E8FEB86659FD93) + _U(seed))
 
 
-_powers = {}
-
-
-def _base_powers(seed, n):
-    """Powers of an odd base and of its inverse, at least ``n`` of them."""
-    known = _powers.get(seed)
-    if known is None or len(known[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        base = int(mix(np.array([_BASE + _U(seed)], dtype=_U))[0]) | 1
-        pair = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            steps = np.full(size, b, dtype=_U)
-            steps[0] = 1
-            pair.append(np.multiply.accumulate(steps))
-        known = _powers[seed] = tuple(pair)
-    return known
+@functools.cache
+def _base_powers(seed):
+    """Powers of an odd base and of its inverse, as many as a block has values, and the base's power that leads to the next
+    block."""
+    base = int(mix(np.array([_BASE + _U(seed)], dtype=_U))[0]) | 1
+    pair = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        steps = np.full(HASH_BLOCK + 1, b, dtype=_U)
+        steps[0] = 1
+        pair.append(np.multiply.accumulate(steps))
+    return *pair, pow(base, HASH_BLOCK, 1 << 64)
 
 
 class SpanHasher:
-    """64-bit hashes of any spans of one array of small integers, from one pass over it."""
+    """64-bit hashes of spans of one array of small integers. Spans are given in order: neither their starts nor their ends
+    fall. Works through the array block by block, so memory beyond the spans' own is bounded, however long one is."""
 
-    def __init__(self, values, seed=0):
-        self.up, self.down = _base_powers(seed, len(values) + 1)
-        terms = values * self.up[:len(values)]
-        self.prefix = np.zeros(len(values) + 1, dtype=_U)
-        np.cumsum(terms, out=self.prefix[1:])
+    def __init__(self, values, seed=0, table=None):
+        self.values, self.seed, self.table = values, seed, table
 
     @classmethod
     def of_bytes(cls, data, seed=0):
-        return cls(_byte_values(seed)[data], seed)
+        return cls(data, seed, _byte_values(seed))
+
+    def _at(self, start, end):
+        part = self.values[start:end]
+        return part.astype(_U, copy=False) if self.table is None else self.table[part]
+
+    def _long(self, start, end):
+        """Hash of one span, piece by piece."""
+        up, _, onward = _base_powers(self.seed)
+        total, step = 0, 1
+        for at in range(start, end, HASH_BLOCK):
+            part = self._at(at, min(at + HASH_BLOCK, end))
+            total += int((part * up[:len(part)]).sum(dtype=_U)) * step
+            step = step * onward % (1 << 64)
+        return _U(total % (1 << 64))
 
     def __call__(self, starts, ends):
-        h = (self.prefix[ends] - self.prefix[starts]) * self.down[starts]
-        return mix(h + (ends - starts).astype(_U) * _BASE)
+        out = np.empty(len(starts), dtype=_U)
+        up, down, _ = _base_powers(self.seed)
+        first = 0
+        while first < len(starts):
+            low = int(starts[first])
+            last = max(int(np.searchsorted(ends, low + HASH_BLOCK, side="right")), first + 1)
+            high = int(ends[last - 1])
+            if high - low > HASH_BLOCK:
+                out[first] = self._long(low, high)
+            else:
+                prefix = np.zeros(high - low + 1, dtype=_U)
+                np.cumsum(self._at(low, high) * up[:high - low], out=prefix[1:])
+                begin = starts[first:last] - low
+                out[first:last] = (prefix[ends[first:last] - low] - prefix[begin]) * down[begin]
+            first = last
+        return mix(out + (ends - starts).astype(_U) * _BASE)
 
 
 class Texts:
@@ -96,11 +120,10 @@ class Texts:
         starts = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
         return starts, ends, np.searchsorted(self.starts, starts, side="right") - 1
 
-    def code_points(self):
-        """Prefix counts of code points: those of a span are ``c[end] - c[start]``."""
-        c = np.zeros(len(self.data) + 1, dtype=np.int64)
-        np.cumsum((self.data & 0xC0) != 0x80, out=c[1:])
-        return c
+    def code_points(self, starts, ends):
+        """Code points of spans: their bytes less those that continue a code point."""
+        more = np.flatnonzero((self.data & 0xC0) == 0x80)
+        return ends - starts - (np.searchsorted(more, ends) - np.searchsorted(more, starts))
 
 
 def windows(hashes, text, n):
@@ -140,15 +163,33 @@ def covered(at, n, size):
     return np.cumsum(steps[:-1]) > 0
 
 
+@functools.cache
+def _trim():
+    """The C library's call that gives freed memory back, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: None
+
+
+def release():
+    """Give freed memory back to the system: a worker process is used again for other stages."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def chunks(batches, column="text", limit=CHUNK_BYTES):
     """(rows as an Arrow batch, their texts) in pieces of about ``limit`` bytes; a null text counts as empty."""
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        total = np.cumsum(lengths)
-        first = 0
-        while first < len(lengths):
-            before = total[first - 1] if first else 0
-            last = max(int(np.searchsorted(total, before + limit, side="right")), first + 1)
-            rows = batch.slice(first, last - first)
-            yield rows, rows.column(column).to_pylist()
-            first = last
+    try:
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+            total = np.cumsum(lengths, dtype=np.int64)
+            first = 0
+            while first < len(lengths):
+                before = total[first - 1] if first else 0
+                last = max(int(np.searchsorted(total, before + limit, side="right")), first + 1)
+                rows = batch.slice(first, last - first)
+                yield rows, rows.column(column).to_pylist()
+                first = last
+    finally:
+        release()
