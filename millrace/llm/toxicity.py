@@ -118,19 +118,23 @@ def fit_weights(rows, labels, ratios, toxic_share, steps=600, rate=0.1, ridge=1e
 def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS):
     """(n-gram numbers, their weights times ratios, intercept) of a model learnt from at most ``rows_per_class`` whole
     texts of each class. Ids with crc32(id as text) mod 5 = 0 are never learnt from. A document with several labels is
-    toxic if one says so. Without both classes the score is the share of toxic labels, smoothed."""
+    toxic if one says so. Where the labels, or the labelled texts that are there, are of one class only, the score is the share of
+    toxic labels, smoothed, and below one half if there are none."""
     spark = docs.sparkSession
     sample, counts = _sample(docs, labels, rows_per_class)
     n_clean, n_toxic = counts.get(0, 0), counts.get(1, 0)
-    prior = np.log((n_toxic + 1) / (n_clean + 1))
+    # Without labels the score lies below one half: nothing speaks against a document.
+    unlearnt = np.empty(0, np.int64), np.empty(0), float(np.log((n_toxic + 1) / (n_clean + 2)))
     if not n_clean or not n_toxic:
-        return np.empty(0, np.int64), np.empty(0), float(prior)
+        return unlearnt
     folder = work_folder(spark, "toxicity-sample")
     sample.repartition(spark.sparkContext.defaultParallelism).mapInArrow(
         _gram_rows, "toxic int, grams array<int>").write.parquet(folder)
     texts = spark.read.parquet(folder)
     texts_of = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    total = {c: max(texts_of.get(c, 0), 1) for c in (0, 1)}
+    if not texts_of.get(0) or not texts_of.get(1):
+        return unlearnt  # labels of documents that are not there
+    total = texts_of
     seen = texts.mapInArrow(_gram_counts, "gram int, clean long, toxic long").groupBy("gram").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # Log ratio of the shares of toxic and clean texts with the n-gram, and its standard error.
