@@ -1,7 +1,8 @@
 """WARC files and a Merkle fixity audit of their replicas.
 
-Records and ordered ranges of records are hashed into a tree per file, and the files' roots into one tree above. Two
-replicas with equal roots are equal; else only branches that differ are descended, down to the records.
+Records and ordered ranges of records are hashed into a tree per file, and the files' roots into one tree above. The
+catalogue keeps each record's digest as it was written, and so has a tree of its own: a replica whose root equals its
+root is sound, and two damaged ones cannot agree unnoticed. Else only branches that differ are descended, down to the records.
 """
 
 import gzip
@@ -17,16 +18,18 @@ from millrace.llm import shared_files
 FANOUT = 16
 #: Bytes after which a WARC file is closed; a longer record is a file of its own.
 FILE_BYTES = 32 << 20
-CATALOGUE = "file_no long, file string, record long, page_id long, offset long, length long, n_bytes long"
+CATALOGUE = ("file_no long, file string, record long, page_id long, offset long, length long, n_bytes long, digest binary, "
+             "last boolean")
 LEAVES = "file_no long, node long, digest binary"
 READ_BYTES = 4 << 20
 
 
-def record(page_id, url, html):
-    """One WARC resource record. A null url or page is written empty; the record id follows from the content's."""
+def record(page_id, url, html, place=""):
+    """One WARC resource record. A null url or page is written empty; the record id follows from the page's id and url and
+    from the record's ``place``, so that repeated rows have ids of their own."""
     body = html if html is not None else b""
     target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id} {target}")
+    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id} {place} {target}")
     head = (f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:{name}>\r\nWARC-Target-URI: {target}\r\n"
             "WARC-Date: 1970-01-01T00:00:00Z\r\nContent-Type: text/html\r\n"
             f"Content-Length: {len(body)}\r\n\r\n")
@@ -43,19 +46,21 @@ def _write(batches, folder):
         nonlocal number, held, size, rows
         name = files.write(b"".join(held))
         out = pa.RecordBatch.from_pylist(
-            [{"file_no": (task << 32) | number, "file": name, **row} for row in rows],
+            [{"file_no": (task << 32) | number, "file": name, **row, "last": i == len(rows) - 1} for i, row in enumerate(rows)],
             pa.schema([("file_no", pa.int64()), ("file", pa.string()), ("record", pa.int64()), ("page_id", pa.int64()),
-                       ("offset", pa.int64()), ("length", pa.int64()), ("n_bytes", pa.int64())]))
+                       ("offset", pa.int64()), ("length", pa.int64()), ("n_bytes", pa.int64()), ("digest", pa.binary()),
+                       ("last", pa.bool_())]))
         number, held, size, rows = number + 1, [], 0, []
         return out
 
     for batch in batches:
         for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
-            raw = record(page_id, url, html.encode() if html is not None else None)
+            raw = record(page_id, url, html.encode() if html is not None else None, f"{task} {number} {len(rows)}")
             member = gzip.compress(raw, mtime=0)
             if held and size + len(member) > FILE_BYTES:
                 yield flush()
-            rows.append({"record": len(rows), "page_id": page_id, "offset": size, "length": len(member), "n_bytes": len(raw)})
+            rows.append({"record": len(rows), "page_id": page_id, "offset": size, "length": len(member), "n_bytes": len(raw),
+                         "digest": hashlib.sha256(member).digest()})
             held.append(member)
             size += len(member)
     if held:
@@ -64,8 +69,9 @@ def _write(batches, folder):
 
 def write_warc(pages: DataFrame, folder: str) -> DataFrame:
     """Write ``pages`` (``page_id``, ``url``, ``html``) as they come as WARC files, each record a gzip member, to ``folder``;
-    return the catalogue of their records (``file_no, file, record, page_id, offset, length, n_bytes``; ``n_bytes`` before
-    compression), also written there. Nothing is shuffled.
+    return the catalogue of their records (``file_no, file, record, page_id, offset, length, n_bytes, digest, last``; ``n_bytes``
+    before compression, ``digest`` the sha256 of the record's bytes in the file, ``last`` in its file), also written there.
+    Nothing but the catalogue is shuffled.
 
     Every row is a record: repeated rows too, and null ids. Other columns are ignored; no pages give no files."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
@@ -98,7 +104,7 @@ def _copy(batches, source, target):
                     yield finish()
                 name = row["file"]
                 draft = f"{path}/{name}.{uuid.uuid4().hex}"
-                opened, out = shared_files.open_file(source, name), store.open_output_stream(draft)
+                opened, out = shared_files.open_file(source, name), store.open_output_stream(draft, compression=None)
             raw = opened.read(row["length"])
             if row["harm"] and raw:
                 at = len(raw) // 2
@@ -123,12 +129,12 @@ def _hash_records(batches, folder):
     def read(file, offset, length):
         digest = hashlib.sha256()
         file.seek(offset)
-        while length:
-            part = file.read(min(length, READ_BYTES))
+        while length is None or length:
+            part = file.read(READ_BYTES if length is None else min(length, READ_BYTES))
             if not part:
                 break
             digest.update(part)
-            length -= len(part)
+            length = None if length is None else length - len(part)
         return digest.digest()
 
     for batch in batches:
@@ -142,7 +148,8 @@ def _hash_records(batches, folder):
                     file = shared_files.open_file(folder, name) if name else None
                 except OSError:
                     file = None
-            digest = read(file, row["offset"], row["length"]) if file else b""
+            # The last record goes to the end of the file, so that surplus bytes show.
+            digest = read(file, row["offset"], None if row["last"] else row["length"]) if file else b""
             out.append((row["file_no"], row["record"], digest))
         if file:
             file.close()
@@ -152,11 +159,12 @@ def _hash_records(batches, folder):
 
 
 def leaves(catalogue: DataFrame, folder: str) -> DataFrame:
-    """``file_no, node, digest`` (sha256) of every catalogued range, read from a replica's folder in bounded pieces. What
-    is missing is hashed as far as it is there; records of a missing file have the empty digest."""
+    """``file_no, node, digest`` (sha256) of every catalogued range, read from a replica's folder in bounded pieces; the last
+    one of a file to the file's end. What is missing is hashed as far as it is there; records of a missing file have the
+    empty digest."""
     # A catalogue is small beside its files: without a number adaptive execution would give them to few tasks.
     parts = int(catalogue.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = catalogue.select("file_no", "file", "record", "offset", "length").repartitionByRange(parts, "file_no", "record")
+    spread = catalogue.select("file_no", "file", "record", "offset", "length", "last").repartitionByRange(parts, "file_no", "record")
     return spread.sortWithinPartitions("file_no", "record").mapInArrow(lambda b: _hash_records(b, folder), LEAVES)
 
 
@@ -199,28 +207,41 @@ def _steps(records_per_file, n_files):
 
 
 def audit(catalogue: DataFrame, first: str, second: str, folder: str) -> DataFrame:
-    """The rows of the catalogue whose records' bytes differ between the replicas
-    in the folders ``first`` and ``second``; empty if the roots agree.
+    """The rows of the catalogue whose records are not in the replicas' folders ``first`` or ``second`` as they were written,
+    with ``first_wrong`` and ``second_wrong``; empty if all roots agree.
 
-    Trees are written under ``folder``.
-    A level is compared only below the nodes that differ above it. No catalogued records give an empty result.
+    Trees are written under ``folder``, and what differs after each level, so a level's plan does not hold those above. A
+    level is compared only below the nodes that differ above it. No catalogued records give an empty result.
     """
+    spark = catalogue.sparkSession
     facts = catalogue.agg(F.max("record").alias("r"), F.max("file_no").alias("f")).first()
     if facts["r"] is None:
-        return catalogue
+        return catalogue.withColumns({"first_wrong": F.lit(True), "second_wrong": F.lit(True)})
     per_file, n_files = facts["r"] + 1, facts["f"] + 1
-    mine = tree(leaves(catalogue, first), f"{folder}/first", per_file, n_files)
-    theirs = tree(leaves(catalogue, second), f"{folder}/second", per_file, n_files)
-    steps = [*_steps(per_file, n_files), None]
+    written = catalogue.select("file_no", F.col("record").alias("node"), "digest")
+    truth = tree(written, f"{folder}/written", per_file, n_files)
+    found = None
+    for name, replica in (("first", first), ("second", second)):
+        own = tree(leaves(catalogue, replica), f"{folder}/{name}", per_file, n_files)
+        wrong = _descend(spark, truth, own, _steps(per_file, n_files), f"{folder}/{name}-wrong").select(
+            "file_no", F.col("node").alias("record"), F.lit(True).alias(f"{name}_wrong"))
+        found = wrong if found is None else found.join(wrong, ["file_no", "record"], "full")
+    both = found.select("file_no", "record", *[F.coalesce(f"{n}_wrong", F.lit(False)).alias(f"{n}_wrong") for n in ("first", "second")])
+    return catalogue.join(both, ["file_no", "record"])
+
+
+def _descend(spark, truth, own, steps, folder):
+    """Records (``file_no, node``) whose digests differ, found from the roots down by branches that do."""
     wrong = None
-    for a, b, over_files in reversed(list(zip(mine, theirs, steps, strict=True))):
+    for i, (a, b, over_files) in reversed(list(enumerate(zip(truth, own, [*steps, None], strict=True)))):
         if wrong is not None:
             a, b = (_below(level, wrong, over_files) for level in (a, b))
-        both = a.join(b.withColumnRenamed("digest", "__other"), ["file_no", "node"])
-        wrong = both.filter(F.col("digest") != F.col("__other")).select("file_no", "node")
-        if over_files is None and wrong.isEmpty():
-            return catalogue.limit(0)
-    return catalogue.join(wrong.withColumnRenamed("node", "record"), ["file_no", "record"], "left_semi")
+        both = a.join(b.withColumnRenamed("digest", "found"), ["file_no", "node"])
+        both.filter(F.col("digest") != F.col("found")).select("file_no", "node").write.parquet(f"{folder}-{i}")
+        wrong = spark.read.schema("file_no long, node long").parquet(f"{folder}-{i}")
+        if wrong.isEmpty():
+            break
+    return wrong
 
 
 def _below(level, wrong, over_files):

@@ -95,7 +95,7 @@ def op6_warc_fixity(spark, sf_dir):
     catalogue = fixity.write_warc(pages, f"{folder}/a")
     fixity.copy_files(catalogue, f"{folder}/a", f"{folder}/b", harm=F.col("page_id") % 97 == 13)
     found = fixity.audit(catalogue, f"{folder}/a", f"{folder}/b", f"{folder}/trees")
-    return found.select("page_id", "n_bytes")
+    return found.filter("second_wrong AND NOT first_wrong").select("page_id", "n_bytes")
 
 
 # All of a record but its url, its page and the digits of its length is the same for every page.

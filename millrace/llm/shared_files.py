@@ -22,7 +22,7 @@ class Files:
 
     def write(self, payload):
         name = f"{uuid.uuid4().hex}{self.suffix}"
-        with self.store.open_output_stream(f"{self.path}/{name}") as out:
+        with self.store.open_output_stream(f"{self.path}/{name}", compression=None) as out:  # as given, whatever the name
             out.write(payload)
         return name
 
