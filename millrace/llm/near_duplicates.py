@@ -34,6 +34,8 @@ BAND_RATIO = 1.4
 SMALL_BUCKET = 32
 #: Pairs of one set that a task verifies at a time.
 SLICE_PAIRS = 256
+#: Shingles that a block of a family holds, about; one set is never cut.
+BLOCK_SHINGLES = 1 << 18
 #: Longs up to which the choice of texts to read is broadcast (24 MB); beyond it is a shuffled join.
 BROADCAST_LONGS = 3_000_000
 
@@ -232,6 +234,44 @@ def _verify(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
 
+def _wholes(batches):
+    """Whole sets of the chosen nodes' texts."""
+    for batch in batches:
+        for doc, n, h, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "h", "text")), strict=True):
+            own = sets([text])[0]
+            if (len(own), name_of(own)) == (n, h):
+                yield pa.RecordBatch.from_arrays([pa.array([doc]), pa.array([own.tobytes()])], ["doc", "whole"])
+
+
+def _within(batches):
+    """Linked pairs between a block of a family (kind 0) and all of the family (kind 1), of different components: what two
+    sets share is counted by inverting the block."""
+    key, held, index = None, [], None
+    for batch in batches:
+        found = []
+        for family, part, kind, doc, component, whole in zip(
+                *(batch.column(c).to_pylist() for c in ("family", "slice", "kind", "doc", "component", "whole")), strict=True):
+            if (family, part) != key:
+                key, held, index = (family, part), [], None
+            own = np.frombuffer(whole, _U)
+            if kind == 0:
+                held.append((doc, component, own))
+                continue
+            if index is None:
+                values = np.concatenate([x[2] for x in held])
+                order = np.argsort(values, kind="stable")
+                sizes = np.array([len(x[2]) for x in held])
+                index = values[order], np.repeat(np.arange(len(held)), sizes)[order]
+                docs, places = np.array([x[0] for x in held]), np.array([x[1] for x in held])
+            lo, hi = np.searchsorted(index[0], own, "left"), np.searchsorted(index[0], own, "right")
+            met = np.concatenate([index[1][i:j] for i, j in zip(lo.tolist(), hi.tolist(), strict=True)])
+            both = np.bincount(met, minlength=len(held))
+            for i in np.flatnonzero((WHOLE * both >= PART * (sizes + len(own) - both)) & (places != component)):
+                found.append((min(doc, int(docs[i])), max(doc, int(docs[i]))))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+
+
 class _Join:
     """One run: its folder, tables and verified pairs."""
 
@@ -250,10 +290,10 @@ class _Join:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def texts(self, chosen):
-        """``doc, n, h, text`` of the chosen nodes (``doc, n, h`` and more)."""
-        longs = F.lit(5) + (F.size("skipped") if "skipped" in chosen.columns else 0)
+        """``doc, n, h, text`` of the chosen nodes (``doc, n, h, at`` and more)."""
+        longs = F.lit(6) + (F.size("skipped") if "skipped" in chosen.columns else 0)
         few = (chosen.agg(F.sum(longs)).first()[0] or 0) <= BROADCAST_LONGS
-        return self.docs.join(F.broadcast(chosen) if few else chosen, F.col("doc_id") == F.col("doc")).drop("doc_id")
+        return self.docs.join(F.broadcast(chosen) if few else chosen, F.col("doc_id") == F.col("at")).drop("doc_id", "at")
 
     def verify(self, pairs):
         """Verify candidate pairs (``a, b``) that were not tested before, and add the links found."""
@@ -267,7 +307,7 @@ class _Join:
         dealt = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int")).select("a", "slice", "b")
         centres = dealt.select("a", "slice").distinct().withColumns({"kind": F.lit(0), "b": F.col("a")})
         wanted = dealt.withColumn("kind", F.lit(1)).unionByName(centres)
-        needed = wanted.select(F.col("b").alias("doc")).distinct().join(self.nodes.select("doc", "n", "h"), "doc")
+        needed = wanted.select(F.col("b").alias("doc")).distinct().join(self.nodes.select("doc", "n", "h", "at"), "doc")
         texts = self.texts(self.kept(needed, "needed")).withColumnRenamed("doc", "b")
         met = wanted.join(texts, "b").select("a", "slice", "kind", "b", "n", "h", "text")
         met = met.repartition(self.parts, "a", "slice").sortWithinPartitions("a", "slice", "kind")
@@ -285,8 +325,9 @@ class _Join:
         described = self.kept(self.docs.mapInArrow(_describe, SETS), "sets")
         whole = described.filter("n > 0 AND doc_id IS NOT NULL")
         facts = [c.split()[0] for c in SETS.split(", ")][3:]
+        # A node goes by its set's name; ``at`` is the smallest id where its text stands.
         self.nodes = self.kept(whole.groupBy("h", "n").agg(
-            F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in facts]), "nodes")
+            F.min("doc_id").alias("at"), *[F.first(c).alias(c) for c in facts]).withColumn("doc", F.col("h")), "nodes")
         self.sketches = self.nodes.select("doc", "n", F.struct(*SKETCH).alias("sk"))
         members = self.members()
         weights = members.groupBy("doc").agg(F.sum(F.col("mult") * F.col("cnt")).alias("weight"))
@@ -299,12 +340,13 @@ class _Join:
         if not open_.isEmpty():
             self.rest(open_)
         classes = self.classes()
-        nodes = self.nodes.select("h", "n", "doc").join(classes, F.col("doc") == F.col("node"), "left").select(
-            F.col("h").alias("__h"), F.col("n").alias("__n"), F.coalesce("component", "doc").alias("__component"))
-        same = (F.col("h") == F.col("__h")) & (F.col("n") == F.col("__n"))
-        return described.join(nodes, same, "left").select(
+        placed = self.nodes.select("h", "n", "at", "doc").join(classes, F.col("doc") == F.col("node"), "left").withColumn(
+            "component", F.coalesce("component", "doc"))
+        least = placed.groupBy("component").agg(F.min("at").alias("least"))
+        named = placed.join(least, "component").select("h", "n", "least")
+        return described.select("doc_id", "h", "n").join(named, ["h", "n"], "left").select(
             "doc_id", F.col("n").cast("long").alias("n_shingles"),
-            F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("__component")).otherwise(
+            F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("least")).otherwise(
                 F.col("doc_id")).alias("component_id"))
 
     def members(self):
@@ -317,7 +359,7 @@ class _Join:
         shared = counted.filter("cnt > 1").withColumn(
             "bucket", F.when(F.col("cnt") > SMALL_BUCKET, F.col("sig")).otherwise(F.col("who")))
         rows = shared.groupBy("bucket", "cnt", "h", "n", "low").agg(F.count("*").alias("mult"))
-        return self.kept(rows, "buckets").join(self.nodes.select("h", "n", "doc"), ["h", "n"]).drop("h")
+        return self.kept(rows, "buckets").withColumn("doc", F.col("h")).drop("h")
 
     def star(self, members):
         """Pair each bucket's most central member with all others. If components are known, the centre is the most
@@ -357,10 +399,10 @@ class _Join:
             both = a.join(b, ["bucket", "cnt"]).filter((F.col("ca") != F.col("cb")) & may_link())
             return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-        members = members.join(self.sketches.drop("n"), "doc")
-        small = members.filter(F.col("cnt") <= SMALL_BUCKET)
-        pairs = paired(small, small)
-        large = members.filter(F.col("cnt") > SMALL_BUCKET)
+        self.families(members.filter(F.col("cnt") <= SMALL_BUCKET))
+        members = self.open(members.filter(F.col("cnt") > SMALL_BUCKET).drop("component"))
+        large = members.join(self.sketches.drop("n"), "doc")
+        pairs = self.spark.createDataFrame([], "a long, b long")
         if not large.isEmpty():
             facts = self.nodes.select("doc", "h", *[f"{f}_{k}" for f in ("m", "spare", "empty") for k in ("own", "low")])
             pick = lambda f: F.when(F.col("low"), F.col(f"{f}_low")).otherwise(F.col(f"{f}_own"))
@@ -380,6 +422,30 @@ class _Join:
         pairs = pairs.union(self.deletions(over, None if over is None else ranked))
         self.verify(pairs)
 
+    def families(self, members):
+        """All pairs of different components within small buckets that stay mixed. Buckets of one most central member are a
+        family, so that its pairs meet once, not in every bucket that they share; its sets outside the largest component
+        are dealt to blocks and visited by the family."""
+        centre = members.groupBy("bucket", "cnt").agg(F.max(F.struct("weight", "doc")).getField("doc").alias("family"))
+        family = self.kept(members.join(centre, ["bucket", "cnt"]).select("family", "doc", "n", "component").distinct(), "families")
+        if family.isEmpty():
+            return
+        shares = family.groupBy("family", "component").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+        top = shares.groupBy("family").agg(F.max(F.struct("c", "component", "n")).alias("top"), F.sum("n").alias("all"))
+        slices = F.ceil((F.col("all") - F.col("top.n")) / BLOCK_SHINGLES).cast("int")
+        placed = family.join(top.select("family", F.col("top.component").alias("most"), slices.alias("slices")), "family").filter("slices > 0")
+        own = placed.filter("component <> most").select(
+            "family", F.pmod(F.xxhash64("doc"), F.col("slices")).cast("int").alias("slice"), F.lit(0).alias("kind"), "doc", "component")
+        visits = placed.select(
+            "family", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"), "doc", "component")
+        visits = visits.join(own.select("family", "slice").distinct(), ["family", "slice"], "left_semi")
+        chosen = self.kept(family.select("doc").distinct().join(self.nodes.select("doc", "n", "h", "at"), "doc"), "chosen")
+        wholes = self.kept(self.texts(chosen).mapInArrow(_wholes, "doc long, whole binary"), "wholes").dropDuplicates(["doc"])
+        rows = own.unionByName(visits).join(wholes, "doc").select("family", "slice", "kind", "doc", "component", "whole")
+        met = rows.repartition(self.parts, "family", "slice").sortWithinPartitions("family", "slice", "kind")
+        found = self.kept(met.mapInArrow(_within, "a long, b long").distinct(), "links")
+        self.links = found if self.links is None else self.links.union(found)
+
     def deletions(self, over, ranked):
         """Candidates among the sets with more empty or skipped segments than spare ones, by a segment that is equal but
         for one shingle."""
@@ -395,7 +461,7 @@ class _Join:
         else:
             skips = ranked.filter("skipped AND NOT single").groupBy("doc").agg(F.collect_list("bucket").alias("skipped"))
             shut = warm.join(skips, "doc", "left").withColumn("skipped", F.coalesce("skipped", F.array().cast("array<long>")))
-        chosen = self.kept(shut.join(self.nodes.select("doc", "n", "h"), "doc"), "warm")
+        chosen = self.kept(shut.join(self.nodes.select("doc", "n", "h", "at"), "doc"), "warm")
         near = self.texts(chosen).mapInArrow(_neighbourhoods, NEIGHBOURS)
         near = near.repartition(self.parts, "sig")
         # A signature is of use if a subset and a neighbour of another meet in it.

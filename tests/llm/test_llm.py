@@ -1,9 +1,13 @@
 """The text operators against plain versions, round trips and SQL, with the cases their docstrings name."""
 
+import gzip
 import hashlib
 import io
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +19,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from millrace.llm import (bpe, components, fixity, line_dedup, mixing, near_duplicates, neighbours, page_text, pretokens,
-                          quality, queries, token_codes, toxicity)
+                          quality, queries, spans, token_codes, toxicity)
 from millrace.session import work_folder
 
 SF = "/root/testdata/sf0.001"
@@ -178,11 +182,26 @@ def test_ngram_join_is_exact(spark):
     assert len(got) == len(rows)
 
 
+def test_ngram_join_of_shared_passages(spark):
+    """Near copies of one text that are mostly no links: their buckets stay mixed."""
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    base = [r.choice(words) for _ in range(260)]
+    rows = [(i, " ".join(x if r.random() > .025 else r.choice(words) for x in base)) for i in range(110)]
+    want = plain_classes(rows)
+    assert 5 < len({c for _, _, c in want}) < 110
+    assert set(map(tuple, near_duplicates.near_duplicates(frame(spark, rows)).collect())) == want
+
+
 def test_ngram_join_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(1, text), (1, text), (2, text.upper()), (2, "other words"), (None, text), (5, None), (6, "")]
     got = Counter(map(tuple, near_duplicates.near_duplicates(frame(spark, rows)).collect()))
     assert got == Counter({(1, 26, 1): 2, (2, 26, 1): 1, (2, 1, 2): 1, (None, 26, None): 1, (5, 0, 5): 1, (6, 0, 6): 1})
+    a, b = text, " ".join(f"v{i}" for i in range(90))
+    shared = [(2, a), (2, b), (3, a + " x"), (4, b + " x"), (5, b)]
+    got = Counter((r.doc_id, r.component_id) for r in near_duplicates.near_duplicates(frame(spark, shared)).collect())
+    assert got == Counter({(2, 2): 2, (3, 2): 1, (4, 2): 1, (5, 2): 1})
     assert near_duplicates.near_duplicates(frame(spark, [])).count() == 0
     kept = near_duplicates.one_of_each(frame(spark, rows))
     assert sorted(map(str, (row.doc_id for row in kept.collect()))) == ["1", "2", "5", "6", "None"]
@@ -446,6 +465,9 @@ def test_toxicity_on_held_out_rows(spark):
     assert len(odd) == len(ODD) + 1 and odd.score.between(0, 1).all()
     assert (odd.predicted == (odd.score >= 0.5)).all()
     assert odd.held_out.sum() == sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(len(ODD)))
+    for none in (toxicity.train(docs.limit(0), labels), toxicity.train(docs, labels.limit(0)), toxicity.train(docs.limit(0), labels.limit(0))):
+        assert len(none[0]) == 0 and toxicity.scores(["a", "", None], *none).max() < 0.5
+    assert toxicity.score(docs.limit(0), model).count() == 0
     one_class = toxicity.train(docs, labels.filter("toxic = 0"))
     assert len(one_class[0]) == 0 and toxicity.scores(["a"], *one_class)[0] < 0.5
 
@@ -471,6 +493,98 @@ def test_fixity(spark):
     assert fixity.audit(catalogue.limit(0), f"{folder}/a", f"{folder}/b", f"{folder}/none").count() == 0
 
 
+def test_every_catalogued_range_is_its_record(spark):
+    pages = spark.createDataFrame([(i % 40, f"http://h/{i % 40}", "é" * i) for i in range(50)] + [(None, None, None)],
+                                  "page_id long, url string, html string").repartition(3)
+    folder = work_folder(spark, "warc")
+    catalogue = fixity.write_warc(pages, f"{folder}/a").collect()
+    names, ids, body = set(), set(), Counter()
+    for row in catalogue:
+        raw = open(f"{folder}/a/{row.file}".removeprefix("file:"), "rb").read()
+        member = raw[row.offset:row.offset + row.length]
+        text = gzip.decompress(member)
+        head, rest = text.split(b"\r\n\r\n", 1)
+        assert len(text) == row.n_bytes and text.startswith(b"WARC/1.0\r\n") and hashlib.sha256(member).digest() == row.digest
+        assert rest[-4:] == b"\r\n\r\n" and f"Content-Length: {len(rest) - 4}".encode() in head
+        assert row.last == (row.offset + row.length == len(raw))
+        ids.add(re.search(rb"WARC-Record-ID: (\S+)", head)[1])
+        body[row.page_id, rest[:-4].decode()] += 1
+        names.add(row.file)
+    assert body == Counter((r.page_id, r.html or "") for r in pages.collect()) and len(ids) == len(catalogue) == 51
+    assert sum(row.last for row in catalogue) == len(names)
+
+
+def test_fixity_names_the_replica(spark):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "same page") for i in range(400)], "page_id long, url string, html string").repartition(2)
+    folder = work_folder(spark, "warc")
+    catalogue = fixity.write_warc(pages, f"{folder}/a")
+    for name, harm in (("b", F.col("page_id") >= 200), ("c", F.col("page_id").between(150, 250)), ("d", None)):
+        fixity.copy_files(catalogue, f"{folder}/a", f"{folder}/{name}", harm=harm)
+    got = {r.page_id: (r.first_wrong, r.second_wrong) for r in fixity.audit(catalogue, f"{folder}/b", f"{folder}/c", f"{folder}/t").collect()}
+    assert got == {i: (i >= 200, 150 <= i <= 250) for i in range(150, 400)}  # equal damage to both is found too
+    rows = catalogue.collect()
+    long = next(r for r in rows if r.last)
+    with open(f"{folder}/d/{long.file}".removeprefix("file:"), "ab") as f:
+        f.write(b"surplus")
+    cut = next(r for r in rows if r.last and r.file != long.file)
+    for name in "ad":  # the same file lost in both
+        open(f"{folder}/{name}/{cut.file}".removeprefix("file:"), "wb").close()
+    got = {r.page_id: (r.first_wrong, r.second_wrong) for r in fixity.audit(catalogue, f"{folder}/a", f"{folder}/d", f"{folder}/u").collect()}
+    assert got == {**{r.page_id: (True, True) for r in rows if r.file == cut.file}, long.page_id: (False, True)}
+
+
+def test_fixity_of_many_levels(spark, monkeypatch):
+    monkeypatch.setattr(fixity, "FANOUT", 2)
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "x" * i) for i in range(260)], "page_id long, url string, html string").coalesce(1)
+    folder = work_folder(spark, "warc")
+    catalogue = fixity.write_warc(pages, f"{folder}/a")
+    fixity.copy_files(catalogue, f"{folder}/a", f"{folder}/b", harm=F.col("page_id").isin(3, 77, 259))
+    found = fixity.audit(catalogue, f"{folder}/a", f"{folder}/b", f"{folder}/t")
+    assert len(fixity._steps(260, 1)) == 9 and found._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 4
+    assert {r.page_id for r in found.filter("second_wrong").collect()} == {3, 77, 259} and found.filter("first_wrong").isEmpty()
+    assert fixity.audit(catalogue, f"{folder}/a", f"{folder}/a", f"{folder}/s").isEmpty()
+
+
+# Hashing and memory
+
+
+@given(st.lists(st.integers(0, 255), max_size=400), st.integers(1, 40))
+@settings(max_examples=60, deadline=None)
+def test_span_hashes_do_not_depend_on_blocks(values, step):
+    data = np.array(values, np.uint8)
+    starts = np.arange(0, max(len(data) - step, 0), step)
+    ends = np.minimum(starts + step // 2 + step % 3, len(data))
+    ends = np.maximum(np.minimum(ends, np.append(starts[1:], len(data))), starts) if len(starts) else starts
+    whole = spans.SpanHasher.of_bytes(data)(starts, ends)
+    before = spans.HASH_BLOCK
+    spans._base_powers.cache_clear()
+    spans.HASH_BLOCK = 7
+    try:
+        assert (spans.SpanHasher.of_bytes(data)(starts, ends) == whole).all()
+    finally:
+        spans.HASH_BLOCK = before
+        spans._base_powers.cache_clear()
+    same = [bytes(data[a:b]) for a, b in zip(starts, ends, strict=True)]
+    assert len(set(same)) == len(set(whole.tolist()))
+
+
+def test_a_very_long_text_needs_bounded_memory():
+    code = """
+import numpy as np, resource
+from millrace.llm import quality, near_duplicates
+r = np.random.Generator(np.random.PCG64(1))
+words = np.array(["w%d" % i for i in range(100_000)])
+text = " ".join(words[r.integers(0, 100_000, 3_000_000)])
+assert len(text) > 19_000_000
+found = quality.measure([text])
+assert found["n_words"][0] == 3_000_000 and found["word_chars"][0] == len(text) - 2_999_999 and found["kept"][0]
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+assert len(near_duplicates.sets([text])[0]) > 2_999_000
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.getcwd(), check=True)
+    assert int(done.stdout) < 600 * 1024
+
+
 # The queries with SQL, and the pipeline
 
 
