@@ -388,16 +388,22 @@ def _codes_of(session):
 
 
 def _wide_stream(spark, sf, session):
-    """The wide changelog written by its job; its folder. Behind the changes come markers of a late time, each a run of its
-    own that resumes the job: they show one join after the other that nothing follows, so that lines without partner go out."""
+    """The wide changelog written by its job; its folder. Behind the changes come markers, one for every hour of half a day,
+    which resume the job and move the watermark on, so that lines without partner go out."""
     folder = work_folder(spark, "order_wide")
     changes = _changes(spark, sf)
-    marker = lambda at: spark.createDataFrame(
-        [("shop", "order_info", "bootstrap-complete", {}, {}, str(at))], changes.schema).coalesce(1)
-    for landed in (changes, marker(250_000_000_000), marker(250_000_001_000)):
-        land_changes(landed, f"{folder}/changes")
-        stream = session.readStream.schema(changes.schema).parquet(f"{folder}/changes")
+    land_changes(changes, f"{folder}/changes")
+
+    def run(**options):
+        stream = session.readStream.schema(changes.schema).options(**options).parquet(f"{folder}/changes")
         jobs.start_order_wide(stream, _codes_of(session), f"{folder}/out", f"{folder}/checkpoint", ttl=3 * 3600).awaitTermination()
+
+    run()
+    last = changes.agg(F.max(cdc.change_seconds())).first()[0] or 0
+    for hour in range(1, 13):
+        marker = [("shop", "order_info", "bootstrap-complete", {}, {}, str(last + 3600 * hour))]
+        land_changes(spark.createDataFrame(marker, changes.schema).coalesce(1), f"{folder}/changes")
+    run(maxFilesPerTrigger=1)
     return f"{folder}/out"
 
 

@@ -1,7 +1,6 @@
 """Session settings the operators assume, and the shared work folder."""
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -49,19 +48,14 @@ def streaming_session(spark, partitions=None):
     return session
 
 
-_own_folder = None
-
-
 def work_folder(spark, name):
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; there a temporary folder is made once.
+    Only a local session may do without that setting; it works beside its tables, in the warehouse.
     """
-    global _own_folder
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        _own_folder = _own_folder or tempfile.mkdtemp(prefix="millrace-")
-        shared = _own_folder
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/millrace-work"
     return f"{shared.rstrip('/')}/{name}-{os.urandom(6).hex()}"
