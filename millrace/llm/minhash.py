@@ -30,6 +30,8 @@ KEPT = 64
 MISSED = 1e-7
 #: Pairs of one set that a task compares at a time.
 SLICE_PAIRS = 512
+#: Chosen sets (three numbers each) up to which the choice of texts to read is broadcast; beyond it is a shuffled join.
+BROADCAST_ROWS = 1_000_000
 #: Shingles that a block of a family holds, about; one set is never cut.
 BLOCK_SHINGLES = 1 << 17
 
@@ -208,6 +210,11 @@ class _Run:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def texts(self, chosen):
+        """The documents at the ids (``doc``) of chosen sets. Few chosen ones are broadcast, so that texts are not shuffled."""
+        few = chosen.count() <= BROADCAST_ROWS
+        return self.docs.join(F.broadcast(chosen) if few else chosen, F.col("doc_id") == F.col("doc"))
+
     def dealt(self, pairs):
         """``a, slice, kind, h`` of pairs ``a, b``: centres (kind 0) beside their partners, a centre of many in slices."""
         slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / SLICE_PAIRS).cast("int").alias("slices"))
@@ -230,7 +237,7 @@ class _Run:
         texts confirm."""
         rows = self.dealt(estimated.filter("NOT sure").select("a", "b").distinct())
         chosen = self.kept(rows.select("h").distinct().join(self.nodes.select("h", "doc"), "h"), "chosen")
-        texts = self.docs.join(chosen, F.col("doc_id") == F.col("doc")).select("h", "text")
+        texts = self.texts(chosen).select("h", "text")
         met = rows.join(texts, "h").select("a", "slice", "kind", "h", "text")
         confirmed = self.in_order(met).mapInArrow(_verify, "a long, b long").distinct()
         self.add(estimated.filter("sure").select("a", "b").union(confirmed))
@@ -285,7 +292,7 @@ class _Run:
         visits = placed.select(
             "family", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"), "h", "component")
         chosen = self.kept(family.select("h", "n").distinct().join(self.nodes.select("h", "doc"), "h"), "chosen")
-        texts = self.docs.join(chosen, F.col("doc_id") == F.col("doc")).select("h", "n", "text")
+        texts = self.texts(chosen).select("h", "n", "text")
         wholes = self.kept(texts.mapInArrow(_wholes, "h long, n int, whole binary"), "wholes").dropDuplicates(["h"])
         rows = own.unionByName(visits.join(own.select("family", "slice").distinct(), ["family", "slice"], "left_semi"))
         rows = rows.join(wholes.select("h", "whole"), "h").select("family", "slice", "kind", "h", "component", "whole")
