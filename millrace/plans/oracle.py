@@ -277,7 +277,6 @@ ORACLE |= {name: ORACLE["upsert_dimensions"] for name in ("compact_dimensions",
 ORACLE |= {name: f"""WITH {MASTER}, last AS (SELECT * FROM master WHERE tab = 'customer'
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY sec DESC) = 1)
 SELECT id, c_name FROM last WHERE type <> 'delete'""" for name in ("upsert_with_deletes", "topic_with_deletes")}
-ORACLE |= {f"stream_{name}": ORACLE[name] for name in ("order_wide", "payment_success")}
 ORACLE["stream_left_join_early"] = f"""SELECT id, order_id, od_ts, max(activity_id) AS activity_id, max(activity_rule_id) AS activity_rule_id
 FROM ({ORACLE['left_join_pad']}) GROUP BY id, order_id, od_ts"""
 ORACLE["stream_unrouted"] = ORACLE["unrouted"]

@@ -382,51 +382,6 @@ def stream_refund_success(spark, sf):
         _landed(spark, session, _changes(spark, sf)), feeds.dictionary(session), out, ck, **ALL_TIME)))
 
 
-def _codes_of(session):
-    """The dictionary as a job asks for it in every micro-batch."""
-    return RefreshingLookup(lambda: feeds.dictionary(session))
-
-
-def _wide_stream(spark, sf, session):
-    """The wide changelog written by its job; its folder. Behind the changes come markers, one for every hour of half a day,
-    which resume the job and move the watermark on, so that lines without partner go out."""
-    folder = work_folder(spark, "order_wide")
-    changes = _changes(spark, sf)
-    land_changes(changes, f"{folder}/changes")
-
-    def run(**options):
-        stream = session.readStream.schema(changes.schema).options(**options).parquet(f"{folder}/changes")
-        jobs.start_order_wide(stream, _codes_of(session), f"{folder}/out", f"{folder}/checkpoint", ttl=3 * 3600).awaitTermination()
-
-    run()
-    last = changes.agg(F.max(cdc.change_seconds())).first()[0] or 0
-    for hour in range(1, 13):
-        marker = [("shop", "order_info", "bootstrap-complete", {}, {}, str(last + 3600 * hour))]
-        land_changes(spark.createDataFrame(marker, changes.schema).coalesce(1), f"{folder}/changes")
-    run(maxFilesPerTrigger=1)
-    return f"{folder}/out"
-
-
-def stream_order_wide(spark, sf):
-    return spark.read.parquet(_wide_stream(spark, sf, streaming_session(spark))).select(*_plain_columns(schemas.ORDER_WIDE_COLUMNS))
-
-
-def _plain_columns(columns):
-    return [c for c in columns if c not in ("old", "row_op_ts")]
-
-
-def stream_payment_success(spark, sf):
-    """The chain of three jobs: wide lines, placed lines, paid lines."""
-    session = streaming_session(spark)
-    wide, folder = _wide_stream(spark, sf, session), work_folder(spark, "payment_success")
-    lines = session.readStream.schema(spark.read.parquet(wide).schema).parquet(wide)
-    jobs.start_order_detail(lines, f"{folder}/detail", f"{folder}/detail-checkpoint").awaitTermination()
-    detail = session.readStream.schema(spark.read.parquet(f"{folder}/detail").schema).parquet(f"{folder}/detail")
-    jobs.start_payment_success(_landed(spark, session, _changes(spark, sf)), detail, _codes_of(session), f"{folder}/paid",
-                               f"{folder}/paid-checkpoint", **ALL_TIME).awaitTermination()
-    return spark.read.parquet(f"{folder}/paid").select(*_plain_columns(schemas.PAYMENT_COLUMNS))
-
-
 def stream_left_join_early(spark, sf):
     """Order lines that go out padded at once and again when their activity comes, several micro-batches later."""
     session = streaming_session(spark)
@@ -703,8 +658,6 @@ QUERIES = {
     "stream_retained_join": stream_retained_join,
     "stream_log_split": stream_log_split,
     "stream_log_dirty": stream_log_dirty,
-    "stream_order_wide": stream_order_wide,
-    "stream_payment_success": stream_payment_success,
     "stream_left_join_early": stream_left_join_early,
     "stream_unrouted": stream_unrouted,
     "stream_order_refund": stream_order_refund,
