@@ -1,16 +1,25 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A table turns unit vectors by fast Hadamard pseudo-rotations (three rounds of random signs and a Hadamard
-transform) and files each under its nearest signed axis. A query looks into the buckets of its nearest axes in
-every table; all vectors found there are ranked by their exact distance.
+transform) and files each under its nearest signed axis; as the number of rows grows, further rotations refine the
+bucket, so that it keeps its size. A query looks into the buckets of its nearest axes in every table; all vectors found
+there are ranked by their exact distance. A query that finds too few looks on through all rows.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from millrace.session import work_folder
+
 #: Vectors that a task compares a query with at a time; larger buckets are dealt to slices of about this size.
 SLICE_ROWS = 4096
+#: Rows of a bucket that the geometry aims at, about.
+BUCKET_ROWS = 128
+#: Buckets of more than one slice up to which their sizes are broadcast (24 bytes each); beyond it is a shuffled join.
+BROADCAST_BUCKETS = 100_000
+#: Numbers that a block of queries holds while their buckets are ranked.
+BLOCK_COSTS = 1 << 22
 KEY = ["dim", "bucket", "slice"]
 
 
@@ -35,19 +44,38 @@ def rotate(x, seed):
     return x
 
 
-def axis_costs(x, seed):
-    """For each row the squared distance lost by taking each signed axis (2 * width of them) instead of the nearest."""
-    turned = rotate(x, seed)
+def geometry(width, rows):
+    """Coordinates that each rotation of a table names a signed axis of: all of the first one's, then as many as buckets
+    of about ``BUCKET_ROWS`` of ``rows`` rows need."""
+    sizes, buckets = [width], 2 * width
+    while buckets * BUCKET_ROWS < rows:
+        size = 1
+        while size < width and buckets * 2 * size * BUCKET_ROWS < rows:
+            size *= 2
+        sizes.append(size)
+        buckets *= 2 * size
+    return sizes
+
+
+def probes_for(sizes, probed):
+    """Buckets that a query reads in a table: ``probed`` of one rotation's, growing with the root of the number of buckets, so
+    that the share of rows compared falls with that root."""
+    buckets = float(np.prod([2.0 * s for s in sizes]))
+    return int(np.ceil(probed * np.sqrt(buckets / (2 * sizes[0]))))
+
+
+def axis_costs(x, size, seed):
+    """For each row the squared distance lost by taking each signed axis of ``size`` coordinates instead of the nearest."""
+    turned = rotate(x, seed)[:, :size]
     signed = np.concatenate((turned, -turned), axis=1)
     return 2 * (signed.max(axis=1, keepdims=True) - signed)
 
 
-def probes(x, table, axes, n, seed):
-    """The ``n`` best buckets of each row in a table, best first; a bucket names one signed axis for each of ``axes``
-    rotations."""
+def probes(x, table, sizes, n, seed):
+    """The ``n`` best buckets of each row in a table, best first; a bucket names one signed axis for each rotation."""
     codes, costs = np.zeros((len(x), 1), np.int64), np.zeros((len(x), 1))
-    for a in range(axes):
-        own = axis_costs(x, [seed, table, a])
+    for a, size in enumerate(sizes):
+        own = axis_costs(x, size, [seed, table, a])
         keep = min(n, own.shape[1])
         best = np.argsort(own, axis=1, kind="stable")[:, :keep]
         costs = (costs[:, :, None] + np.take_along_axis(own, best, 1)[:, None, :]).reshape(len(x), -1)
@@ -61,100 +89,154 @@ def _groups(batch):
     """Rows of a batch by dimension: (their numbers, their vectors, these scaled to length 1)."""
     vectors = batch.column("vector")
     lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
     starts = np.cumsum(lengths) - lengths
     for dim in np.unique(lengths).tolist():
         rows = np.flatnonzero(lengths == dim)
         x = flat[starts[rows][:, None] + np.arange(dim)]
-        scaled = x / np.abs(x).max(axis=1, keepdims=True)
+        scaled = x / np.abs(x).max(axis=1, keepdims=True).astype(np.float64)
         yield rows, x, scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def _filed(batches, tables, axes, n, seed):
+def _filed(batches, tables, total, probed, seed):
+    """Each row in its bucket of each table, or (``probed``) in all that it reads there."""
     for batch in batches:
-        ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
+        ids, of = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("vec_id", "of"))
         for rows, x, unit in _groups(batch):
-            payload = [v.tobytes() for v in np.ascontiguousarray(x)]
-            for table in range(tables):
-                codes = probes(unit, table, axes, n, seed)
-                width = codes.shape[1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(codes.size, x.shape[1], np.int32)), pa.array(codes.ravel() * tables + table),
-                     pa.array(np.repeat(ids[rows], width)), pa.array([p for p in payload for _ in range(width)], pa.binary())],
-                    ["dim", "bucket", "vec_id", "vector"])
-
-
-FILED = "dim int, bucket long, vec_id long, vector binary"
+            payload = np.array([v.tobytes() for v in np.ascontiguousarray(x)], object)
+            sizes = geometry(1 << max(0, x.shape[1] - 1).bit_length(), total)
+            n = probes_for(sizes, probed) if probed else 1
+            step = max(1, BLOCK_COSTS // (n * 2 * sizes[0]))
+            for low in range(0, len(rows), step):
+                some = slice(low, low + step)
+                for table in range(tables):
+                    codes = probes(unit[some], table, sizes, n, seed)
+                    width = codes.shape[1]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(codes.size, x.shape[1], np.int32)), pa.array(codes.ravel() * tables + table),
+                         pa.array(np.repeat(ids[rows[some]], width)), pa.array(np.repeat(of[rows[some]], width)),
+                         pa.array(np.repeat(payload[some], width), pa.binary())],
+                        ["dim", "bucket", "vec_id", "of", "vector"])
+
+
+FILED = "dim int, bucket long, vec_id long, of long, vector binary"
+
+
+def _packed(batches):
+    """Each row once, in the one bucket of its dimension."""
+    for batch in batches:
+        for rows, x, _ in _groups(batch):
+            own = batch.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows), x.shape[1], np.int32)), pa.array(np.zeros(len(rows), np.int64)), own.column("vec_id"),
+                 own.column("of"), pa.array([v.tobytes() for v in np.ascontiguousarray(x)], pa.binary())],
+                ["dim", "bucket", "vec_id", "of", "vector"])
 
 
-def _nearest(batches, k):
+def _nearest(batches, k, kind_of):
     """Best ``k`` of the vectors of a slice for each query of its bucket; vectors come before queries."""
-    key, held, ids, matrix = None, [], None, None
+    key, held, ids, matrix, single = None, {}, None, None, True
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in (*KEY, "kind", "vec_id", "vector")]
+        columns = [batch.column(c).to_pylist() for c in (*KEY, "kind", "vec_id", "of", "vector")]
         out = []
-        for dim, bucket, part, kind, vec_id, vector in zip(*columns, strict=True):
+        for dim, bucket, part, kind, vec_id, of, vector in zip(*columns, strict=True):
             if (dim, bucket, part) != key:
-                key, held, ids, matrix = (dim, bucket, part), [], None, None
+                key, held, ids, matrix = (dim, bucket, part), {}, None, None
             if kind == 0:
-                held.append((vec_id, vector))
+                held[vec_id, of] = vector
                 continue
             if matrix is None:
                 ids = np.array([i for i, _ in held], np.int64)
-                matrix = np.frombuffer(b"".join(v for _, v in held), np.float64).reshape(len(held), dim)
-                held = []
-            gap = matrix - np.frombuffer(vector, np.float64)
+                matrix = np.frombuffer(b"".join(held.values()), kind_of).reshape(len(held), dim).astype(np.float64)
+                single, held = len(np.unique(ids)) == len(ids), {}
+            gap = matrix - np.frombuffer(vector, kind_of).astype(np.float64)
             score = np.sqrt((gap * gap).sum(axis=1))
-            score[ids == vec_id] = np.inf
-            if len(score) > k:
-                best = np.flatnonzero(score <= np.partition(score, k - 1)[k - 1])
-            else:
-                best = np.arange(len(score))
-            best = best[np.lexsort((ids[best], score[best]))][:k]
-            out += [(vec_id, vector, int(ids[i]), float(score[i])) for i in best if score[i] < np.inf]
+            other = np.flatnonzero(ids != vec_id)
+            if single and len(other) > k:
+                other = other[score[other] <= np.partition(score[other], k - 1)[k - 1]]
+            best = other[np.lexsort((ids[other], score[other]))]
+            # Of rows of one id, which may be several, the nearest counts.
+            first = np.sort(np.unique(ids[best], return_index=True)[1])[:k] if len(best) else best
+            out += [(vec_id, of, int(ids[i]), float(score[i])) for i in best[first]]
         if out:
-            q, v, i, s = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.binary()), pa.array(i, pa.int64()),
-                                              pa.array(s, pa.float64())], ["query_id", "query", "vec_id", "score"])
+            q, o, i, s = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(o, pa.int64()), pa.array(i, pa.int64()),
+                                              pa.array(s, pa.float64())], ["query_id", "of", "vec_id", "score"])
+
+
+FOUND = "query_id long, of long, vec_id long, score double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, vector`` of the vectors that take part, equal rows once."""
-    one = F.col("embedding").cast(T.ArrayType(T.DoubleType()))
+    """``vec_id, vector, of`` (a hash of the vector) of the vectors that take part. Single precision stays so on the way."""
+    kind = vectors.schema["embedding"].dataType
+    element = kind.elementType if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else T.DoubleType()
+    one = F.col("embedding").cast(T.ArrayType(element))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), one.alias("vector")).filter("vec_id IS NOT NULL")
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return rows.filter(finite & F.exists("vector", lambda v: v != 0))
+    taken = rows.filter(finite & F.exists("vector", lambda v: v != 0))
+    return taken.withColumn("of", F.xxhash64("vector"))
+
+
+def _met(filed, visits, large, few, k, kind_of):
+    """Distances of queries and rows that share a bucket. ``large`` tells the slices of buckets of more than one."""
+    large = F.broadcast(large) if few else large
 
+    def sliced(rows):
+        return rows.join(large, ["dim", "bucket"], "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
 
-def nearest(vectors: DataFrame, queries, k: int = 10, tables: int = 16, probed: int = 8, axes: int = 1,
-            seed: int = 29) -> DataFrame:
+    slice_of = F.pmod(F.xxhash64("vec_id", "of"), F.col("slices")).cast("int")
+    columns = ["vec_id", "of", "vector"]
+    held = sliced(filed).select("dim", "bucket", slice_of.alias("slice"), F.lit(0).alias("kind"), *columns)
+    asked = sliced(visits).select(
+        "dim", "bucket", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"), *columns)
+    parts = int(filed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = held.unionByName(asked).repartition(parts, *KEY).sortWithinPartitions(*KEY, "kind")
+    return dealt.mapInArrow(lambda b: _nearest(b, k, kind_of), FOUND)
+
+
+def nearest(vectors: DataFrame, queries, k: int = 10, tables: int = 16, probed: int = 8, seed: int = 29) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each row of ``vectors`` (``vec_id``, ``embedding``) that
     the condition ``queries`` (on ``vec_id``) names, by Euclidean distance in double precision, ties to the smaller id.
 
-    Every row is filed in every table; a query reads ``probed`` buckets of each. ``axes`` is the number of signed axes that
-    name a bucket: raise it, and ``probed`` with it, as the table grows, so that a bucket keeps its size. Vectors that are
-    null, empty, zero or hold null or non-finite components take no part, nor do rows without an id. A query never finds its
-    own id. Equal rows count once. Vectors meet those of their own dimension only. Other columns are ignored.
+    Every row is filed in every table, under as many signed axes as buckets of about ``BUCKET_ROWS`` need (:func:`geometry`);
+    a query reads ``probed`` buckets of each table, more as buckets get finer (:func:`probes_for`). A query that finds fewer
+    than ``k`` so is compared with every row of its dimension, in slices; it gets all candidates if these are fewer.
+
+    Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without an id. A
+    query never finds its own id. Equal rows count once; of several vectors of one id the nearest counts, and each
+    is a query of its own. Vectors meet those of their own dimension only. Other columns are ignored; an empty table
+    gives an empty result.
 
-    A bucket of any size is dealt to slices by id; its queries visit them all, and a task holds one slice.
+    A bucket of any size is dealt to slices by id; its queries visit them all, and a task holds one slice. Rows are counted
+    and what the buckets give is written to the folder of ``spark.checkpoint.dir`` when this is called.
     """
     spark = vectors.sparkSession
+    folder = work_folder(spark, "neighbours")
     rows = usable(vectors)
-    index = rows.mapInArrow(lambda b: _filed(b, tables, axes, 1, seed), FILED)
-    asked = rows.filter(queries).dropDuplicates(["vec_id", "vector"]).mapInArrow(
-        lambda b: _filed(b, tables, axes, probed, seed), FILED)
-    # At most tables * (2 * width) ** axes rows: a number of the index's geometry, not of the data's size.
-    sizes = index.groupBy("dim", "bucket").agg(F.ceil(F.count("*") / SLICE_ROWS).cast("int").alias("slices"))
-    slice_of = F.pmod(F.xxhash64("vec_id"), F.col("slices")).cast("int")
-    filed = index.join(sizes, ["dim", "bucket"]).select(
-        "dim", "bucket", slice_of.alias("slice"), F.lit(0).alias("kind"), "vec_id", "vector")
-    visits = asked.join(sizes, ["dim", "bucket"]).select(
-        "dim", "bucket", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"),
-        "vec_id", "vector")
-    dealt = filed.unionByName(visits).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *KEY)
-    found = dealt.sortWithinPartitions(*KEY, "kind").mapInArrow(
-        lambda b: _nearest(b, k), "query_id long, query binary, vec_id long, score double")
-    once = found.groupBy("query_id", "query", "vec_id").agg(F.min("score").alias("score"))
-    best = Window.partitionBy("query_id", "query").orderBy("score", "vec_id")
+    kind_of = np.float32 if isinstance(rows.schema["vector"].dataType.elementType, T.FloatType) else np.float64
+    total = rows.count()
+
+    def kept(df, name):
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    def found_in(filed, visits, name):
+        slices = F.ceil(F.count("*") / SLICE_ROWS).cast("int").alias("slices")
+        large = kept(filed.groupBy("dim", "bucket").agg(slices).filter("slices > 1"), f"{name}-large")
+        return kept(_met(filed, visits, large, large.count() <= BROADCAST_BUCKETS, k, kind_of), name)
+
+    asked = rows.filter(queries).dropDuplicates(["vec_id", "of"])
+    found = found_in(rows.mapInArrow(lambda b: _filed(b, tables, total, 0, seed), FILED),
+                     asked.mapInArrow(lambda b: _filed(b, tables, total, probed, seed), FILED), "buckets")
+    enough = found.groupBy("query_id", "of").agg(F.countDistinct("vec_id").alias("met")).filter(F.col("met") >= k)
+    short = kept(asked.join(enough.withColumnRenamed("query_id", "vec_id"), ["vec_id", "of"], "left_anti"), "short")
+    if not short.isEmpty():
+        dims = F.broadcast(short.select(F.size("vector").alias("dims")).distinct()) if short.count() <= BROADCAST_BUCKETS else \
+            short.select(F.size("vector").alias("dims")).distinct()
+        same = rows.join(dims, F.size("vector") == F.col("dims"), "left_semi")
+        found = found.unionByName(found_in(same.mapInArrow(_packed, FILED), short.mapInArrow(_packed, FILED), "rest"))
+    once = found.groupBy("query_id", "of", "vec_id").agg(F.min("score").alias("score"))
+    best = Window.partitionBy("query_id", "of").orderBy("score", "vec_id")
     return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

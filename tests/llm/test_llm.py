@@ -452,6 +452,49 @@ def test_neighbours(spark):
     assert got[got.query_id == 2600].vec_id.tolist() == [2601] and set(got.query_id) == {*range(0, 1500, 100), 2600}
 
 
+@pytest.mark.parametrize(("n", "dims", "kind"), [(4, 64, "float"), (12, 64, "double"), (9, 1, "float"), (1, 8, "double"), (0, 8, "float")])
+def test_neighbours_of_small_tables_are_all_candidates(spark, n, dims, kind):
+    x = np.random.Generator(np.random.PCG64(n)).normal(size=(n, dims)).astype(np.float32).astype(float)
+    rows = [(100 * i, v.tolist()) for i, v in enumerate(x)] * 3  # repeated rows count once
+    vectors = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    got = defaultdict(list)
+    for r in sorted(neighbours.nearest(vectors, F.col("vec_id") % 100 == 0).collect()):
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    for i in range(n if n > 1 else 0):
+        gap = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        best = [j for j in np.lexsort((np.arange(n), gap)) if j != i][:10]
+        assert [(a, b) for a, b, _ in got[100 * i]] == [(k + 1, 100 * j) for k, j in enumerate(best)]
+        assert np.allclose([s for *_, s in got[100 * i]], gap[best], rtol=1e-12)
+    assert len(got) == (n if n > 1 else 0)
+
+
+def test_neighbours_compare_a_falling_share():
+    shares = []
+    for rows in (10 ** 4, 10 ** 5, 10 ** 6, 10 ** 9):
+        sizes = neighbours.geometry(64, rows)
+        buckets = np.prod([2 * s for s in sizes])
+        assert rows / buckets <= neighbours.BUCKET_ROWS
+        shares.append(16 * neighbours.probes_for(sizes, 8) / buckets)
+    assert shares == sorted(shares, reverse=True) and shares[-1] < 0.01
+
+
+def test_neighbours_of_fine_buckets(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(neighbours, "SLICE_ROWS", 50)
+    x = np.random.Generator(np.random.PCG64(8)).normal(size=(4000, 64))
+    x = x[:200].repeat(20, axis=0) + 0.4 * x  # 200 clusters
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(vectors, F.col("vec_id") % 100 == 0).toPandas()
+    hit = 0
+    for q in range(0, 4000, 100):
+        gap = ((x - x[q]) ** 2).sum(axis=1)
+        gap[q] = np.inf
+        own = got[got.query_id == q].sort_values("rank")
+        assert own["rank"].tolist() == list(range(1, 11)) and own.score.is_monotonic_increasing
+        hit += len({*np.argsort(gap)[:10]} & {*own.vec_id})
+    assert hit >= 0.9 * 10 * 40
+
+
 # 2
 
 
