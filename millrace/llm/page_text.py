@@ -2,7 +2,8 @@
 
 A page is cut into block lines. Lines in elements that never hold the article go. Pages of a host are then paired by
 URL path; lines that a page shares with its neighbours, by longest common subsequence, are what the site repeats, and
-go too. In the element that the page itself marks as its article, it takes several neighbours that are no versions of it.
+go too. In the element that the page itself marks as its article, it takes all neighbours that are no versions of it,
+at the same place from one end.
 """
 
 import html as entities
@@ -12,13 +13,16 @@ from collections import Counter
 from itertools import accumulate
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 #: Pages before and after a page in URL order that it is compared with.
 REACH = 2
-#: Different pages near a page that must share a line of its article for the line to go.
+#: Different pages near a page, at least, that must be there and share a line of its article for the line to go.
 REPEATS = 2
+#: Bits that the rows of two pages' common lines may take; longer pages are halved.
+ROW_BITS = 1 << 26
 #: Share of a page's article, in lines and in words, from which on another page is a version of it.
 COPY = 0.8
 
@@ -202,36 +206,68 @@ def block_lines(page):
     return lines
 
 
-def common_lines(a, b):
-    """Places in ``a`` of a longest common subsequence with ``b``, by rows of bits (one Python integer a line)."""
-    low = 0
-    while low < min(len(a), len(b)) and a[low] == b[low]:
-        low += 1
-    high = 0
-    while high < min(len(a), len(b)) - low and a[-1 - high] == b[-1 - high]:
-        high += 1
-    found = [*range(low), *range(len(a) - high, len(a))]
-    a, b = a[low:len(a) - high], b[low:len(b) - high]
+def _rows(a, where, full):
+    """The rows of bits, line by line of ``a``, of the longest common subsequences with prefixes of the other side, whose
+    places ``where`` gives; a zero bit is a step of the length."""
+    row = full
+    for line in a:
+        match = where.get(line, 0)
+        both = row & match
+        row = (row + both | row - both) & full
+        yield row
+
+
+def _places_of(b):
     where = {}
     for j, line in enumerate(b):
         where[line] = where.get(line, 0) | 1 << j
-    full, row, rows = (1 << len(b)) - 1, (1 << len(b)) - 1, []
-    kept = [(i, where[line]) for i, line in enumerate(a) if line in where]
-    for _, match in kept:
-        both = row & match
-        row = (row + both | row - both) & full
-        rows.append(row)
-    # A zero bit is a step of the longest length; walk back from the last row.
-    j = len(b) - 1
-    for k in range(len(kept) - 1, -1, -1):
-        before = rows[k - 1] if k else full
-        while j >= 0 and rows[k] >> j & 1:
-            j -= 1
-        if j < 0:
-            break
-        if before >> j & 1:
-            found.append(low + kept[k][0])
-            j -= 1
+    return where, (1 << len(b)) - 1
+
+
+def _lengths(a, b):
+    """Length of the longest common subsequence of ``a`` and each prefix of ``b``."""
+    where, row = _places_of(b)
+    for row in _rows(a, where, row):  # noqa: B007
+        pass
+    steps = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(b)] == 0
+    return np.concatenate(([0], np.cumsum(steps)))
+
+
+def common_lines(a, b):
+    """Places in ``a`` of a longest common subsequence with ``b``, by rows of bits (one Python integer a line). Where these
+    would take over ``ROW_BITS`` bits the longer texts are halved, each half's partner found by the lengths from both ends."""
+    found, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        lo, hi, left, right = todo.pop()
+        while lo < hi and left < right and a[lo] == b[left]:
+            found.append(lo)
+            lo, left = lo + 1, left + 1
+        while lo < hi and left < right and a[hi - 1] == b[right - 1]:
+            found.append(hi - 1)
+            hi, right = hi - 1, right - 1
+        if lo == hi or left == right:
+            continue
+        where, full = _places_of(b[left:right])
+        kept = [i for i in range(lo, hi) if a[i] in where]
+        if len(kept) > 1 and len(kept) * (right - left) > ROW_BITS:
+            middle = kept[len(kept) // 2]
+            ahead = _lengths(a[lo:middle], b[left:right])
+            behind = _lengths(a[middle:hi][::-1], b[left:right][::-1])[::-1]
+            cut = left + int(np.argmax(ahead + behind))
+            todo += [(lo, middle, left, cut), (middle, hi, cut, right)]
+            continue
+        rows = list(_rows((a[i] for i in kept), where, full))
+        # A zero bit is a step of the longest length; walk back from the last row.
+        j = right - left - 1
+        for k in range(len(kept) - 1, -1, -1):
+            before = rows[k - 1] if k else full
+            while j >= 0 and rows[k] >> j & 1:
+                j -= 1
+            if j < 0:
+                break
+            if before >> j & 1:
+                found.append(kept[k])
+                j -= 1
     return sorted(found)
 
 
@@ -309,22 +345,38 @@ def _is_version(lines, main, shared):
     return len(both) >= COPY * len(own) and words(both) >= COPY * words(own)
 
 
+def _ends_of(lines, main):
+    """For each line of an article its places as counted from the article's start and from its end."""
+    own = [i for i, m in enumerate(main) if m]
+    places = {}
+    for k, i in enumerate(own):
+        places.setdefault(lines[i], set()).update((k, k - len(own)))
+    return places
+
+
 def without_shared(lines, main, nearest, further=()):
     """The lines of a page that the site does not repeat. Outside the article a line goes if one of the ``nearest`` pages
-    shares it; inside, if ``REPEATS`` different pages among these and the ``further`` ones do. A page that holds all lines
-    is a copy and says nothing about what the site repeats; nor does one with most of the article about the article."""
-    gone, repeats, met = set(), {}, set()
-    for k, other in enumerate((*nearest, *further)):
+    shares it. Inside it goes if *all* different pages among these and the ``further`` ones, ``REPEATS`` at least, share it at
+    one place as counted from the article's start, or from its end: so stands what a site adds to its articles, while a
+    sentence that some articles happen to share stays. A page that holds all lines is a copy and says nothing about what
+    the site repeats; nor does one with most of the article about the article. Pages are ``(lines, main)``."""
+    gone, met = set(), {}
+    for k, (other, marks) in enumerate((*nearest, *further)):
         shared = common_lines(lines, other)
         if len(shared) == len(lines):
             continue
         if k < len(nearest):
             gone.update(i for i in shared if not main[i])
         if tuple(other) not in met and not _is_version(lines, main, shared):
-            met.add(tuple(other))
-            for i in shared:
-                repeats[i] = repeats.get(i, 0) + main[i]
-    return [t for i, t in enumerate(lines) if i not in gone and repeats.get(i, 0) < REPEATS]
+            met[tuple(other)] = set(shared), _ends_of(other, marks)
+    if len(met) >= REPEATS:
+        own = [i for i, m in enumerate(main) if m]
+        for k, i in enumerate(own):
+            if all(i in shared for shared, _ in met.values()):
+                held = [ends.get(lines[i], ()) for _, ends in met.values()]
+                if any(all(place in h for h in held) for place in (k, k - len(own))):
+                    gone.add(i)
+    return [t for i, t in enumerate(lines) if i not in gone]
 
 
 def _difference(batches):
@@ -335,8 +387,8 @@ def _difference(batches):
         page_id, url, key, own, lines, main = held[at]
         if not own:
             return
-        near = [[p[4] for p in held[max(at - REACH, 0):at] if p[2] == key][::-1],
-                [p[4] for p in held[at + 1:at + 1 + REACH] if p[2] == key]]
+        near = [[p[4:6] for p in held[max(at - REACH, 0):at] if p[2] == key][::-1],
+                [p[4:6] for p in held[at + 1:at + 1 + REACH] if p[2] == key]]
         text = without_shared(lines, main, [p for side in near for p in side[:1]], [p for side in near for p in side[1:]])
         out.append((page_id, url, "\n".join(text)))
 
@@ -370,7 +422,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     one ``\\n``; empty if none.
 
     Pages of a host lie in order of their path (then url and id); each is compared with the pages before and after it,
-    the nearest for lines outside its article and two on each side for lines inside (see :func:`without_shared`).
+    the nearest for lines outside its article and ``REACH`` on each side for lines inside (see :func:`without_shared`).
     Pages are dealt by ranges of this order, and each range is handed the pages beside it, so the neighbours are the
     same however many pages a host or a path has and however they are dealt; only rows with one url and id lie together.
     The places of the ranges' borders are read when this is called. Null and empty pages have the empty text; a page

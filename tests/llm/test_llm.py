@@ -377,6 +377,93 @@ def test_main_text_drops_what_articles_repeat(spark):
     assert got[42] == whole.format(2)  # its two neighbours are one page
 
 
+@given(st.lists(st.sampled_from("abc"), max_size=14), st.lists(st.sampled_from("abc"), max_size=14), st.integers(1, 40))
+@settings(max_examples=200, deadline=None)
+def test_halved_pages_have_longest_common_lines(a, b, bits):
+    whole = len(page_text.common_lines(a, b))
+    before, page_text.ROW_BITS = page_text.ROW_BITS, bits
+    try:
+        places = page_text.common_lines(a, b)
+    finally:
+        page_text.ROW_BITS = before
+    rest = iter(b)
+    assert len(places) == len(set(places)) == whole and all(a[i] in rest for i in places)
+
+
+def test_pages_of_many_lines_need_bounded_rows():
+    r = random.Random(5)
+    a, b = ([str(r.randrange(3000)) for _ in range(20000)] for _ in range(2))
+    places = page_text.common_lines(a, b)
+    rest = iter(b)
+    assert len(places) > 500 and all(a[i] in rest for i in places)
+
+
+def plain_without_shared(pages, k, reach=2, repeats=2):
+    """What is left of page ``k`` of a host's ``(lines, main)``, line by line."""
+    lines, main = pages[k]
+    near = [p for p in (*pages[max(k - reach, 0):k][::-1], *pages[k + 1:k + 1 + reach])]
+    nearest = [p for p in (pages[k - 1:k] if k else []) + pages[k + 1:k + 2]]
+    own = [i for i, m in enumerate(main) if m]
+
+    def shared(other):  # by the table of lengths
+        a, b = lines, other[0]
+        size = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                size[i, j] = size[i + 1, j + 1] + 1 if a[i] == b[j] else max(size[i + 1, j], size[i, j + 1])
+        return size
+
+    def must(other):  # with no line twice the places are told by the lines
+        size, i, j, got = shared(other), 0, 0, set()
+        while i < len(lines) and j < len(other[0]):
+            if lines[i] == other[0][j]:
+                got.add(i)
+                i, j = i + 1, j + 1
+            elif size[i + 1, j] >= size[i, j + 1]:
+                i += 1
+            else:
+                j += 1
+        return got
+
+    gone, judges = set(), {}
+    for other in near:
+        got = must(other)
+        if len(got) == len(lines):
+            continue
+        if other in nearest:
+            gone |= {i for i in got if not main[i]}
+        words = sum(len(lines[i].split()) for i in own)
+        both = [i for i in got if main[i]]
+        if not (len(both) >= 0.8 * len(own) and sum(len(lines[i].split()) for i in both) >= 0.8 * words):
+            judges[tuple(other[0])] = (got, other)
+    if len(judges) >= repeats:
+        for at, i in enumerate(own):
+            marks = [(got, [x for x, m in zip(*other, strict=True) if m]) for got, other in judges.values()]
+            held = all(i in got for got, _ in marks)
+            front = all(len(m) > at and m[at] == lines[i] for _, m in marks)
+            back = all(len(m) >= len(own) - at and m[at - len(own)] == lines[i] for _, m in marks)
+            if held and (front or back):
+                gone.add(i)
+    return [t for i, t in enumerate(lines) if i not in gone]
+
+
+def test_differencing_equals_plain(spark):
+    r = random.Random(11)
+    rows, pages = [], []
+    for i in range(40):
+        body = [f"said in {s}" for s in sorted(r.sample(range(24), r.randrange(3, 7)))]  # sentences that articles share by chance
+        article = [f"title {i}", *(["read our terms"] if i < 25 else []), *body, *(["end of the notice"] if i > 10 else [])]
+        outside = [f"section {i // 8}", *([f"told {i // 2}"] if i % 3 else [])]
+        pages.append((article + outside, [True] * len(article) + [False] * len(outside)))
+        rows.append((i, f"http://h.org/{i:03d}", "<article>" + "".join(f"<p>{t}</p>" for t in article) + "</article>"
+                     + "".join(f"<p>{t}</p>" for t in outside)))
+    found = page_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5))
+    got = {x.page_id: x.text for x in found.collect()}
+    assert got == {i: "\n".join(plain_without_shared(pages, i)) for i in range(40)}
+    chance = [t for i in range(2, 38) for t in pages[i][0] if t.startswith("said in") and t not in got[i].split("\n")]
+    assert not chance and "read our terms" not in got[5] and "end of the notice" not in got[30]
+
+
 @pytest.mark.parametrize("parts", [1, 2, 7, 40])
 def test_main_text_has_the_same_neighbours_however_dealt(spark, parts):
     # One host; sections of three pages share a line; one path with many queries.
