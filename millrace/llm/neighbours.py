@@ -77,7 +77,7 @@ def probes(x, table, sizes, n, seed):
     for a, size in enumerate(sizes):
         own = axis_costs(x, size, [seed, table, a])
         keep = min(n, own.shape[1])
-        best = np.argsort(own, axis=1, kind="stable")[:, :keep]
+        best = own.argmin(axis=1)[:, None] if keep == 1 else np.argsort(own, axis=1, kind="stable")[:, :keep]
         costs = (costs[:, :, None] + np.take_along_axis(own, best, 1)[:, None, :]).reshape(len(x), -1)
         codes = (codes[:, :, None] * own.shape[1] + best[:, None, :]).reshape(len(x), -1)
         order = np.argsort(costs, axis=1, kind="stable")[:, :n]
@@ -99,38 +99,35 @@ def _groups(batch):
 
 
 def _filed(batches, tables, total, probed, seed):
-    """Each row in its bucket of each table, or (``probed``) in all that it reads there."""
+    """Each row with its bucket of each table, or (``probed``) with all that it reads there."""
     for batch in batches:
-        ids, of = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("vec_id", "of"))
         for rows, x, unit in _groups(batch):
-            payload = np.array([v.tobytes() for v in np.ascontiguousarray(x)], object)
             sizes = geometry(1 << max(0, x.shape[1] - 1).bit_length(), total)
             n = probes_for(sizes, probed) if probed else 1
             step = max(1, BLOCK_COSTS // (n * 2 * sizes[0]))
             for low in range(0, len(rows), step):
                 some = slice(low, low + step)
-                for table in range(tables):
-                    codes = probes(unit[some], table, sizes, n, seed)
-                    width = codes.shape[1]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(codes.size, x.shape[1], np.int32)), pa.array(codes.ravel() * tables + table),
-                         pa.array(np.repeat(ids[rows[some]], width)), pa.array(np.repeat(of[rows[some]], width)),
-                         pa.array(np.repeat(payload[some], width), pa.binary())],
-                        ["dim", "bucket", "vec_id", "of", "vector"])
+                found = [probes(unit[some], table, sizes, n, seed) * tables + table for table in range(tables)]
+                yield _packed(batch, rows[some], x[some], np.concatenate(found, axis=1))
 
 
-FILED = "dim int, bucket long, vec_id long, of long, vector binary"
-
-
-def _packed(batches):
-    """Each row once, in the one bucket of its dimension."""
+def _as_one(batches):
+    """Each row in the one bucket of its dimension."""
     for batch in batches:
         for rows, x, _ in _groups(batch):
-            own = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(rows), x.shape[1], np.int32)), pa.array(np.zeros(len(rows), np.int64)), own.column("vec_id"),
-                 own.column("of"), pa.array([v.tobytes() for v in np.ascontiguousarray(x)], pa.binary())],
-                ["dim", "bucket", "vec_id", "of", "vector"])
+            yield _packed(batch, rows, x, np.zeros((len(rows), 1), np.int64))
+
+
+FILED = "dim int, vec_id long, of long, vector binary, buckets array<long>"
+
+
+def _packed(batch, rows, x, codes):
+    own = batch.take(pa.array(rows))
+    places = np.arange(len(rows) + 1, dtype=np.int32) * codes.shape[1]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(rows), x.shape[1], np.int32)), own.column("vec_id"), own.column("of"),
+         pa.array([v.tobytes() for v in np.ascontiguousarray(x)], pa.binary()),
+         pa.ListArray.from_arrays(pa.array(places), pa.array(codes.ravel()))], ["dim", "vec_id", "of", "vector", "buckets"])
 
 
 def _nearest(batches, k, kind_of):
@@ -208,8 +205,8 @@ def nearest(vectors: DataFrame, queries, k: int = 10, tables: int = 16, probed:
     is a query of its own. Vectors meet those of their own dimension only. Other columns are ignored; an empty table
     gives an empty result.
 
-    A bucket of any size is dealt to slices by id; its queries visit them all, and a task holds one slice. Rows are counted
-    and what the buckets give is written to the folder of ``spark.checkpoint.dir`` when this is called.
+    A bucket of any size is dealt to slices by id; its queries visit them all, and a task holds one slice. Rows are counted,
+    and their buckets and what these give are written to the folder of ``spark.checkpoint.dir``, when this is called.
     """
     spark = vectors.sparkSession
     folder = work_folder(spark, "neighbours")
@@ -222,6 +219,8 @@ def nearest(vectors: DataFrame, queries, k: int = 10, tables: int = 16, probed:
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     def found_in(filed, visits, name):
+        filed = kept(filed, f"{name}-filed").withColumn("bucket", F.explode("buckets"))
+        visits = visits.withColumn("bucket", F.explode("buckets"))
         slices = F.ceil(F.count("*") / SLICE_ROWS).cast("int").alias("slices")
         large = kept(filed.groupBy("dim", "bucket").agg(slices).filter("slices > 1"), f"{name}-large")
         return kept(_met(filed, visits, large, large.count() <= BROADCAST_BUCKETS, k, kind_of), name)
@@ -235,7 +234,7 @@ def nearest(vectors: DataFrame, queries, k: int = 10, tables: int = 16, probed:
         dims = F.broadcast(short.select(F.size("vector").alias("dims")).distinct()) if short.count() <= BROADCAST_BUCKETS else \
             short.select(F.size("vector").alias("dims")).distinct()
         same = rows.join(dims, F.size("vector") == F.col("dims"), "left_semi")
-        found = found.unionByName(found_in(same.mapInArrow(_packed, FILED), short.mapInArrow(_packed, FILED), "rest"))
+        found = found.unionByName(found_in(same.mapInArrow(_as_one, FILED), short.mapInArrow(_as_one, FILED), "rest"))
     once = found.groupBy("query_id", "of", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id", "of").orderBy("score", "vec_id")
     return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
