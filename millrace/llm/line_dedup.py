@@ -6,6 +6,8 @@ document: 64 lines to a word, and a word stands there only if a line of it goes.
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from millrace.llm.names import apart
+
 # The white space stripped from both ends of a line for its key.
 BLANKS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -103,6 +105,7 @@ def drop_lines(docs: DataFrame, mode: str = "first", min_docs: int = 10) -> Data
         F.array_join("__stay", "\n").alias("kept_text"))
 
 
+@apart
 def without_lines(docs: DataFrame, mode: str = "first", min_docs: int = 10) -> DataFrame:
     """The rows of ``docs`` with ``text`` reduced to the lines that stay and all other columns as they were.
 

@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from millrace.llm.names import apart
 from millrace.session import work_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -184,6 +185,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: int = 2, s
                        "source_size", "target", picks.alias("picks"))
 
 
+@apart
 def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` as the mix takes them, each as often as it is taken, with all their columns; rows of
     one shard lie together in their drawn order."""

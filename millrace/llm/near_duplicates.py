@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm import spans
 from millrace.llm.components import components
+from millrace.llm.names import apart
 from millrace.session import work_folder
 
 WORDS = 5
@@ -494,6 +495,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return _Join(docs).run()
 
 
+@apart
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose id is the smallest of its component; of equal ids one row
     stays. Rows without an id stay."""

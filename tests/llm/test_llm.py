@@ -513,6 +513,17 @@ def test_ranges_look_across_small_ones():
     assert {k: sorted(v) for k, v in beside.items()} == {b"b": [1], b"c": [1, 2], b"d": [0, 2], b"e": [0, 1], b"f": [1]}
 
 
+@pytest.mark.parametrize("stage", [near_duplicates.one_of_each, line_dedup.without_lines, mixing.mixed_rows])
+def test_stages_leave_clashing_columns_alone(spark, stage):
+    names = ["__id", "__ROW", "__lines", "__d1", "__d2", "__drops", "__dense", "__stay", "__hash", "__pick", "__shard", "__place", "caller0"]
+    rows = [(i, f"{' '.join(f'w{i}x{j}' for j in range(20))}\nline {i}", f"s{i % 2}", *(f"{n} {i}" for n in names)) for i in range(12)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    found = stage(docs)
+    assert found.columns == docs.columns
+    assert {tuple(r) for r in found.collect()} <= set(rows)
+    assert sorted(r.doc_id for r in stage(docs).collect()) == sorted(r.doc_id for r in stage(docs.drop(*names)).collect())
+
+
 # 1
 
 
