@@ -8,12 +8,15 @@ from millrace.operators.visitors import assign_event_time, is_session_start
 from millrace.streaming.processors import BounceProcessor, DailyFirstProcessor, FirstVisitProcessor
 
 # State processors see columns by name only where the name is a public identifier.
-DAY, START, EVENT_TIME, SPAN, OWN = "visit_day", "session_start", "visit_time", "visit_span", "own_span"
+DAY, START, EVENT_TIME, SPAN, OWN, GROUP = "visit_day", "session_start", "visit_time", "visit_span", "own_span", "visitor_group"
 
 #: Seconds of processing time after which a visitor's remembered day is forgotten.
 DAY_TTL = 24 * 3600
 #: A bounce span covers this many waits.
 BOUNCE_SPANS = 8
+#: Groups of visitors whose bounces share state, in each span. A call costs as much as hundreds of records; fixed for the life of a
+#: checkpoint.
+BOUNCE_GROUPS = 256
 
 
 def repair_new_flag(df, key="mid", flag="is_new", ts="ts", order="arrival", tz="UTC", usable=None):
@@ -55,8 +58,8 @@ def detect_bounce(df, key="mid", ts="ts", order="arrival", starts=None, value="v
     (``delay`` behind the newest record) shows that nothing can follow it in time; records later
     than the watermark are dropped.
 
-    State is kept by visitor and time ``span`` (milliseconds, at least ``within``): a hot visitor's records are spread over
-    tasks, and a call holds those of one span and its seam only. The records of the first ``within`` of a span are also
+    State is kept by one of ``BOUNCE_GROUPS`` groups of visitors and time ``span`` (milliseconds, at least ``within``): a hot
+    visitor's records are spread over tasks, and a call holds a group's records of one span and its seam only. The records of the first ``within`` of a span are also
     sent to the span before it.
     """
     starts = is_session_start() if starts is None else starts
@@ -69,9 +72,10 @@ def detect_bounce(df, key="mid", ts="ts", order="arrival", starts=None, value="v
         key, ts, order, starts.alias(START), F.when(starts, F.col(value)).alias(value), EVENT_TIME, begin.alias("_begin"),
         F.explode(F.when(seam, F.array(begin, begin - span)).otherwise(F.array(begin))).alias(SPAN))
     own = F.col("_begin") == F.col(SPAN)
-    slim = slim.select(key, SPAN, ts, order, START, own.alias(OWN), F.when(own, F.col(value)).alias(value), EVENT_TIME)
+    group = F.pmod(F.xxhash64(key), F.lit(BOUNCE_GROUPS)).cast("int").alias(GROUP)
+    slim = slim.select(group, key, SPAN, ts, order, START, own.alias(OWN), F.when(own, F.col(value)).alias(value), EVENT_TIME)
     kinds = {name: df.schema[name].dataType.simpleString() for name in (key, ts, order)}
     schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + f", `{value}` string"
-    return slim.groupBy(key, SPAN).transformWithStateInPandas(
+    return slim.groupBy(GROUP, SPAN).transformWithStateInPandas(
         statefulProcessor=BounceProcessor(within, key, ts, order, START, OWN, value),
         outputStructType=schema, outputMode="Append", timeMode="EventTime")

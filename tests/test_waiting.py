@@ -157,3 +157,26 @@ def test_the_seam_only_follows():
     (out,) = processor.handleExpiredTimer(("1", 0), Mark(1000), None)
     assert list(out["ts"]) == [60, 75] and list(out["value"]) == ["u", "v"]
     assert not processor._waiting.exists() and not processor._pending.exists()
+
+
+def test_bounces_of_many_visitors_share_a_call():
+    """A call takes the records of several visitors, each by itself, whichever order they came in; a null visitor is one too."""
+    import pandas as pd
+
+    from tests.test_processors import Handle, Mark
+
+    processor, handle = processors.BounceProcessor(10, "mid", "ts", "arrival", "start", "own", "value"), Handle()
+    processor.init(handle)
+    columns = ["mid", "ts", "arrival", "start", "own", "value"]
+    rows = [("b", 20, 1, True, True, "b20"), ("a", 15, 2, True, True, "a15"), (None, 12, 3, True, True, "n12"), ("a", 18, 4, False, True, None),
+            ("b", 25, 5, True, True, "b25"), (None, 14, 6, False, True, None), ("c", 95, 7, True, True, "c95"), ("d", 200, 8, True, True, "d200")]
+    for part in (rows[:3], rows[3:]):
+        list(processor.handleInputRows((0, 0), iter([pd.DataFrame(part, columns=columns)]), Mark(0)))
+    (out,) = processor.handleExpiredTimer((0, 0), Mark(100), None)
+    assert sorted(out["value"]) == ["b20", "b25"]  # c95 still waits, d200 has not been reached
+    assert max(handle.timers) == 105
+    (out,) = processor.handleExpiredTimer((0, 0), Mark(105), None)
+    assert list(out["value"]) == ["c95"]
+    (out,) = processor.handleExpiredTimer((0, 0), Mark(1000), None)
+    assert list(out["value"]) == ["d200"]
+    assert not processor._waiting.exists() and not processor._pending.exists()
