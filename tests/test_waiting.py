@@ -159,6 +159,21 @@ def test_the_seam_only_follows():
     assert not processor._waiting.exists() and not processor._pending.exists()
 
 
+def test_the_waiting_join_works_on_groups_of_keys(spark, tmp_path, monkeypatch):
+    """Many keys share a call and its state, whose rows are few entries; every key keeps its own partners and revisions."""
+    monkeypatch.setattr("millrace.streaming.joins.GROUPS", 16, raising=False)
+    pair = Pair(spark, tmp_path)
+    pair.left.add(*[(str(i), f"k{i}", i, None) for i in range(4000)])
+    pair.right.add(("none", "none", None))
+    pair.run()
+    pair.right.add(*[(f"k{i}", f"r{i}", None) for i in range(0, 4000, 2)])
+    query = jobs.start_waiting_join(pair.left.stream(), pair.right.stream(), [("k", "rk")], pair.out, pair.ck, ["id"], "left", 3600)
+    finish(query)
+    entries = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1]
+    assert 0 < entries < 3000  # of 6,000 waiting rows; with times to live counted
+    assert pair.got() == sorted([(str(i), None, 0) for i in range(4000)] + [(str(i), f"r{i}", 1) for i in range(0, 4000, 2)], key=str)
+
+
 def test_bounces_of_many_visitors_share_a_call():
     """A call takes the records of several visitors, each by itself, whichever order they came in; a null visitor is one too."""
     import pandas as pd
