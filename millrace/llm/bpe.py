@@ -22,7 +22,8 @@ SQUEEZE = pa.Codec("zstd", compression_level=9)
 PARTS = "block long, part int, kind int, seq long, doc_id long, payload binary"
 #: Kinds of rows, in the order in which a block needs them.
 WORDS, IDS, CODES = 0, 1, 2
-ROWS_BYTES = 4 << 20
+#: Codes, in bytes before packing, that one row holds; the joining worker holds the ids and decoded texts of one row at a time.
+ROWS_BYTES = 1 << 20
 
 
 def pack(*arrays):
