@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm import pretokens, spans
 from millrace.session import work_folder
 
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 24 << 20
 SQUEEZE = pa.Codec("zstd", compression_level=9)
 PARTS = "block long, part int, kind int, seq long, doc_id long, payload binary"
 #: Kinds of rows, in the order in which a block needs them.
