@@ -5,7 +5,10 @@ leads its word). Texts of Latin letters without apostrophes or special tokens ar
 character class. All others are split by the tokenizers library itself.
 """
 
+import codecs
 import functools
+import itertools
+import json
 import os
 import unicodedata
 
@@ -170,9 +173,34 @@ def split(strings, path, kind):
     return Words(np.concatenate(parts), np.concatenate(([0], np.cumsum(counts))), list(index))
 
 
+@functools.cache
+def _byte_model(path):
+    """The library's model of a tokenizer that does nothing to a word but to write its bytes as characters, and these
+    characters; None for other tokenizers."""
+    tokenizer = load(path)
+    stages = json.loads(tokenizer.to_str())
+    before = stages["pre_tokenizer"] or {}
+    if stages["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+        return None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    alphabet = "".join(chr(b if b in shown else next(hidden)) for b in range(256))
+    added = {a["content"] for a in stages["added_tokens"]}
+    return tokenizer.model, alphabet, added
+
+
 def encode_words(words, path):
     """Token ids of each word, which the library encodes on its own, as one list per word."""
     tokenizer, out = load(path), []
+    if _byte_model(path):
+        # A word passes the stages before the model whole: the model alone spares an encoding's other members.
+        model, alphabet, added = _byte_model(path)
+        for w in words:
+            if w in added:
+                out.append(tokenizer.encode(w, add_special_tokens=False).ids)
+            else:
+                out.append([t.id for t in model.tokenize(codecs.charmap_decode(w.encode(), "strict", alphabet)[0])])
+        return out
     for first in range(0, len(words), 4096):
         out += [e.ids for e in tokenizer.encode_batch_fast(words[first:first + 4096], add_special_tokens=False)]
     return out
@@ -196,18 +224,32 @@ REMEMBERED = 400_000
 _remembered = {}
 
 
+class _Memory:
+    """Ids of words, one word's after the other's in ``flat``: ``index`` numbers the words, ``at`` and ``n`` say where theirs lie."""
+
+    def __init__(self):
+        self.index, self.flat, self.at, self.n = {}, np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, words, path):
+        ids = encode_words(words, path)
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words)), strict=True))
+        self.at = np.concatenate((self.at, len(self.flat) + np.cumsum(n) - n))
+        self.n = np.concatenate((self.n, n))
+        self.flat = np.concatenate((self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(n.sum()))))
+
+
 def encode_texts(strings, path, kind):
     """All ids of ``strings`` one after the other and the bounds of each text's; each distinct word is encoded once."""
     words = split(strings, path, kind)
-    known = _remembered.setdefault(path, {})
-    new = [w for w in words.distinct if w not in known]
-    if len(known) + len(new) > REMEMBERED:
-        for w in list(known)[:max(len(known) // 2, len(known) + len(new) - REMEMBERED)]:
-            del known[w]
-        new = [w for w in words.distinct if w not in known]
-    known.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, encode_words(new, path), strict=True))
-    ids = [known[w] for w in words.distinct]
-    n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-    flat = np.frombuffer(b"".join(ids), np.int32).astype(np.int64)
-    out, before = expand(words.codes, np.cumsum(n) - n, n, flat)
+    known = _remembered.setdefault(path, _Memory())
+    place = np.fromiter((known.index.get(w, -1) for w in words.distinct), np.int64, len(words.distinct))
+    if len(known.index) + int((place < 0).sum()) > REMEMBERED:
+        known = _remembered[path] = _Memory()
+        place[:] = -1
+    missing = np.flatnonzero(place < 0)
+    if len(missing):
+        place[missing] = len(known.index) + np.arange(len(missing))
+        known.add([words.distinct[i] for i in missing.tolist()], path)
+    out, before = expand(words.codes, known.at[place], known.n[place], known.flat)
     return out, before[words.first]
