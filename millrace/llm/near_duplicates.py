@@ -35,8 +35,8 @@ BAND_RATIO = 1.4
 SMALL_BUCKET = 32
 #: Pairs of one set that a task verifies at a time.
 SLICE_PAIRS = 256
-#: Shingles that a block of a family holds, about; one set is never cut.
-BLOCK_SHINGLES = 1 << 18
+#: Shingles of the sets whose parities a block of a family holds, about; one set is never cut.
+BLOCK_SHINGLES = 1 << 21
 #: Longs up to which the choice of texts to read is broadcast (24 MB); beyond it is a shuffled join.
 BROADCAST_LONGS = 3_000_000
 
@@ -93,6 +93,12 @@ def segments(band):
     return differ + 1 + spare, spare
 
 
+def most_different(n, band, low):
+    """Most shingles in which a set may differ from one that it links to in a band; ``low``: the band below its own."""
+    partner = int(bands()[band + 1]) - 1 if low else largest_partner(n)
+    return (n + partner) * (WHOLE - PART) // (WHOLE + PART)
+
+
 def families(n):
     """Bands that a set takes part in: its own, and the one below if its smaller partners may lie there."""
     if n < 4:
@@ -149,8 +155,8 @@ def _describe(batches):
         for own in sets(strings):
             facts = {False: (0, 0, 0), True: (0, 0, 0)}
             for band, low in families(len(own)):
-                m, spare = segments(band)
-                facts[low] = (m, spare, int(subsets(own, band)[3].sum()))
+                m, _ = segments(band)
+                facts[low] = (m, m - 1 - most_different(len(own), band, low), int(subsets(own, band)[3].sum()))
                 if m == 0:  # linked sets share PART / WHOLE of the larger at least
                     facts[low] = (len(own), -(-len(own) * PART // WHOLE) - 1, 0)
             out.append((len(own), name_of(own), *facts[False], *facts[True], *sketch(own)))
@@ -190,8 +196,12 @@ NEIGHBOURS = "sig long, kind int, doc long"
 
 
 def _neighbourhoods(batches):
-    """For each segment subset of a text that is not skipped, its signature (kind 0) and those of its one-deletion
-    neighbours (kind 1)."""
+    """For each segment subset of a text that is not left out, its signature (kind 0) and those of its one-deletion
+    neighbours (kind 1).
+
+    Linked sets that differ in at most d of m segments' shingles, and skip all segments that are equal, have at least
+    2 m - d - (segments the one leaves out) - (those the other does) segments that differ by one shingle and are left out by
+    neither. So each set may leave out (2 m - d - 1) / 2 of them: the empty and skipped ones, then those of most shingles."""
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("doc", "n", "h", "lows", "skipped", "text")]
         for doc, n, h, lows, skipped, text in zip(*columns, strict=True):
@@ -206,6 +216,9 @@ def _neighbourhoods(batches):
                 np.add.at(total, place, mixed)
                 less = _sign(total[place] - mixed, place, band).astype(np.int64)
                 shut = empty | np.isin(signs.astype(np.int64), np.array(skipped, np.int64))
+                more = (2 * len(signs) - most_different(n, band, low) - 1) // 2 - int(shut.sum())
+                if more > 0:
+                    shut[np.argsort(np.where(shut, 1, -np.bincount(place, minlength=len(signs))), kind="stable")[:more]] = True
                 fulls, less = signs[~shut].astype(np.int64), less[~shut[place]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate((fulls, less))), pa.array(np.repeat([0, 1], [len(fulls), len(less)]), pa.int32()),
@@ -235,40 +248,66 @@ def _verify(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
 
-def _wholes(batches):
-    """Whole sets of the chosen nodes' texts."""
+def parities(own):
+    """Parity of the number of shingles in each of a power of two of parts, two to four a shingle, packed; a set's parities
+    over half as many parts are the two halves' exclusive or."""
+    parts = 512
+    while parts < 2 * len(own):
+        parts *= 2
+    part = (spans.mix(own + _U(0x27D4EB2F165667C5)) & _U(parts - 1)).astype(np.int64)
+    return np.packbits(np.bincount(part, minlength=parts) & 1).tobytes()
+
+
+def _parities(batches):
+    """Parities of the chosen nodes' texts."""
     for batch in batches:
         for doc, n, h, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "h", "text")), strict=True):
             own = sets([text])[0]
             if (len(own), name_of(own)) == (n, h):
-                yield pa.RecordBatch.from_arrays([pa.array([doc]), pa.array([own.tobytes()])], ["doc", "whole"])
+                yield pa.RecordBatch.from_arrays([pa.array([doc]), pa.array([n], pa.int32()), pa.array([parities(own)])], ["doc", "n", "bits"])
+
+
+class _Block:
+    """Nodes of a block of a family, by the number of words of their parities."""
+
+    def __init__(self, held):
+        self.groups = {}
+        by_words = {}
+        for doc, component, n, bits in held:
+            by_words.setdefault(len(bits), []).append((doc, component, n, bits))
+        for words, rows in by_words.items():
+            docs, components, sizes, bits = zip(*rows, strict=True)
+            self.groups[words] = np.array(docs), np.array(components), np.array(sizes, np.int64), np.stack(bits)
+
+    def near(self, component, n, bits):
+        """Nodes of other components whose sizes and parities leave room for a link; others have none."""
+        for words, (docs, components, sizes, held) in self.groups.items():
+            if words == 2 * len(bits):
+                held = held[:, :len(bits)] ^ held[:, len(bits):]
+            mine = bits[:words] ^ bits[words:] if len(bits) == 2 * words else bits
+            if held.shape[1] != len(mine):
+                continue  # sizes too far apart for a link
+            fit = np.flatnonzero((components != component) & (np.maximum(sizes, n) * PART <= np.minimum(sizes, n) * WHOLE))
+            apart = np.bitwise_count(held[fit] ^ mine).sum(axis=1, dtype=np.int64)
+            yield from docs[fit[apart * (WHOLE + PART) <= (sizes[fit] + n) * (WHOLE - PART)]].tolist()
 
 
 def _within(batches):
-    """Linked pairs between a block of a family (kind 0) and all of the family (kind 1), of different components: what two
-    sets share is counted by inverting the block."""
-    key, held, index = None, [], None
+    """Pairs between a block of a family (kind 0) and all of the family (kind 1), of different components, that may link by
+    sizes and parities."""
+    key, held, block = None, [], None
     for batch in batches:
         found = []
-        for family, part, kind, doc, component, whole in zip(
-                *(batch.column(c).to_pylist() for c in ("family", "slice", "kind", "doc", "component", "whole")), strict=True):
+        for family, part, kind, doc, component, n, bits in zip(
+                *(batch.column(c).to_pylist() for c in ("family", "slice", "kind", "doc", "component", "n", "bits")), strict=True):
             if (family, part) != key:
-                key, held, index = (family, part), [], None
-            own = np.frombuffer(whole, _U)
+                key, held, block = (family, part), [], None
+            own = np.frombuffer(bits, _U)
             if kind == 0:
-                held.append((doc, component, own))
+                held.append((doc, component, n, own))
                 continue
-            if index is None:
-                values = np.concatenate([x[2] for x in held])
-                order = np.argsort(values, kind="stable")
-                sizes = np.array([len(x[2]) for x in held])
-                index = values[order], np.repeat(np.arange(len(held)), sizes)[order]
-                docs, places = np.array([x[0] for x in held]), np.array([x[1] for x in held])
-            lo, hi = np.searchsorted(index[0], own, "left"), np.searchsorted(index[0], own, "right")
-            met = np.concatenate([index[1][i:j] for i, j in zip(lo.tolist(), hi.tolist(), strict=True)])
-            both = np.bincount(met, minlength=len(held))
-            for i in np.flatnonzero((WHOLE * both >= PART * (sizes + len(own) - both)) & (places != component)):
-                found.append((min(doc, int(docs[i])), max(doc, int(docs[i]))))
+            block = block or _Block(held)
+            found += [(min(doc, other), max(doc, other)) for other in block.near(component, n, own)]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
@@ -282,7 +321,7 @@ class _Join:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.count = 0
-        self.tested = self.links = self.known = None
+        self.tested = self.fresh = self.known = None
 
     def kept(self, df, name):
         self.count += 1
@@ -292,7 +331,7 @@ class _Join:
 
     def texts(self, chosen):
         """``doc, n, h, text`` of the chosen nodes (``doc, n, h, at`` and more)."""
-        longs = F.lit(6) + (F.size("skipped") if "skipped" in chosen.columns else 0)
+        longs = F.lit(len(chosen.columns) + 2) + (F.size("skipped") if "skipped" in chosen.columns else 0)
         few = (chosen.agg(F.sum(longs)).first()[0] or 0) <= BROADCAST_LONGS
         return self.docs.join(F.broadcast(chosen) if few else chosen, F.col("doc_id") == F.col("at")).drop("doc_id", "at")
 
@@ -308,19 +347,23 @@ class _Join:
         dealt = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int")).select("a", "slice", "b")
         centres = dealt.select("a", "slice").distinct().withColumns({"kind": F.lit(0), "b": F.col("a")})
         wanted = dealt.withColumn("kind", F.lit(1)).unionByName(centres)
-        needed = wanted.select(F.col("b").alias("doc")).distinct().join(self.nodes.select("doc", "n", "h", "at"), "doc")
-        texts = self.texts(self.kept(needed, "needed")).withColumnRenamed("doc", "b")
-        met = wanted.join(texts, "b").select("a", "slice", "kind", "b", "n", "h", "text")
+        # Pairs go to the texts before the shuffle, which then moves each text once a slice.
+        needed = self.kept(wanted.join(self.nodes.select(F.col("doc").alias("b"), "n", "h", "at"), "b"), "needed")
+        met = self.texts(needed).select("a", "slice", "kind", "b", "n", "h", "text")
         met = met.repartition(self.parts, "a", "slice").sortWithinPartitions("a", "slice", "kind")
         found = self.kept(met.mapInArrow(_verify, "a long, b long").distinct(), "links")
-        self.links = found if self.links is None else self.links.union(found)
+        if self.known is None or not found.isEmpty():
+            self.fresh = found if self.fresh is None else self.fresh.union(found)
 
     def classes(self):
         """Components of the links found so far."""
-        if self.known is None or self.known[0] is not self.links:
+        if self.fresh is not None:
+            # New links join the components known before, each of which is a star.
+            edges = self.fresh if self.known is None else self.fresh.union(
+                self.known.select(F.col("node").alias("a"), F.col("component").alias("b")))
             self.count += 1
-            self.known = self.links, components(self.links, f"{self.folder}/{self.count:02d}-components")
-        return self.known[1]
+            self.known, self.fresh = components(edges, f"{self.folder}/{self.count:02d}-components"), None
+        return self.known
 
     def run(self):
         described = self.kept(self.docs.mapInArrow(_describe, SETS), "sets")
@@ -409,10 +452,10 @@ class _Join:
             pick = lambda f: F.when(F.col("low"), F.col(f"{f}_low")).otherwise(F.col(f"{f}_own"))
             hot = large.join(facts, "doc").withColumns({f: pick(f) for f in ("m", "spare", "empty")})
             single = F.col("m") == F.col("n")  # never so in a band of segments, which are fewer than shingles
-            # What a set may leave unopened: the spare ones; or half its segments, if it takes the deletions too.
+            # What a set may leave unopened: the spare ones; or what it may leave out of the deletions, if it takes them too.
             costly = Window.partitionBy("doc", "low").orderBy(F.col("cnt").desc(), "bucket")
             ranked = hot.withColumn("rank", F.row_number().over(costly) + F.col("empty"))
-            most = F.when(single, F.col("spare")).otherwise(F.floor(F.col("m") / 2))
+            most = F.when(single, F.col("spare")).otherwise(F.floor((F.col("m") + F.col("spare")) / 2))
             ranked = self.kept(ranked.withColumn("skipped", F.col("rank") <= most).withColumn("single", single), "ranked")
             pairs = pairs.union(paired(ranked.filter(~F.col("skipped")), large))
             # Sets of segments that skip more than the spare ones take the one-deletion neighbourhoods.
@@ -441,11 +484,12 @@ class _Join:
             "family", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"), "doc", "component")
         visits = visits.join(own.select("family", "slice").distinct(), ["family", "slice"], "left_semi")
         chosen = self.kept(family.select("doc").distinct().join(self.nodes.select("doc", "n", "h", "at"), "doc"), "chosen")
-        wholes = self.kept(self.texts(chosen).mapInArrow(_wholes, "doc long, whole binary"), "wholes").dropDuplicates(["doc"])
-        rows = own.unionByName(visits).join(wholes, "doc").select("family", "slice", "kind", "doc", "component", "whole")
+        bits = self.kept(self.texts(chosen).mapInArrow(_parities, "doc long, n int, bits binary"), "parities").dropDuplicates(["doc"])
+        rows = own.unionByName(visits).join(bits, "doc").select("family", "slice", "kind", "doc", "component", "n", "bits")
         met = rows.repartition(self.parts, "family", "slice").sortWithinPartitions("family", "slice", "kind")
-        found = self.kept(met.mapInArrow(_within, "a long, b long").distinct(), "links")
-        self.links = found if self.links is None else self.links.union(found)
+        pairs = self.kept(met.mapInArrow(_within, "a long, b long").distinct(), "near")
+        if not pairs.isEmpty():
+            self.verify(pairs)
 
     def deletions(self, over, ranked):
         """Candidates among the sets with more empty or skipped segments than spare ones, by a segment that is equal but
