@@ -36,3 +36,9 @@ def test_whole_change_log_has_the_same_rows(spark, tables):
 def test_whole_change_log_joins_lines_to_their_orders_twice(spark, tables):
     plan = feeds.change_log(spark, tables, whole=True)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") == 2
+
+
+@pytest.mark.parametrize("name", ["order_detail", "order_detail_activity", "order_detail_coupon"])
+def test_names_of_lines_are_made_behind_the_joins(spark, tables, name):
+    plan = feeds.change_log(spark, tables).filter(F.col("table") == name)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.rfind("concat_ws") < plan.find("Join ")
