@@ -132,8 +132,8 @@ def payment_success(changes, detail, dictionary, ttl=None, delay="0 seconds"):
         "order_id": "paid_order_id", "payment_type": "payment_type_code"})
     detail = detail.withColumnsRenamed({
         "id": "order_detail_id", "ts": "od_ts", "split_total_amount": "split_payment_amount"})
-    paid = retained_join(payments, detail.withColumn("detail_order", F.col("order_id")),
-                         [("paid_order_id", "detail_order")], "inner", ttl, "ts", "od_ts", delay)
+    # With a band the right rows are repeated: payments, which are fewer and narrower than lines.
+    paid = retained_join(detail, payments, [("order_id", "paid_order_id")], "inner", ttl, "od_ts", "ts", delay)
     return _finished("payment_success", paid, dictionary)
 
 
