@@ -11,7 +11,8 @@ opens its cheapest skipped buckets again if even that leaves a gap. Candidates a
 
 Sets that are equal are one node. Links inside a bucket are looked for from its most central members first, and
 members that are by then in one component need no further pairs; so a group of copies costs about its size.
-Candidates whose sketches differ in more bits than linked sets can in shingles are not verified.
+Candidates whose sketches, and then parities of one to two bits a shingle, differ in more bits than linked sets can in
+shingles are not verified.
 """
 
 import functools
@@ -33,6 +34,8 @@ SINGLES_TO = 76
 BAND_RATIO = 1.4
 #: Members of a bucket that are paired with each other without regard to cost.
 SMALL_BUCKET = 32
+#: Bits of a signature; subsets that share one by chance are candidates the more. The zeros above shrink in a shuffle.
+SIGN_BITS = 48
 #: Pairs of one set that a task verifies at a time.
 SLICE_PAIRS = 256
 #: Shingles of the sets whose parities a block of a family holds, about; one set is never cut.
@@ -113,7 +116,7 @@ def subsets(own, band):
     m, _ = segments(band)
     mixed = spans.mix(own + _U((band + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
     if m == 0:
-        return np.arange(len(own)), mixed, mixed, np.zeros(len(own), bool)
+        return np.arange(len(own)), mixed, mixed >> _U(64 - SIGN_BITS), np.zeros(len(own), bool)
     place = ((mixed >> _U(32)) % _U(m)).astype(np.int64)
     # Sums modulo 2 ** 64 by halves, which doubles hold exactly.
     halves = [np.bincount(place, (mixed >> _U(s) & _U(0xFFFFFFFF)).astype(float), m).astype(_U) for s in (0, 32)]
@@ -122,12 +125,15 @@ def subsets(own, band):
 
 
 def _sign(total, place, band):
-    return spans.mix(total + place.astype(_U) * _U(0xD6E8FEB86659FD93) + _U(band * 0xA24BAED4963EE407 % (1 << 64)))
+    """Signatures of subsets of ``total``: a set's segments never share one, so that a skipped one is a segment."""
+    m = segments(band)[0]
+    hashed = spans.mix(total + place.astype(_U) * _U(0xD6E8FEB86659FD93) + _U(band * 0xA24BAED4963EE407 % (1 << 64)))
+    return hashed % _U((1 << SIGN_BITS) // m) * _U(m) + place.astype(_U)
 
 
 SKETCH = [f"s{i}" for i in range(8)]
 SETS = ("doc_id long, n int, h long, m_own int, spare_own int, empty_own int, m_low int, spare_low int, empty_low int, "
-        + ", ".join(f"{s} long" for s in SKETCH))
+        + ", ".join(f"{s} long" for s in SKETCH) + ", bits binary")
 
 
 def sketch(own):
@@ -159,15 +165,18 @@ def _describe(batches):
                 facts[low] = (m, m - 1 - most_different(len(own), band, low), int(subsets(own, band)[3].sum()))
                 if m == 0:  # linked sets share PART / WHOLE of the larger at least
                     facts[low] = (len(own), -(-len(own) * PART // WHOLE) - 1, 0)
-            out.append((len(own), name_of(own), *facts[False], *facts[True], *sketch(own)))
+            out.append((len(own), name_of(own), *facts[False], *facts[True], *sketch(own), parities(own)))
         columns = list(zip(*out, strict=True))
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
-             *(pa.array(c, pa.int32()) for c in columns[2:8]), *(pa.array(c, pa.int64()) for c in columns[8:])],
+             *(pa.array(c, pa.int32()) for c in columns[2:8]), *(pa.array(c, pa.int64()) for c in columns[8:-1]),
+             pa.array(columns[-1], pa.binary())],
             [c.split()[0] for c in SETS.split(", ")])
 
 
-SIGNATURES = "sig long, h long, n int, low boolean"
+#: Above its bits ``sig`` has ``LOW`` in the band below the set's own. Little else, for there are a few hundred rows a text.
+SIGNATURES = "h long, sig long"
+LOW = 1 << SIGN_BITS
 
 
 def _signatures(batches):
@@ -183,13 +192,11 @@ def _signatures(batches):
             seen.add(key)  # copies among the task's rows would only repeat the signatures
             for band, low in families(len(own)):
                 *_, signs, empty = subsets(own, band)
-                parts.append((signs[~empty].astype(np.int64), *key, low))
+                parts.append((signs[~empty].astype(np.int64) + low * LOW, key[0]))
         if parts:
             sizes = [len(p[0]) for p in parts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([p[0] for p in parts])), pa.array(np.repeat([p[1] for p in parts], sizes), pa.int64()),
-                 pa.array(np.repeat([p[2] for p in parts], sizes), pa.int32()),
-                 pa.array(np.repeat([p[3] for p in parts], sizes), pa.bool_())], ["sig", "h", "n", "low"])
+                [pa.array(np.repeat([p[1] for p in parts], sizes), pa.int64()), pa.array(np.concatenate([p[0] for p in parts]))], ["h", "sig"])
 
 
 NEIGHBOURS = "sig long, kind int, doc long"
@@ -249,22 +256,29 @@ def _verify(batches):
 
 
 def parities(own):
-    """Parity of the number of shingles in each of a power of two of parts, two to four a shingle, packed; a set's parities
+    """Parity of the number of shingles in each of a power of two of parts, one to two a shingle, packed; a set's parities
     over half as many parts are the two halves' exclusive or."""
     parts = 512
-    while parts < 2 * len(own):
+    while parts < len(own):
         parts *= 2
     part = (spans.mix(own + _U(0x27D4EB2F165667C5)) & _U(parts - 1)).astype(np.int64)
     return np.packbits(np.bincount(part, minlength=parts) & 1).tobytes()
 
 
-def _parities(batches):
-    """Parities of the chosen nodes' texts."""
+def _near(batches):
+    """Pairs of a set (kind 0) with the sets beside it (kind 1) that may link by sizes and parities."""
+    key, block = None, None
     for batch in batches:
-        for doc, n, h, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "h", "text")), strict=True):
-            own = sets([text])[0]
-            if (len(own), name_of(own)) == (n, h):
-                yield pa.RecordBatch.from_arrays([pa.array([doc]), pa.array([n], pa.int32()), pa.array([parities(own)])], ["doc", "n", "bits"])
+        found = []
+        for a, part, kind, b, n, bits in zip(
+                *(batch.column(c).to_pylist() for c in ("a", "slice", "kind", "b", "n", "bits")), strict=True):
+            own = np.frombuffer(bits, _U)
+            if kind == 0:
+                key, block = (a, part), _Block([(a, a, n, own)])
+            elif (a, part) == key and next(block.near(b, n, own), None) is not None:
+                found.append((a, b))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
 
 class _Block:
@@ -335,20 +349,40 @@ class _Join:
         few = (chosen.agg(F.sum(longs)).first()[0] or 0) <= BROADCAST_LONGS
         return self.docs.join(F.broadcast(chosen) if few else chosen, F.col("doc_id") == F.col("at")).drop("doc_id", "at")
 
-    def verify(self, pairs):
-        """Verify candidate pairs (``a, b``) that were not tested before, and add the links found."""
+    def parities(self, chosen):
+        """``bits`` of the chosen nodes (``doc, n, h, at`` and more), once a row that holds the node's text under that id."""
+        few = (chosen.agg(F.sum(F.lit(len(chosen.columns) + 2))).first()[0] or 0) <= BROADCAST_LONGS
+        named = self.described.select("doc_id", F.col("n").alias("size"), F.col("h").alias("name"), "bits")
+        same = (F.col("doc_id") == F.col("at")) & (F.col("name") == F.col("h")) & (F.col("size") == F.col("n"))
+        return named.join(F.broadcast(chosen) if few else chosen, same).drop("doc_id", "size", "name", "at")
+
+    def dealt(self, pairs):
+        """Each pair's ``b`` (kind 1) and each ``a`` (kind 0) beside it, in slices of an ``a``'s pairs, with the nodes' columns."""
+        slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / SLICE_PAIRS).cast("int").alias("slices"))
+        dealt = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int")).select("a", "slice", "b")
+        centres = dealt.select("a", "slice").distinct().withColumns({"kind": F.lit(0), "b": F.col("a")})
+        wanted = dealt.withColumn("kind", F.lit(1)).unionByName(centres)
+        # Pairs go to the texts before the shuffle, which then moves each text once a slice.
+        return self.kept(wanted.join(self.nodes.select(F.col("doc").alias("b"), "n", "h", "at"), "b"), "needed")
+
+    def near(self, pairs):
+        """The pairs that may link by their parities, which are a small part of the texts."""
+        met = self.parities(self.dealt(pairs)).select("a", "slice", "kind", "b", "n", "bits")
+        met = met.repartition(self.parts, "a", "slice").sortWithinPartitions("a", "slice", "kind")
+        return self.kept(met.mapInArrow(_near, "a long, b long").distinct(), "near")
+
+    def verify(self, pairs, near=False):
+        """Verify candidate pairs (``a, b``) that were not tested before, and add the links found; ``near``: their parities
+        have been compared."""
         pairs = pairs.filter(F.col("a") != F.col("b")).select("a", "b").distinct()
         if self.tested is not None:
             turned = self.tested.select(F.col("b").alias("a"), F.col("a").alias("b"))
             pairs = pairs.join(self.tested.union(turned), ["a", "b"], "left_anti")
         pairs = self.kept(pairs, "pairs")
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
-        slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / SLICE_PAIRS).cast("int").alias("slices"))
-        dealt = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int")).select("a", "slice", "b")
-        centres = dealt.select("a", "slice").distinct().withColumns({"kind": F.lit(0), "b": F.col("a")})
-        wanted = dealt.withColumn("kind", F.lit(1)).unionByName(centres)
-        # Pairs go to the texts before the shuffle, which then moves each text once a slice.
-        needed = self.kept(wanted.join(self.nodes.select(F.col("doc").alias("b"), "n", "h", "at"), "b"), "needed")
+        if self.known is not None and pairs.isEmpty():
+            return
+        needed = self.dealt(pairs if near else self.near(pairs))
         met = self.texts(needed).select("a", "slice", "kind", "b", "n", "h", "text")
         met = met.repartition(self.parts, "a", "slice").sortWithinPartitions("a", "slice", "kind")
         found = self.kept(met.mapInArrow(_verify, "a long, b long").distinct(), "links")
@@ -366,15 +400,15 @@ class _Join:
         return self.known
 
     def run(self):
-        described = self.kept(self.docs.mapInArrow(_describe, SETS), "sets")
+        described = self.described = self.kept(self.docs.mapInArrow(_describe, SETS), "sets")
         whole = described.filter("n > 0 AND doc_id IS NOT NULL")
-        facts = [c.split()[0] for c in SETS.split(", ")][3:]
+        facts = [c.split()[0] for c in SETS.split(", ")][3:-1]
         # A node goes by its set's name; ``at`` is the smallest id where its text stands.
         self.nodes = self.kept(whole.groupBy("h", "n").agg(
             F.min("doc_id").alias("at"), *[F.first(c).alias(c) for c in facts]).withColumn("doc", F.col("h")), "nodes")
         self.sketches = self.nodes.select("doc", "n", F.struct(*SKETCH).alias("sk"))
         members = self.members()
-        weights = members.groupBy("doc").agg(F.sum(F.col("mult") * F.col("cnt")).alias("weight"))
+        weights = members.groupBy("doc").agg(F.sum(F.col("mult") * F.col("cnt")).alias("weight")).join(self.nodes.select("doc", "n"), "doc")
         members = self.kept(members.join(weights, "doc"), "members")
         self.star(members.withColumn("component", F.lit(None).cast("long")))
         open_ = self.open(members.filter("cnt > 2"))
@@ -394,15 +428,16 @@ class _Join:
                 F.col("doc_id")).alias("component_id"))
 
     def members(self):
-        """``bucket, cnt, doc, n, low, mult`` of all buckets with two nodes or more. Small buckets with the same members
+        """``bucket, cnt, doc, low, mult`` of all buckets with two nodes or more. Small buckets with the same members
         are one, ``mult`` times; a large one stands for its signature alone."""
         signs = self.docs.filter("doc_id IS NOT NULL").mapInArrow(_signatures, SIGNATURES)
-        once = signs.repartition(self.parts, "sig").dropDuplicates(["sig", "h", "n", "low"])
+        once = signs.repartition(self.parts, F.col("sig") % LOW).select("h", (F.col("sig") % LOW).alias("sig"), (F.col("sig") >= LOW).alias("low"))
         whole = Window.partitionBy("sig")
-        counted = once.withColumns({"cnt": F.count("*").over(whole), "who": F.bit_xor(F.xxhash64("h", "n")).over(whole)})
+        counted = once.dropDuplicates(["sig", "h", "low"]).withColumns(
+            {"cnt": F.count("*").over(whole), "who": F.bit_xor(F.xxhash64("h")).over(whole)})
         shared = counted.filter("cnt > 1").withColumn(
             "bucket", F.when(F.col("cnt") > SMALL_BUCKET, F.col("sig")).otherwise(F.col("who")))
-        rows = shared.groupBy("bucket", "cnt", "h", "n", "low").agg(F.count("*").alias("mult"))
+        rows = shared.groupBy("bucket", "cnt", "h", "low").agg(F.count("*").alias("mult"))
         return self.kept(rows, "buckets").withColumn("doc", F.col("h")).drop("h")
 
     def star(self, members):
@@ -484,12 +519,12 @@ class _Join:
             "family", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"), "doc", "component")
         visits = visits.join(own.select("family", "slice").distinct(), ["family", "slice"], "left_semi")
         chosen = self.kept(family.select("doc").distinct().join(self.nodes.select("doc", "n", "h", "at"), "doc"), "chosen")
-        bits = self.kept(self.texts(chosen).mapInArrow(_parities, "doc long, n int, bits binary"), "parities").dropDuplicates(["doc"])
+        bits = self.parities(chosen).dropDuplicates(["doc"]).select("doc", "n", "bits")
         rows = own.unionByName(visits).join(bits, "doc").select("family", "slice", "kind", "doc", "component", "n", "bits")
         met = rows.repartition(self.parts, "family", "slice").sortWithinPartitions("family", "slice", "kind")
         pairs = self.kept(met.mapInArrow(_within, "a long, b long").distinct(), "near")
         if not pairs.isEmpty():
-            self.verify(pairs)
+            self.verify(pairs, near=True)
 
     def deletions(self, over, ranked):
         """Candidates among the sets with more empty or skipped segments than spare ones, by a segment that is equal but

@@ -71,3 +71,33 @@ def written(own, low, band, skipped):
     finally:
         nd.sets = sets
     return tuple({x["sig"] for x in rows if x["kind"] == k} for k in (0, 1))
+
+
+def test_large_sets_part_before_their_texts():
+    """Sketches of 512 bits tell nothing of thousands of shingles; parities do, and lose no link."""
+    r = random.Random(6)
+    own = some(r, 3000)
+    half = np.unique(np.concatenate((own[:1500], some(r, 1500))))
+    linked = [changed(r, own, 600) for _ in range(20)]
+    bits = sum((x ^ y).bit_count() for x, y in zip(*(np.array(nd.sketch(x)).view(np.uint64).tolist() for x in (own, half)), strict=True))
+    assert bits * (nd.WHOLE + nd.PART) <= 6000 * (nd.WHOLE - nd.PART)
+    rows = [(0, 0, own), (1, 1, half), *((1, i + 2, x) for i, x in enumerate(linked))]
+    batches = [pa.RecordBatch.from_pylist([{"a": 0, "slice": 0, "kind": kind, "b": b, "n": len(x), "bits": nd.parities(x)}
+                                           for kind, b, x in part]) for part in (rows[:2], rows[2:])]
+    assert [tuple(x.values()) for b in nd._near(batches) for x in b.to_pylist()] == [(0, i + 2) for i in range(len(linked))]
+
+
+def test_signatures_are_short_and_apart():
+    r, sets = random.Random(7), nd.sets
+    for n in (4, 60, 75, 76, 200, 3000):
+        own = some(r, n)
+        nd.sets = lambda _, own=own: [own]
+        try:
+            got = [x for b in nd._signatures([pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["x"]})]) for x in b.to_pylist()]
+        finally:
+            nd.sets = sets
+        assert {x["h"] for x in got} == {nd.name_of(own)} and all(0 <= x["sig"] < 2 * nd.LOW for x in got)
+        for band, low in nd.families(n):
+            *_, signs, empty = nd.subsets(own, band)
+            assert len(set(signs.tolist())) == len(signs) and signs.max() < nd.LOW
+            assert set(signs[~empty].astype(np.int64).tolist()) == {x["sig"] % nd.LOW for x in got if (x["sig"] >= nd.LOW) == low}
