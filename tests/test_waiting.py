@@ -195,3 +195,74 @@ def test_bounces_of_many_visitors_share_a_call():
     (out,) = processor.handleExpiredTimer((0, 0), Mark(1000), None)
     assert list(out["value"]) == ["d200"]
     assert not processor._waiting.exists() and not processor._pending.exists()
+
+
+class Entries:
+    """State that counts the bytes written to it."""
+
+    def __init__(self):
+        self.found, self.written = {}, 0
+
+    def exists(self):
+        return bool(self.found)
+
+    def get(self):
+        return self.found.get(())
+
+    def update(self, value):
+        self.updateValue((), value)
+
+    def updateValue(self, key, value):
+        self.found[key] = value
+        self.written += sum(len(v) for v in value if isinstance(v, bytes))
+
+    def removeKey(self, key):
+        del self.found[key]
+
+    def iterator(self):
+        return iter(list(self.found.items()))
+
+
+def test_waiting_rows_are_not_written_again():
+    """What a micro-batch writes is in proportion to its own rows, not to all that wait; after many, all rows are still there once."""
+    import pandas as pd
+
+    from millrace.streaming.joins import FAN, KEY, LEFT_SIDE, WaitingJoinProcessor
+
+    class Handle:
+        def __init__(self):
+            self.made = []
+
+        def getValueState(self, *_):
+            self.made.append(Entries())
+            return self.made[-1]
+
+        getMapState = getValueState
+
+    class Now:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.ms
+
+    processor, handle, r = WaitingJoinProcessor(["l0"], ["r0"], ["l0"], ["k0"], True, 100_000), Handle(), random.Random(3)
+    processor.init(handle)
+
+    def call(rows, ms=0):
+        part = pd.DataFrame(rows, columns=[LEFT_SIDE, "l0", "k0", "r0"])
+        return [tuple(x) for out in processor.handleInputRows((0,), iter([part]), Now(ms)) for x in out.itertuples(index=False)]
+
+    names = [f"{r.random()}" for _ in range(2000)]
+    assert len(call([(True, n, None, None) for n in names])) == 2000
+    first, got = sum(s.written for s in handle.made), []
+    for i in range(100):  # each finds 20 of the 2,000 rows, and leaves 20 without a partner
+        got += call([(False, None, n, f"r{i}") for n in names[20 * i:20 * i + 20]] + [(True, f"x{i}-{n}", None, None) for n in range(20)], i)
+    assert sorted(x for x in got if x[2] == 1) == sorted((n, f"r{i // 20}", 1) for i, n in enumerate(names))
+    assert sum(s.written for s in handle.made) < 20 * first  # over 100 times if all that waits were written
+    assert all(len(s.found) < 3 * FAN for s in handle.made)
+    assert sorted(call([(False, None, n, "again") for n in [*names[:40], "x3-4"]], 99_000)) == sorted(
+        [(n, "again", 2) for n in names[:40]] + [("x3-4", "again", 1)])
+    # 40 rows were renewed at 99 s; the others' time is over, that of the older forms of these, too.
+    assert sorted(x[2] for x in call([(False, None, n, "late") for n in names], 150_000)) == [3] * 40
+    assert KEY not in {c for s in handle.made for v in s.found.values() for c in processors.unpacked(v[1:])}
