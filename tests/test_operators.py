@@ -281,3 +281,21 @@ def test_latest_by_key(spark):
     assert sorted(tuple(r) for r in latest_by_key(df, ["k"], ["n"]).collect()) == [("g", 2, "delete"), ("k", 3, "update")]
     live = latest_by_key(df, ["k"], ["n"], deleted=F.col("type") == "delete")
     assert [r.k for r in live.collect()] == ["k"]
+
+
+def test_latest_by_key_of_many_texts(spark):
+    """Rows of many text columns come back as they were: nulls, empty texts, bytes that are no characters, any other type beside them."""
+    from millrace.operators.upsert import PACKED_FROM, latest_by_key
+
+    names = [f"t.{i}" for i in range(PACKED_FROM + 2)]
+    rows = [("a", 1, *["old"] * len(names), {"x": "1"}), ("a", 2, None, "", "ä€", *[None] * (len(names) - 5), "x" * 70000, "y" * 126, None),
+            (None, 5, *["n"] * len(names), {}), ("b", None, *[str(i) * i for i in range(len(names))], {"y": None})]
+    schema = "k string, n int, " + ", ".join(f"`{n}` string" for n in names) + ", m map<string,string>"
+    df = spark.createDataFrame(rows, schema).withColumn("t.0", F.when(F.col("k") == "b", F.expr("cast(x'ff00' as string)")).otherwise(F.col("`t.0`")))
+    last = latest_by_key(df, ["K"], [F.coalesce("n", F.lit(0)), "`t.1`"])
+    assert last.schema == df.schema
+    got = {r[0]: r for r in last.withColumn("t.0", F.hex("`t.0`")).collect()}
+    assert got.keys() == {"a", "b", None} and [tuple(got["a"])[2:]] == [rows[1][2:]] and got["a"][1] == 2
+    assert got["b"][2] == "FF00" and tuple(got["b"])[3:] == rows[3][3:] and got[None][2] == "6E"
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "_text_bytes" in plan and "WindowGroupLimit" in plan
