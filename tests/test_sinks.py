@@ -241,3 +241,24 @@ def test_sessions(spark):
 def test_kafka_is_an_option(spark):
     with pytest.raises(Exception, match="kafka"):
         read_log(spark, subscribe="t", **{"kafka.bootstrap.servers": "none:1"})
+
+
+def test_files_and_state_are_written_compactly(spark, tmp_path):
+    """Parquet outputs have zstd unless told otherwise; a micro-batch's checkpoint holds what changed of its state, not the files that hold it."""
+    import pyarrow.parquet as pq
+
+    from millrace.sinks.writers import land_changes
+
+    rows = spark.createDataFrame([("orders", "1"), ("lines", "2")], "table string, v string")
+    codecs = {}
+    for name, options in (("own", {"compression": "gzip"}), ("usual", {})):
+        land_changes(rows, str(tmp_path / name), **options)
+        codecs[name] = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in (tmp_path / name).rglob("*.parquet")}
+    assert codecs == {"own": {"GZIP"}, "usual": {"ZSTD"}}
+    session = streaming_session(spark, 2)
+    stream = session.readStream.schema("v string, table string").parquet(str(tmp_path / "usual"))
+    query = (stream.dropDuplicates(["v"]).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert sorted(r.v for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "2"]
+    assert list((tmp_path / "ck" / "state").rglob("*.changelog")) and not list((tmp_path / "ck" / "state").rglob("*.sst"))
